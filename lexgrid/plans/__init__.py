@@ -3,7 +3,7 @@
 Importing this package registers every query module.
 """
 
-from lexgrid.plans import catalog
+from lexgrid.plans import catalog, q_splits, q_text  # noqa: F401  (registration)
 from lexgrid.plans.catalog import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "catalog"]
+__all__ = ["ORACLE", "QUERIES"]
