@@ -51,6 +51,15 @@ def padded_mask(ids: Column | str, width: Column | int, side: str = "right") ->
     return pad_to(attention_mask(ids), width, 0, side)
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` as a lambda variable.
+
+    Without this, an expression used inside a ``transform`` lambda is
+    re-evaluated for every element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def marker_end(ids: Column | str, marker: Sequence[int]) -> Column:
     """0-based index just past the LAST occurrence of ``marker`` in ``ids``; null if absent.
 
@@ -71,8 +80,8 @@ def mask_by_marker(ids: Column | str, marker: Sequence[int]) -> Column:
     All -100 when the marker is missing (nothing to learn from the row).
     """
     a = _col(ids)
-    end = marker_end(a, marker)
-    return F.transform(a, lambda x, i: F.when(end.isNull() | (i < end), F.lit(IGNORE)).otherwise(x))
+    return let(marker_end(a, marker), lambda end: F.transform(
+        a, lambda x, i: F.when(end.isNull() | (i < end), F.lit(IGNORE)).otherwise(x)))
 
 
 def mask_by_boundary(prompt_ids: Column | str, completion_ids: Column | str) -> Column:
