@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType, StructField, StructType
 
 DEFAULT_BATCH = 16
 
@@ -47,7 +47,7 @@ def score_exact_batches(df: DataFrame, batch_col: str, make_batch_fn: Callable,
     ``make_batch_fn()`` returns ``f(pdf) -> sequence`` (one value per row of the
     batch). Groups hold at most the batch size, so no group is unbounded.
     """
-    schema = df.schema.add(out, out_type)
+    schema = StructType(list(df.schema.fields) + [StructField(out, out_type, True)])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         fn = _cached(make_batch_fn)
