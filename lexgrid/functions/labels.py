@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexgrid.functions.sequences import IGNORE
+from lexgrid.functions.sequences import IGNORE, let
 
 
 def _col(c: Column | str) -> Column:
@@ -80,19 +80,28 @@ def shift_and_mask(pred: Column | str, label: Column | str) -> Column:
 
 
 def sequence_correct(pred: Column | str, label: Column | str) -> Column:
-    """E6 (row part): every unmasked shifted position is right (all-masked rows count as right)."""
-    return F.forall(shift_and_mask(pred, label), lambda s: s["p"] == s["y"])
+    """E6 (row part): every unmasked shifted position is right (all-masked rows count as right).
+
+    Same meaning as ``forall(shift_and_mask(...), p == y)``, evaluated over
+    indices so no intermediate arrays are built.
+    """
+    p, y = _col(pred), _col(label)
+    idx = F.sequence(F.lit(1), F.greatest(F.size(y) - 1, F.lit(1)))
+    ok = F.forall(idx, lambda t: (F.element_at(y, t + 1) == IGNORE)
+                  | (F.try_element_at(p, t) == F.element_at(y, t + 1)))
+    return F.when(F.size(y) <= 1, F.lit(True)).otherwise(F.coalesce(ok, F.lit(False)))
 
 
 def fully_masked(label: Column | str) -> Column:
     y = _col(label)
-    ys = F.slice(y, 2, F.greatest(F.size(y) - 1, F.lit(0)))
-    return F.forall(ys, lambda b: b == IGNORE)
+    idx = F.sequence(F.lit(2), F.greatest(F.size(y), F.lit(2)))
+    return F.when(F.size(y) <= 1, F.lit(True)).otherwise(
+        F.forall(idx, lambda t: F.element_at(y, t) == IGNORE))
 
 
 def cross_entropy(logits: Column | str, label: Column | str) -> Column:
     """E7 (row part): log-sum-exp(l) - l[y], computed stably around max(l)."""
     a = _col(logits)
-    m = F.array_max(a)
-    lse = F.log(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + F.exp(x - m))) + m
+    lse = let(F.array_max(a), lambda m: F.log(
+        F.aggregate(a, F.lit(0.0), lambda acc, x: acc + F.exp(x - m))) + m)
     return lse - F.element_at(a, _col(label) + 1)

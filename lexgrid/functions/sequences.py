@@ -63,15 +63,24 @@ def let(value: Column, body) -> Column:
 def marker_end(ids: Column | str, marker: Sequence[int]) -> Column:
     """0-based index just past the LAST occurrence of ``marker`` in ``ids``; null if absent.
 
-    Guarded so that a row shorter than the marker never builds a descending
-    ``sequence`` (which would make ``slice`` raise).
+    A fold over start positions comparing ``len(marker)`` elements each: no
+    per-position slice arrays. Guarded so that a row shorter than the marker
+    never builds a descending ``sequence``.
     """
     a = _col(ids)
-    m = F.array(*[F.lit(int(x)) for x in marker])
     k = len(marker)
+    if k == 0:
+        raise ValueError("marker must not be empty")
+
+    def hit(i: Column) -> Column:
+        cond = F.lit(True)
+        for j, m in enumerate(marker):
+            cond = cond & (F.element_at(a, i + (j + 1)) == F.lit(int(m)))
+        return cond
+
     starts = F.sequence(F.lit(0), F.size(a) - k)
-    hits = F.filter(starts, lambda i: F.slice(a, i + 1, k) == m)
-    return F.when(F.size(a) >= k, F.array_max(hits) + k)
+    last = F.aggregate(starts, F.lit(-1), lambda acc, i: F.when(hit(i), i).otherwise(acc))
+    return F.when((F.size(a) >= k) & (last >= 0), last + k)
 
 
 def mask_by_marker(ids: Column | str, marker: Sequence[int]) -> Column:

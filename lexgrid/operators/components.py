@@ -3,9 +3,9 @@
 Kiveris et al., "Connected Components in MapReduce and Beyond" (SoCC 2014):
 alternate *large-star* (every node's larger neighbours re-attach to the
 smallest node of its neighbourhood) and *small-star* (every node and its
-smaller neighbours re-attach to the smallest of them) until the edge set stops
-changing; the edges then form one star per component around its smallest node.
-O(log^2 n) rounds.
+smaller neighbours re-attach to the smallest of them) until the edges form one
+star per component around its smallest node (checked with one aggregation per
+round). O(log^2 n) rounds.
 
 Each round is a few aggregations and joins keyed by node. A hub node with a
 huge degree is a skewed key on the edge side only (the per-node minimum is
@@ -48,6 +48,17 @@ def _small_star(e: DataFrame) -> DataFrame:
     return _orient(to_smaller.unionByName(to_self))
 
 
+def _is_star_forest(e: DataFrame) -> bool:
+    """Converged when every node has at most one smaller neighbour and no such
+    neighbour has one itself: each component is then a star around its minimum.
+    One aggregation per round."""
+    roles = e.select(F.col("v").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("root")) \
+        .unionByName(e.select(F.col("u").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("root")))
+    bad = roles.groupBy("n").agg(F.sum("up").alias("up"), F.max("root").alias("root")) \
+        .where((F.col("up") > 1) | ((F.col("up") >= 1) & (F.col("root") == 1)))
+    return bad.isEmpty()
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                          max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """``node, component`` for every node on an edge; component = smallest node in it.
@@ -57,12 +68,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     ensure_checkpoint_dir(edges.sparkSession)
     e = _orient(edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))).checkpoint(eager=True)
     for _ in range(max_rounds):
-        nxt = _small_star(_large_star(e)).checkpoint(eager=True)
-        if nxt.exceptAll(e).isEmpty() and e.exceptAll(nxt).isEmpty():
-            labels = nxt.select(F.col("v").alias("node"), F.col("u").alias("component")) \
-                .unionByName(nxt.select(F.col("u").alias("node"), F.col("u").alias("component")))
+        if _is_star_forest(e):
+            labels = e.select(F.col("v").alias("node"), F.col("u").alias("component")) \
+                .unionByName(e.select(F.col("u").alias("node"), F.col("u").alias("component")))
             return labels.groupBy("node").agg(F.min("component").alias("component"))
-        e = nxt
+        e = _small_star(_large_star(e)).checkpoint(eager=True)
     raise NotConverged(f"connected components did not converge in {max_rounds} rounds")
 
 
