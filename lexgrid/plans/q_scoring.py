@@ -1,5 +1,5 @@
 """Registered queries: generation, answer accuracy, label encoding, exact-batch
-scoring, the scoring stream, and the file sources/sinks (I4, I5, I8, E9, S1, S2, K1, K2)."""
+scoring, the scoring stream, and the file sources/sinks (I4, I5, I8, E9, S1-S3, K1, K2)."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from lexgrid.functions import entity as EN
+from lexgrid.functions.clean import fill_missing
 from lexgrid.functions import labels as L
 from lexgrid.operators import batching as B
 from lexgrid.operators import metrics as M
@@ -20,9 +21,10 @@ from lexgrid.plans.catalog import SCORED_SQL, SENTIMENT_PREFIX, _NAMES_SQL, regi
 from lexgrid.plans.q_entity import tier_sql
 from lexgrid.plans.q_text import PROMPTS_SQL, listing_prompts
 from lexgrid.plans.sqltext import argmax_sql, hash_sql, length_logits_sql, sql_str
-from lexgrid.plans.tables import load
+from lexgrid.plans.tables import LISTINGS_SQL, load, raw_listings
 from lexgrid.session import scratch_path
 from lexgrid.sources import files as IO
+from lexgrid.sources import workbook as WB
 from lexgrid.streaming.scoring import start_score_stream
 
 
@@ -162,3 +164,17 @@ def write_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "submission")
     IO.write_submission(scored_documents(spark, sf_dir), "doc_id", "pred_name", path)
     return IO.read_submission(spark, path)
+
+
+LISTING_COLUMNS = ["id", "shop_name", "shop_brand", "laiyuan1_id", "brand_id", "brand_name"]
+
+
+@register("workbook_roundtrip", f"""
+SELECT id, shop_name, shop_brand, laiyuan1_id, brand_id, brand_name FROM ({LISTINGS_SQL}) l
+""")
+def workbook_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: raw listings encoded as workbooks (one per partition), parsed back as strings,
+    NA words to null, then filled: the cleaned listing table."""
+    books = WB.to_workbooks(raw_listings(spark, sf_dir), LISTING_COLUMNS)
+    parsed = WB.parse_workbooks(books, LISTING_COLUMNS, source_col=None)
+    return fill_missing(WB.null_tokens(parsed, LISTING_COLUMNS)).select(*LISTING_COLUMNS)

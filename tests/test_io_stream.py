@@ -32,3 +32,28 @@ def test_stream_equals_batch(spark, small_dir):
                          models.SENTIMENT_LABELS)
     assert streamed.count() == docs.count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_workbooks_from_files(spark):
+    import zipfile
+    from lexgrid.sources import workbook as WB
+    d = tempfile.mkdtemp(prefix="xlsx-")
+    WB.write_workbook_file(os.path.join(d, "a.xlsx"), ["id", "shop_name", "brand_id"],
+                           [["1", "Tea <&> Co", "9999285772"], ["2", "NA", None]])
+    # a second workbook in the shared-strings form, with a number cell and a blank cell
+    sheet = ('<?xml version="1.0" encoding="UTF-8"?>'
+             '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
+             '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c>'
+             '<c r="C1" t="s"><v>2</v></c></row>'
+             '<row r="2"><c r="A2"><v>3</v></c><c r="C2"><v>99998888500391</v></c></row>'
+             '</sheetData></worksheet>')
+    sst = ('<?xml version="1.0" encoding="UTF-8"?>'
+           '<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+           '<si><t>id</t></si><si><t>shop_name</t></si><si><r><t>brand</t></r><r><t>_id</t></r></si></sst>')
+    with zipfile.ZipFile(os.path.join(d, "b.xlsx"), "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+        z.writestr("xl/sharedStrings.xml", sst)
+    df = WB.read_workbooks(spark, d, ["id", "shop_name", "brand_id", "brand_name"])
+    got = sorted((r.id, r.shop_name, r.brand_id, r.brand_name) for r in df.collect())
+    assert got == [("1", "Tea <&> Co", "9999285772", None), ("2", None, None, None),
+                   ("3", None, "99998888500391", None)]
