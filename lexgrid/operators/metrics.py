@@ -55,16 +55,33 @@ def class_report(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataF
 
 def macro_report(df: DataFrame, y: str, p: str, by: Sequence[str] = (),
                  round_to: int | None = ROUND) -> DataFrame:
-    """E3 + E4: macro precision / recall / F1 and accuracy per group."""
-    rep = class_report(df, y, p, by)
-    macro = rep.groupBy(*by).agg(F.avg("precision").alias("precision"),
-                                 F.avg("recall").alias("recall"),
-                                 F.avg("f1").alias("f1"))
+    """E3 + E4: macro precision / recall / F1 and accuracy per group.
+
+    One pipeline over the confusion cells (no self-join), so the source (often
+    a model scoring stage) is evaluated once. Each cell contributes a truth-class
+    row, a predicted-class row and a group-total row.
+    """
     conf = confusion(df, y, p, by)
-    acc = conf.groupBy(*by).agg(
-        (F.sum(F.when(F.col(y) == F.col(p), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy"),
-        F.sum("n").alias("rows"))
-    out = macro.join(acc, list(by)) if by else macro.crossJoin(acc)
+    n = F.col("n")
+    zero = F.lit(0).cast("long")
+    hit = F.when(F.col(y) == F.col(p), n).otherwise(zero)
+    cells = conf.select(*by, F.explode(F.array(
+        F.struct(F.col(y).alias("cls"), F.lit(False).alias("total"), hit.alias("tp"),
+                 n.alias("t"), zero.alias("pr")),
+        F.struct(F.col(p).alias("cls"), F.lit(False).alias("total"), zero.alias("tp"),
+                 zero.alias("t"), n.alias("pr")),
+        F.struct(F.lit(None).cast(conf.schema[y].dataType).alias("cls"), F.lit(True).alias("total"),
+                 hit.alias("tp"), n.alias("t"), zero.alias("pr")),
+    )).alias("c")).select(*by, "c.*").where(F.col("cls").isNotNull() | F.col("total"))
+    per = cells.groupBy(*by, "cls", "total").agg(F.sum("tp").alias("tp"), F.sum("t").alias("t"),
+                                                 F.sum("pr").alias("pr"))
+    tp, t, pr, cls = F.col("tp"), F.col("t"), F.col("pr"), ~F.col("total")
+    out = per.groupBy(*by).agg(
+        F.avg(F.when(cls, _safe_div(tp, pr))).alias("precision"),
+        F.avg(F.when(cls, _safe_div(tp, t))).alias("recall"),
+        F.avg(F.when(cls, _safe_div(2 * tp, pr + t))).alias("f1"),
+        (F.sum(F.when(~cls, tp)) / F.sum(F.when(~cls, t))).alias("accuracy"),
+        F.sum(F.when(~cls, t)).alias("rows"))
     if round_to is not None:
         out = out.select(*by, *[F.round(c, round_to).alias(c)
                                 for c in ("precision", "recall", "f1", "accuracy")], "rows")

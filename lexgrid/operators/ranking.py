@@ -16,7 +16,7 @@ Two routes:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,22 +55,29 @@ def hash_positions(df: DataFrame, key: str, seed: int | str = 42, name: str = "p
             .drop("_h", "_b", "_off"))
 
 
-def hash_threshold(df: DataFrame, key: str, k: int, seed: int | str = 42,
+def hash_threshold(df: DataFrame, key: str, k: int | Callable[[int], int], seed: int | str = 42,
                    digits: int = 5) -> tuple[str, object] | None:
     """The ``(hash, key)`` of the k-th row in hash order, or None when k < 1.
 
-    Three small actions, each reading only the key column: bucket counts with a
-    running sum (bounded table), the boundary bucket, then a row_number over the
-    rows of that one bucket (about n / 16**digits rows, uniform by construction).
+    ``k`` may be a function of the row count. The key column is read twice:
+    once for the bucket counts (a table bounded by ``16**digits`` rows, cached
+    while the boundary is found) and once for a row_number over the rows of
+    the boundary bucket (about n / 16**digits rows, uniform by construction).
     """
-    if k < 1:
-        return None
     hashed = df.select(key).withColumn("_h", hash_key(key, seed)) \
         .withColumn("_b", hash_bucket(F.col("_h"), digits))
-    counts = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.withColumn("_cum", F.sum("_n").over(w))
-    boundary = cum.where(F.col("_cum") >= k).orderBy("_b").select("_b", "_n", "_cum").first()
+    counts = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).cache()
+    try:
+        if callable(k):
+            total = counts.agg(F.sum("_n")).first()[0] or 0
+            k = k(int(total))
+        if k < 1:
+            return None
+        w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        cum = counts.withColumn("_cum", F.sum("_n").over(w))
+        boundary = cum.where(F.col("_cum") >= k).orderBy("_b").select("_b", "_n", "_cum").first()
+    finally:
+        counts.unpersist()
     if boundary is None:
         return None
     b_star, n_b, cum_b = boundary["_b"], boundary["_n"], boundary["_cum"]

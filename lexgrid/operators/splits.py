@@ -33,9 +33,7 @@ def test_rows(n: int, test_size: float | int) -> int:
 def split_exact(df: DataFrame, key: str, test_size: float | int = 0.2, seed: int = 42,
                 split_col: str = "split") -> DataFrame:
     """Add ``split`` = 'test' for the first ceil(test_size*n) rows in hash order."""
-    n = df.select(key).count()
-    k = test_rows(n, test_size)
-    thr = hash_threshold(df, key, k, seed)
+    thr = hash_threshold(df, key, lambda n: test_rows(n, test_size), seed)
     if thr is None:
         return df.withColumn(split_col, F.lit(TRAIN))
     return df.withColumn(split_col, F.when(at_or_before(key, thr, seed), F.lit(TEST))

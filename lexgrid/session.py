@@ -39,6 +39,27 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lexgrid`` importable in the Python workers (once per SparkContext).
+
+    Model and tokenizer callables are pickled by reference to their module, so
+    the workers need the package; ``addPyFile`` distributes a zip of it through
+    Spark itself. Harmless when the package is already installed everywhere.
+    """
+    import shutil
+
+    import lexgrid
+    sc = spark.sparkContext
+    if getattr(sc, "_lexgrid_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(lexgrid.__file__)))
+    staging = tempfile.mkdtemp(prefix="lexgrid-pkg-")
+    archive = shutil.make_archive(os.path.join(staging, "lexgrid"), "zip", root_dir=root,
+                                  base_dir="lexgrid")
+    sc.addPyFile(archive)
+    sc._lexgrid_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
@@ -46,6 +67,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     without one gets a fresh scratch folder; a cluster session without one is
     an error, because a machine-local folder would not survive a lost executor.
     """
+    ship_package(spark)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
