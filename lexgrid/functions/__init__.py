@@ -7,8 +7,9 @@ from lexgrid.functions.entity import normalise_name, trust_tier
 from lexgrid.functions.labels import (argmax, argmax_positions, cross_entropy, decode_label,
                                       encode_label, extract_response, sequence_correct,
                                       shift_and_mask)
-from lexgrid.functions.prompts import (append_answer, apply_chat_template, prefix_prompt,
-                                       render_template, strip_literal, to_messages, trim_block)
+from lexgrid.functions.prompts import (append_answer, apply_chat_template, message_turns,
+                                       prefix_prompt, render_template, strip_literal,
+                                       to_messages, trim_block)
 from lexgrid.functions.sequences import (IGNORE, attention_mask, mask_assistant_spans,
                                          mask_by_boundary, mask_by_marker, pad_to, truncate)
 
@@ -16,7 +17,7 @@ __all__ = [
     "NA_TOKENS", "IGNORE", "append_answer", "apply_chat_template", "argmax", "argmax_positions",
     "attention_mask", "blank_column", "cross_entropy", "decode_label", "encode_label",
     "ensure_column", "extract_response", "fill_missing", "mask_assistant_spans",
-    "mask_by_boundary", "mask_by_marker", "normalise_name", "null_tokens", "pad_to",
+    "mask_by_boundary", "mask_by_marker", "message_turns", "normalise_name", "null_tokens", "pad_to",
     "prefix_prompt", "project", "rename", "render_template", "require_columns",
     "sequence_correct", "shift_and_mask", "strip_literal", "to_messages", "trim_block",
     "truncate", "trust_tier",

@@ -70,16 +70,23 @@ def message(role: str, content: Column | str) -> Column:
     return F.struct(F.lit(role).alias("role"), _col(content).cast("string").alias("content"))
 
 
+def message_turns(system: Column | str | None, user: Column | str,
+                  assistant: Column | str | None = None) -> list[tuple[str, Column]]:
+    """T5 with the roles fixed in the plan: ``[(role, content), ...]``."""
+    turns = []
+    if system is not None:
+        turns.append(("system", _col(system).cast("string")))
+    turns.append(("user", _col(user).cast("string")))
+    if assistant is not None:
+        turns.append(("assistant", _col(assistant).cast("string")))
+    return turns
+
+
 def to_messages(system: Column | str | None, user: Column | str,
                 assistant: Column | str | None = None) -> Column:
     """T5: ``array<struct<role, content>>``; omit ``assistant`` for inference."""
-    msgs = []
-    if system is not None:
-        msgs.append(message("system", system))
-    msgs.append(message("user", user))
-    if assistant is not None:
-        msgs.append(message("assistant", assistant))
-    return F.array(*msgs)
+    return F.array(*[message(role, content)
+                     for role, content in message_turns(system, user, assistant)])
 
 
 def _role_map(markers: Mapping[str, str]) -> Column:
@@ -89,15 +96,28 @@ def _role_map(markers: Mapping[str, str]) -> Column:
     return F.create_map(*items)
 
 
-def apply_chat_template(messages: Column | str, open_markers: Mapping[str, str],
+def apply_chat_template(messages: Column | str | Sequence[tuple[str, Column | str]],
+                        open_markers: Mapping[str, str],
                         close_markers: Mapping[str, str] | None = None, bos: str = "",
                         generation_prompt: str | None = None) -> Column:
     """Render a message list with per-role opening/closing markers.
 
-    ``generation_prompt`` (the opening marker of the next assistant turn) is
-    appended when given, as ``add_generation_prompt`` does. Unknown roles get
-    empty markers.
+    ``messages`` is an ``array<struct<role, content>>`` column, or the
+    ``(role, content)`` turns of ``message_turns`` when the roles are fixed in
+    the plan; the latter renders as one flat ``concat`` with the markers
+    resolved on the driver. ``generation_prompt`` (the opening marker of the
+    next assistant turn) is appended when given, as ``add_generation_prompt``
+    does. Unknown roles get empty markers.
     """
+    if isinstance(messages, (list, tuple)):
+        closing = close_markers or {}
+        flat: list[Column] = [F.lit(bos)]
+        for role, content in messages:
+            flat += [F.lit(open_markers.get(role, "")), F.coalesce(_col(content), F.lit("")),
+                     F.lit(closing.get(role, ""))]
+        if generation_prompt:
+            flat.append(F.lit(generation_prompt))
+        return F.concat(*flat)
     opens = _role_map(open_markers)
     closes = _role_map(close_markers or {})
     body = F.array_join(

@@ -6,8 +6,8 @@ Two tokenisation routes:
 * ``tokenise_with`` — any user tokenizer, hosted in an iterator Pandas UDF so it
   is loaded once per task and fed Arrow batches.
 
-``encode`` looks tokens up in a vocabulary. When the vocabulary's counted size
-is under ``map_limit`` entries it travels as one broadcast hash table and
+``encode`` looks tokens up in a vocabulary. When the vocabulary's size
+is at most ``map_limit`` entries it travels as one broadcast hash table and
 encoding is an Arrow-batched lookup (no shuffle). Above it, tokens are exploded with their
 position, joined to the vocabulary (a hot token is a skewed key on one side
 only, which AQE's skew join splits), and re-assembled per row.
@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,16 +79,19 @@ def encode(df: DataFrame, tokens: str, vocab: DataFrame, key: str, out: str = "i
            unk_id: int = UNK_ID, map_limit: int = DEFAULT_MAP_LIMIT) -> DataFrame:
     """Token array -> id array through ``vocab`` (columns ``token``, ``id``).
 
-    Bounded route (counted size <= ``map_limit``): the vocabulary is shipped
+    Bounded route (at most ``map_limit`` entries): the vocabulary is shipped
     once to every executor as a broadcast and looked up batch-wise with
     Arrow's hash lookup (``index_in``) inside ``mapInArrow``: no pandas
     conversion, no per-token Python, no shuffle. (A Spark
     ``MapType`` lookup is a linear scan of its keys, so a literal map column is
     not used.) Unbounded route: explode with positions, join, regroup per row.
     """
-    size = vocab.count()
-    if size <= map_limit:
-        return _encode_broadcast(df, tokens, vocab, out, unk_id)
+    # One bounded fetch decides the route: at most map_limit + 1 rows reach
+    # the driver, as Arrow columns (no Row objects).
+    head = vocab.select(F.col("token").cast("string").alias("token"),
+                        F.col("id").cast("long").alias("id")).limit(map_limit + 1).toArrow()
+    if head.num_rows <= map_limit:
+        return _encode_broadcast(df, tokens, head, out, unk_id)
     exploded = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
     looked = exploded.join(vocab.select("token", "id"), "token", "left")
     per_row = looked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(
@@ -99,12 +101,12 @@ def encode(df: DataFrame, tokens: str, vocab: DataFrame, key: str, out: str = "i
         out, F.coalesce(F.col(out), F.array().cast("array<bigint>")))
 
 
-def _encode_broadcast(df: DataFrame, tokens: str, vocab: DataFrame, out: str,
-                      unk_id: int) -> DataFrame:
-    # bounded by the caller's size check (<= map_limit rows)
-    pairs = [(r["token"], int(r["id"])) for r in vocab.select("token", "id").collect()]
-    words = [w for w, _ in pairs]
-    ids = np.array([i for _, i in pairs] + [unk_id], dtype=np.int64)
+def _encode_broadcast(df: DataFrame, tokens: str, vocab, out: str, unk_id: int) -> DataFrame:
+    # ``vocab`` is an Arrow table (token, id), bounded by the caller's size check
+    import pyarrow as pa
+    words = vocab.column("token").combine_chunks()
+    ids = pa.concat_arrays(vocab.column("id").chunks + [pa.array([unk_id], pa.int64())]) \
+        if vocab.num_rows else pa.array([unk_id], pa.int64())
     table = df.sparkSession.sparkContext.broadcast((words, ids))
     schema = StructType(list(df.schema.fields) + [StructField(out, ArrayType(LongType()), True)])
     col_name = tokens
@@ -112,13 +114,14 @@ def _encode_broadcast(df: DataFrame, tokens: str, vocab: DataFrame, out: str,
     def lookup(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
-        vocab_words, vocab_ids = table.value
-        value_set = pa.array(vocab_words, pa.string())
-        id_of = pa.array(vocab_ids)
+        value_set, id_of = table.value
+        if len(value_set) == 0:
+            value_set = pa.array([], pa.string())
+        miss = len(value_set)
         for b in batches:
             col = b.column(b.schema.get_field_index(col_name))
             flat = col.flatten()
-            pos = pc.fill_null(pc.index_in(flat, value_set=value_set), len(vocab_words))
+            pos = pc.fill_null(pc.index_in(flat, value_set=value_set), miss)
             vals = pc.take(id_of, pos)
             offsets = pc.subtract(col.offsets, col.offsets[0])
             lists = pa.ListArray.from_arrays(offsets, vals, mask=col.is_null())

@@ -146,8 +146,8 @@ def chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5 + T6: three-turn training text and two-turn inference text with a generation prompt."""
     df = listings(spark, sf_dir)
     user = T.render_template(USER_TEMPLATE)
-    train = T.to_messages(F.lit(SYSTEM_TEXT), user, F.col("brand_name"))
-    infer = T.to_messages(F.lit(SYSTEM_TEXT), user)
+    train = T.message_turns(F.lit(SYSTEM_TEXT), user, F.col("brand_name"))
+    infer = T.message_turns(F.lit(SYSTEM_TEXT), user)
     return df.select(
         "id",
         T.apply_chat_template(train, OPEN_MARKERS, CLOSE_MARKERS, BOS).alias("train_text"),

@@ -69,6 +69,19 @@ def test_chat_template(spark):
     assert r == "<s>[S]sys[U]hi[A]yo</s>"
 
 
+def test_chat_template_fixed_roles_match_array_form(spark):
+    df = spark.createDataFrame([("hi", "yo"), ("x", None)], "u string, a string")
+    opens, closes = {"system": "[S]", "user": "[U]", "assistant": "[A]"}, {"assistant": "</s>"}
+    for args in [(F.lit("sys"), F.col("u"), F.col("a")), (None, F.col("u"))]:
+        for gen in [None, "[A]"]:
+            arr = T.apply_chat_template(T.to_messages(*args), opens, closes, "<s>", gen)
+            flat = T.apply_chat_template(T.message_turns(*args), opens, closes, "<s>", gen)
+            rows = df.select(arr.alias("a"), flat.alias("f")).collect()
+            assert all(r.a == r.f for r in rows)
+    odd = [("tool", F.col("u"))]
+    assert df.select(T.apply_chat_template(odd, opens, closes).alias("t")).first().t == "hi"
+
+
 def test_truncate_and_pad_left(spark):
     df = spark.createDataFrame([([1, 2],), ([1, 2, 3, 4, 5],), (list(range(900)),)], "ids array<int>")
     t = df.select(Q.truncate("ids", 4).alias("t"))
