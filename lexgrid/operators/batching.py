@@ -2,8 +2,16 @@
 
 Batches follow an explicit order (ending in a unique key), numbered from 0,
 ``size`` rows each, the last possibly short. Padding width is the longest row
-of the batch: a window partitioned by ``batch_id`` (at most ``size`` rows per
-partition key, so no skew), never a whole-table window.
+of the batch, never a whole-table window:
+
+* ``pad_batch`` pads any grouping column with a window partitioned by it (one
+  shuffle; at most ``size`` rows per key for batches, so no skew).
+* ``padded_batches`` batches and pads in one go without that shuffle. After
+  the range-partitioned sort that numbers the rows, every batch lies inside
+  one partition except the first and last batch of each partition. Their
+  widths come from a tiny aggregate (at most two rows per partition, checked
+  and broadcast); all other widths come from one ordered pass per partition
+  that holds back at most ``size`` rows at a time.
 """
 
 from __future__ import annotations
@@ -12,9 +20,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lexgrid.functions.sequences import pad_to, padded_mask, truncate
-from lexgrid.operators.ranking import sorted_positions
+from lexgrid.operators.ranking import ranked_partitions, sorted_positions
 
 
 def row_slice(df: DataFrame, start: int, stop: int | None, order: Sequence[Column | str]) -> DataFrame:
@@ -52,6 +61,66 @@ def pad_batch(df: DataFrame, ids: str, batch_col: str = "batch_id", side: str =
             .drop("_ids", "_w"))
 
 
+def padded_batches(df: DataFrame, order: Sequence[Column | str], ids: str, size: int = 16,
+                   side: str = "right", pad_id: int = 0, max_len: int | None = None,
+                   batch_col: str = "batch_id", out_ids: str = "input_ids",
+                   out_mask: str = "attention_mask") -> DataFrame:
+    """Q5 + Q2-Q4: ``make_batches`` then ``pad_batch``, with no shuffle after the sort."""
+    if size < 1:
+        raise ValueError("size must be >= 1")
+    staged = df.withColumn("_ids", truncate(ids, max_len) if max_len else F.col(ids))
+    ranked, parts = ranked_partitions(staged, order, "_pos")
+    ranked = (ranked.withColumn(batch_col, F.floor((F.col("_pos") - 1) / size).cast("long"))
+              .withColumn("_len", F.size("_ids")))
+    # first and last batch of every non-empty partition
+    edges = parts.where(F.col("_n") > 0).select(F.explode(F.array_distinct(F.array(
+        F.floor(F.col("_off") / size).cast("long"),
+        F.floor((F.col("_off") + F.col("_n") - 1) / size).cast("long")))).alias(batch_col)).distinct()
+    edge_widths = (ranked.join(F.broadcast(edges), batch_col)
+                   .groupBy(batch_col).agg(F.max("_len").alias("_ew")))
+    # at most two rows per partition: safe to broadcast
+    tagged = ranked.join(F.broadcast(edge_widths), batch_col, "left")
+    widths = _run_widths(tagged, batch_col, "_len", "_ew", "_w")
+    return (widths.withColumn(out_mask, padded_mask("_ids", F.col("_w"), side))
+            .withColumn(out_ids, pad_to("_ids", F.col("_w"), pad_id, side))
+            .drop("_ids", "_pid", "_pos", "_len", "_ew", "_w"))
+
+
+def _run_widths(df: DataFrame, group: str, length: str, known: str, out: str) -> DataFrame:
+    """``out`` = max of ``length`` over each run of equal ``group`` values within a
+    partition, raised to ``known`` where set. Rows must arrive grouped (sorted);
+    only the trailing run of each Arrow batch is held back (at most one batch's rows)."""
+    schema = StructType(list(df.schema.fields) + [StructField(out, IntegerType(), True)])
+
+    def widths(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def finish(t):
+            g = t.column(group)
+            per = t.group_by(group).aggregate([(length, "max")])
+            w = pc.take(per.column(f"{length}_max"), pc.index_in(g, value_set=per.column(group).combine_chunks()))
+            w = pc.max_element_wise(w, t.column(known), skip_nulls=True).cast(pa.int32())
+            return t.append_column(out, w).to_batches()
+
+        carry = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            if carry is not None:
+                t = pa.concat_tables([carry, t])
+            if t.num_rows == 0:
+                continue
+            g = t.column(group)
+            tail = pc.equal(g, g[-1])
+            ready, carry = t.filter(pc.invert(tail)), t.filter(tail)
+            if ready.num_rows:
+                yield from finish(ready)
+        if carry is not None and carry.num_rows:
+            yield from finish(carry)
+
+    return df.mapInArrow(widths, schema)
+
+
 def unpad(ids: Column | str, mask: Column | str) -> Column:
     """Inverse of padding: keep ids whose mask is 1."""
     i = F.col(ids) if isinstance(ids, str) else ids

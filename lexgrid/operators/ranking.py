@@ -104,6 +104,19 @@ def sorted_positions(df: DataFrame, order: Sequence[Column | str], name: str = "
     local), which fixes its partitions; a lost executor recomputes nothing
     upstream of the checkpoint.
     """
+    ranked, _ = ranked_partitions(df, order, name, num_partitions)
+    return ranked.drop("_pid")
+
+
+def ranked_partitions(df: DataFrame, order: Sequence[Column | str], name: str = "position",
+                      num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``sorted_positions`` that also returns its partition table.
+
+    Returns ``(ranked, parts)``: ``ranked`` keeps ``_pid``, the partition of the
+    checkpointed sort each row lives in (rows stay in that partition, in
+    order, through narrow operators); ``parts`` has one row per partition:
+    ``_pid, _off`` (rows before it) and ``_n`` (rows in it).
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -112,9 +125,12 @@ def sorted_positions(df: DataFrame, order: Sequence[Column | str], name: str = "
     tagged = fixed.withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_mid", F.monotonically_increasing_id())
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long").alias("_off"),
+                          "_n")
     # one row per partition: safe to broadcast
-    offsets = F.broadcast(_offsets(counts, "_pid", "_n", "_off"))
     local_index = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (tagged.join(offsets, "_pid")
-            .withColumn(name, (F.col("_off") + local_index + 1).cast("long"))
-            .drop("_pid", "_mid", "_off"))
+    ranked = (tagged.join(F.broadcast(parts.select("_pid", "_off")), "_pid")
+              .withColumn(name, (F.col("_off") + local_index + 1).cast("long"))
+              .drop("_mid", "_off"))
+    return ranked, parts

@@ -108,8 +108,7 @@ def pad_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2 + Q3 + Q4 + Q5: truncate to 64, batches of 16 in key order, left-pad to the batch's longest."""
     # truncate first: the batch order is materialised, so only 64 ids per row travel
     d = doc_ids(spark, sf_dir).select("doc_id", Q.truncate("ids", MAX_LEN).alias("ids"))
-    batched = B.make_batches(d, ["doc_id"], BATCH)
-    padded = B.pad_batch(batched, "ids", side="left", pad_id=0)
+    padded = B.padded_batches(d, ["doc_id"], "ids", BATCH, side="left", pad_id=0)
     return padded.select("doc_id", "batch_id", Q.ids_to_string("input_ids").alias("input_ids"),
                          Q.ids_to_string("attention_mask").alias("attention_mask"))
 

@@ -69,6 +69,39 @@ def test_pad_batch_equal_widths(spark):
     assert all(r.w == 1 for r in widths.collect())
 
 
+def test_padded_batches_match_window_padding(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [(i, None if i % 37 == 5 else [rnd.randrange(9) for _ in range(rnd.randrange(0, 30))])
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "key long, ids array<int>")
+    want = {r.key: (r.batch_id, r.input_ids, r.attention_mask) for r in
+            B.pad_batch(B.make_batches(df, ["key"], 16), "ids", side="left", pad_id=-1,
+                        max_len=20).collect()}
+    # 3 and 64 range partitions: batches inside one partition and batches over several
+    for parts in ("3", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = {r.key: (r.batch_id, r.input_ids, r.attention_mask) for r in
+                   B.padded_batches(df, ["key"], "ids", 16, side="left", pad_id=-1,
+                                    max_len=20).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert got == want
+
+
+def test_padded_batches_plan_has_one_full_shuffle(spark):
+    df = spark.range(200).select(F.col("id").alias("key"), F.array(F.col("id")).alias("ids"))
+    out = B.padded_batches(df, ["key"], "ids", 16)
+    out.collect()
+    lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    # no window over the rows (windows only run over the per-partition offsets)
+    assert not any("Window [max(" in ln for ln in lines)
+    # every hash exchange carries partial aggregates (edge widths, partition counts)
+    hits = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(" in ln]
+    assert hits and all("partial_" in lines[i + 1] for i in hits)
+
+
 def test_row_slice_clips(spark):
     df = spark.range(10).withColumnRenamed("id", "key")
     got = sorted(r.key for r in B.row_slice(df, 8, 20, ["key"]).collect())
