@@ -58,11 +58,21 @@ def score_exact_batches(df: DataFrame, batch_col: str, make_batch_fn: Callable,
     return df.groupBy(batch_col).applyInPandas(run, schema=schema)
 
 
-_CACHE: dict[int, Callable] = {}
+_CACHE: dict[int, tuple[Callable, Callable]] = {}
+_CACHE_SIZE = 2
 
 
 def _cached(make_fn: Callable) -> Callable:
+    """The model built by ``make_fn``, once per factory object in this worker.
+
+    A factory pickled by value is a new object in every task, so the cache
+    keeps only the last few models instead of one per task. The factory is
+    held with its model, so its ``id`` cannot be reused while cached.
+    """
     key = id(make_fn)
-    if key not in _CACHE:
-        _CACHE[key] = make_fn()
-    return _CACHE[key]
+    hit = _CACHE.get(key)
+    if hit is None or hit[0] is not make_fn:
+        while len(_CACHE) >= _CACHE_SIZE:
+            _CACHE.pop(next(iter(_CACHE)))
+        hit = _CACHE[key] = (make_fn, make_fn())
+    return hit[1]
