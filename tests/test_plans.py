@@ -49,3 +49,13 @@ def test_split_is_narrow(spark, small_dir):
 def test_scoring_uses_arrow(spark, small_dir):
     plan = _plan(QUERIES["score_classes"](spark, small_dir))
     assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
+
+
+def test_flagship_scans_are_pruned(spark, small_dir):
+    import re
+    plan = _plan(QUERIES["sentiment_macro_by_lang"](spark, small_dir))
+    schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
+    assert len(schemas) >= 2, plan
+    joined = " ".join(schemas)
+    # documents.source / n_chars and labels.toxic are never read
+    assert "source" not in joined and "n_chars" not in joined and "toxic" not in joined
