@@ -24,8 +24,9 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from lexgrid.operators.ranking import sorted_positions
 
-# The rule tokenizer's separator class and the reserved ids.
+# The rule tokenizer's token and separator classes and the reserved ids.
 RULE_TOKEN_PATTERN = "[^ \\n\\t\\r]+"
+RULE_SEPARATOR_PATTERN = "[ \\n\\t\\r]+"
 PAD_ID = 0
 UNK_ID = 1
 SPECIALS = ("<pad>", "<unk>")
@@ -33,9 +34,13 @@ DEFAULT_MAP_LIMIT = 1_000_000
 
 
 def rule_tokens(text: Column | str) -> Column:
-    """Q1 (rule route): maximal runs of characters other than space, tab, CR, LF."""
+    """Q1 (rule route): maximal runs of characters other than space, tab, CR, LF.
+
+    Written as a split on separator runs without the empty edge pieces: the
+    same tokens as extracting every ``RULE_TOKEN_PATTERN`` match, but faster.
+    """
     t = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(t, F.lit(RULE_TOKEN_PATTERN), 0)
+    return F.filter(F.split(t, RULE_SEPARATOR_PATTERN), lambda x: x != "")
 
 
 def token_lengths(tokens: Column | str) -> Column:

@@ -206,3 +206,14 @@ def test_test_rows_rule():
     assert X.test_rows(7, 0.2) == 2
     assert X.test_rows(10, 3) == 3
     assert X.test_rows(3, 0.5) == math.ceil(1.5)
+
+
+def test_rule_tokens_edge_cases(spark):
+    import re
+    texts = ["  a b\n\nc\t", "", " \n\t\r ", "x", " nbsp stays　wide ", "a\r\nb  c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)],
+                               "k int, text string")
+    got = {r.k: r.t for r in df.select("k", TK.rule_tokens("text").alias("t")).collect()}
+    assert got[99] is None
+    for i, t in enumerate(texts):
+        assert got[i] == re.findall(r"[^ \n\t\r]+", t), (t, got[i])
