@@ -68,10 +68,12 @@ def padded_batches(df: DataFrame, order: Sequence[Column | str], ids: str, size:
     """Q5 + Q2-Q4: ``make_batches`` then ``pad_batch``, with no shuffle after the sort."""
     if size < 1:
         raise ValueError("size must be >= 1")
-    staged = df.withColumn("_ids", truncate(ids, max_len) if max_len else F.col(ids))
+    # the ordered pass below is opaque to pruning: carry one copy of the ids only
+    src = "_ids" if max_len else ids
+    staged = df.withColumn("_ids", truncate(ids, max_len)) if max_len else df
     ranked, parts = ranked_partitions(staged, order, "_pos")
     ranked = (ranked.withColumn(batch_col, F.floor((F.col("_pos") - 1) / size).cast("long"))
-              .withColumn("_len", F.size("_ids")))
+              .withColumn("_len", F.size(src)).drop("_pos", "_pid"))
     # first and last batch of every non-empty partition
     edges = parts.where(F.col("_n") > 0).select(F.explode(F.array_distinct(F.array(
         F.floor(F.col("_off") / size).cast("long"),
@@ -81,9 +83,9 @@ def padded_batches(df: DataFrame, order: Sequence[Column | str], ids: str, size:
     # at most two rows per partition: safe to broadcast
     tagged = ranked.join(F.broadcast(edge_widths), batch_col, "left")
     widths = _run_widths(tagged, batch_col, "_len", "_ew", "_w")
-    return (widths.withColumn(out_mask, padded_mask("_ids", F.col("_w"), side))
-            .withColumn(out_ids, pad_to("_ids", F.col("_w"), pad_id, side))
-            .drop("_ids", "_pid", "_pos", "_len", "_ew", "_w"))
+    return widths.select(*df.columns, batch_col,
+                         pad_to(src, F.col("_w"), pad_id, side).alias(out_ids),
+                         padded_mask(src, F.col("_w"), side).alias(out_mask))
 
 
 def _run_widths(df: DataFrame, group: str, length: str, known: str, out: str) -> DataFrame:

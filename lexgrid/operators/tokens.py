@@ -90,6 +90,8 @@ def encode(df: DataFrame, tokens: str, vocab: DataFrame, key: str, out: str = "i
     conversion, no per-token Python, no shuffle. (A Spark
     ``MapType`` lookup is a linear scan of its keys, so a literal map column is
     not used.) Unbounded route: explode with positions, join, regroup per row.
+    Every column of ``df`` passes through the Arrow lookup, so select only
+    the needed ones first (the optimizer cannot prune through it).
     """
     # One bounded fetch decides the route: at most map_limit + 1 rows reach
     # the driver, as Arrow columns (no Row objects).

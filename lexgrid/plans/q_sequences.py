@@ -90,7 +90,8 @@ GROUP BY d.doc_id
 def encode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens as vocabulary ids (unknown id for rare tokens)."""
     toks, vocab = _vocab(spark, sf_dir)
-    enc = TK.encode(toks, "tokens", vocab, "doc_id", "ids")
+    # the Arrow lookup is opaque to column pruning: hand it only what it needs
+    enc = TK.encode(toks.select("doc_id", "tokens"), "tokens", vocab, "doc_id", "ids")
     return enc.select("doc_id", Q.ids_to_string("ids").alias("ids"),
                       F.size(F.filter("ids", lambda x: x == TK.UNK_ID)).cast("long").alias("n_unknown"))
 

@@ -75,19 +75,22 @@ def test_padded_batches_match_window_padding(spark):
     rows = [(i, None if i % 37 == 5 else [rnd.randrange(9) for _ in range(rnd.randrange(0, 30))])
             for i in range(700)]
     df = spark.createDataFrame(rows, "key long, ids array<int>")
-    want = {r.key: (r.batch_id, r.input_ids, r.attention_mask) for r in
-            B.pad_batch(B.make_batches(df, ["key"], 16), "ids", side="left", pad_id=-1,
-                        max_len=20).collect()}
-    # 3 and 64 range partitions: batches inside one partition and batches over several
-    for parts in ("3", "64"):
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
-        try:
-            got = {r.key: (r.batch_id, r.input_ids, r.attention_mask) for r in
-                   B.padded_batches(df, ["key"], "ids", 16, side="left", pad_id=-1,
-                                    max_len=20).collect()}
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", "8")
-        assert got == want
+    for max_len in (20, None):
+        want = {r.key: (r.batch_id, r.ids, r.input_ids, r.attention_mask) for r in
+                B.pad_batch(B.make_batches(df, ["key"], 16), "ids", side="left", pad_id=-1,
+                            max_len=max_len).collect()}
+        # 3 and 64 range partitions: batches inside one partition and batches over several
+        for parts in ("3", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            try:
+                out = B.padded_batches(df, ["key"], "ids", 16, side="left", pad_id=-1,
+                                       max_len=max_len)
+                assert out.columns == ["key", "ids", "batch_id", "input_ids", "attention_mask"]
+                got = {r.key: (r.batch_id, r.ids, r.input_ids, r.attention_mask)
+                       for r in out.collect()}
+            finally:
+                spark.conf.set("spark.sql.shuffle.partitions", "8")
+            assert got == want
 
 
 def test_padded_batches_plan_has_one_full_shuffle(spark):
