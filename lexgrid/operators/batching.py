@@ -61,27 +61,41 @@ def pad_batch(df: DataFrame, ids: str, batch_col: str = "batch_id", side: str =
             .drop("_ids", "_w"))
 
 
+def numbered_batches(df: DataFrame, order: Sequence[Column | str], size: int,
+                     batch_col: str = "batch_id") -> tuple[DataFrame, DataFrame]:
+    """Q5 for ordered passes: ``(batched, edges)``.
+
+    ``batched`` is ``make_batches`` output whose rows stay in sorted order
+    inside the partitions of the range-partitioned sort (keep it to narrow
+    operators). ``edges`` lists the first and last batch of every non-empty
+    partition, at most two rows per partition: the only batches that can
+    span partitions.
+    """
+    if size < 1:
+        raise ValueError("size must be >= 1")
+    ranked, parts = ranked_partitions(df, order, "_pos")
+    batched = (ranked.withColumn(batch_col, F.floor((F.col("_pos") - 1) / size).cast("long"))
+               .drop("_pos", "_pid"))
+    edges = parts.where(F.col("_n") > 0).select(F.explode(F.array_distinct(F.array(
+        F.floor(F.col("_off") / size).cast("long"),
+        F.floor((F.col("_off") + F.col("_n") - 1) / size).cast("long")))).alias(batch_col)).distinct()
+    return batched, edges
+
+
 def padded_batches(df: DataFrame, order: Sequence[Column | str], ids: str, size: int = 16,
                    side: str = "right", pad_id: int = 0, max_len: int | None = None,
                    batch_col: str = "batch_id", out_ids: str = "input_ids",
                    out_mask: str = "attention_mask") -> DataFrame:
     """Q5 + Q2-Q4: ``make_batches`` then ``pad_batch``, with no shuffle after the sort."""
-    if size < 1:
-        raise ValueError("size must be >= 1")
     # the ordered pass below is opaque to pruning: carry one copy of the ids only
     src = "_ids" if max_len else ids
     staged = df.withColumn("_ids", truncate(ids, max_len)) if max_len else df
-    ranked, parts = ranked_partitions(staged, order, "_pos")
-    ranked = (ranked.withColumn(batch_col, F.floor((F.col("_pos") - 1) / size).cast("long"))
-              .withColumn("_len", F.size(src)).drop("_pos", "_pid"))
-    # first and last batch of every non-empty partition
-    edges = parts.where(F.col("_n") > 0).select(F.explode(F.array_distinct(F.array(
-        F.floor(F.col("_off") / size).cast("long"),
-        F.floor((F.col("_off") + F.col("_n") - 1) / size).cast("long")))).alias(batch_col)).distinct()
-    edge_widths = (ranked.join(F.broadcast(edges), batch_col)
+    batched, edges = numbered_batches(staged, order, size, batch_col)
+    batched = batched.withColumn("_len", F.size(src))
+    edge_widths = (batched.join(F.broadcast(edges), batch_col)
                    .groupBy(batch_col).agg(F.max("_len").alias("_ew")))
     # at most two rows per partition: safe to broadcast
-    tagged = ranked.join(F.broadcast(edge_widths), batch_col, "left")
+    tagged = batched.join(F.broadcast(edge_widths), batch_col, "left")
     widths = _run_widths(tagged, batch_col, "_len", "_ew", "_w")
     return widths.select(*df.columns, batch_col,
                          pad_to(src, F.col("_w"), pad_id, side).alias(out_ids),

@@ -8,13 +8,16 @@ Keep the UDF last in its stage: filters, joins and projections run before it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import (ArrayType, DataType, DoubleType, LongType, StringType, StructField,
+                               StructType)
+
+from lexgrid.operators.batching import numbered_batches
 
 DEFAULT_BATCH = 16
 
@@ -58,6 +61,52 @@ def score_exact_batches(df: DataFrame, batch_col: str, make_batch_fn: Callable,
     return df.groupBy(batch_col).applyInPandas(run, schema=schema)
 
 
+def score_ordered_batches(df: DataFrame, order: Sequence[Column | str], size: int,
+                          make_batch_fn: Callable, out: str, out_type: DataType,
+                          batch_col: str = "batch_id") -> DataFrame:
+    """Q5 + exact-batch scoring without shuffling the rows.
+
+    Batches are cut as ``make_batches`` does. A batch lies inside one
+    partition of the range-partitioned sort unless it is a partition's first
+    or last batch; only those edge rows (at most two batches per partition)
+    are grouped with ``applyInPandas``. Every other batch is scored in one
+    ordered ``mapInPandas`` pass per partition that holds back at most one
+    batch of rows between Arrow batches. ``make_batch_fn`` is as in
+    ``score_exact_batches``.
+    """
+    batched, edges = numbered_batches(df, order, size, batch_col)
+    schema = StructType(list(df.schema.fields) + [StructField(batch_col, LongType(), True),
+                                                  StructField(out, out_type, True)])
+    cols = [f.name for f in schema.fields[:-1]]
+    edges = F.broadcast(edges)  # at most two rows per partition
+    edge_rows = batched.join(edges, batch_col, "left_semi").select(*cols)
+    inner_rows = batched.join(edges, batch_col, "left_anti").select(*cols)
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        fn = _cached(make_batch_fn)
+        pdf = pdf.reset_index(drop=True)
+        pdf[out] = list(fn(pdf))
+        return pdf
+
+    def runs(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if pdf.empty:
+                continue
+            tail = pdf[batch_col] == pdf[batch_col].iat[-1]
+            ready, carry = pdf[~tail], pdf[tail]
+            if not ready.empty:
+                yield pd.concat([score(g) for _, g in ready.groupby(batch_col, sort=False)],
+                                ignore_index=True)
+        if carry is not None and not carry.empty:
+            yield score(carry)
+
+    return inner_rows.mapInPandas(runs, schema).unionByName(
+        edge_rows.groupBy(batch_col).applyInPandas(score, schema=schema))
+
+
 _CACHE: dict[int, tuple[Callable, Callable]] = {}
 _CACHE_SIZE = 2
 

@@ -220,3 +220,30 @@ def test_rule_tokens_edge_cases(spark):
     assert got[99] is None
     for i, t in enumerate(texts):
         assert got[i] == re.findall(r"[^ \n\t\r]+", t), (t, got[i])
+
+
+def test_ordered_batch_scoring_matches_grouped(spark):
+    from pyspark.sql.types import LongType
+
+    from lexgrid.operators import scoring as S
+
+    def _batch_stats_model():
+        import numpy as np
+
+        def run(pdf):
+            # depends on the whole batch: its size and its largest value
+            return np.full(len(pdf), len(pdf) * 1000 + int(pdf["v"].max()), dtype=np.int64)
+        return run
+
+    df = spark.range(1000).select(F.col("id").alias("key"), ((F.col("id") * 7919) % 613).alias("v"))
+    want = {r.key: (r.batch_id, r.s) for r in S.score_exact_batches(
+        B.make_batches(df, ["key"], 16), "batch_id", _batch_stats_model, "s", LongType()).collect()}
+    for parts in ("3", "70"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            out = S.score_ordered_batches(df, ["key"], 16, _batch_stats_model, "s", LongType())
+            assert out.columns == ["key", "v", "batch_id", "s"]
+            got = {r.key: (r.batch_id, r.s) for r in out.collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert got == want
