@@ -107,8 +107,18 @@ def test_padded_batches_plan_has_one_full_shuffle(spark):
 
 def test_row_slice_clips(spark):
     df = spark.range(10).withColumnRenamed("id", "key")
-    got = sorted(r.key for r in B.row_slice(df, 8, 20, ["key"]).collect())
-    assert got == [8, 9]
+    for limit in (0, 100):  # positions route, top-k route
+        got = sorted(r.key for r in B.row_slice(df, 8, 20, ["key"], top_k_limit=limit).collect())
+        assert got == [8, 9]
+
+
+def test_row_slice_routes_agree(spark):
+    df = spark.range(3000).select(((F.col("id") * 7) % 13).alias("g"), F.col("id").alias("key"))
+    order = [F.col("g").desc(), "key"]
+    for start, stop in [(0, 16), (1488, 1504), (2990, 3100), (5, 5)]:
+        a = [tuple(r) for r in B.row_slice(df, start, stop, order, top_k_limit=0).collect()]
+        b = [tuple(r) for r in B.row_slice(df, start, stop, order).collect()]
+        assert sorted(a) == sorted(b) and len(a) == max(0, min(stop, 3000) - start)
 
 
 def test_macro_report_fixture(spark):
