@@ -54,9 +54,10 @@ def predict(model: PipelineModel, df: DataFrame, out: str = "prediction",
 def evaluate(model: PipelineModel, test: DataFrame, label: str) -> DataFrame:
     """Macro P/R/F1, accuracy and the eval loss (softmax cross-entropy of the margins)."""
     scored = predict(model, test).withColumn(label, F.col(label).cast("int")).cache()
-    report = macro_report(scored, label, "prediction")
-    loss = scored.agg(F.round(F.avg(cross_entropy("logits", label)), 6).alias("eval_loss"))
-    return report.crossJoin(loss)
+    # one scalar: the mean loss, attached to the one-row report
+    loss = scored.agg(F.round(F.avg(cross_entropy("logits", label)), 6)).first()[0]
+    return macro_report(scored, label, "prediction").withColumn(
+        "eval_loss", F.lit(loss).cast("double"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -34,7 +34,7 @@ def few_shot_block(examples: DataFrame, order: Sequence[str], line: str, k: int,
 
     ``orderBy(...).limit(k)`` plans as a per-partition top-k and a k-row merge,
     so the block is built from at most ``k`` rows per task; the result is a
-    single row, safe to broadcast.
+    single row of ``k`` lines, small enough to use as a literal in the prompt plan.
     """
     if k < 1:
         raise ValueError("k must be >= 1")

@@ -101,6 +101,11 @@ def brand_reduction(before: DataFrame, before_col: str, after: DataFrame, after_
                     exact: bool = True) -> DataFrame:
     """Distinct non-empty brand names before and after resolution."""
     agg = F.countDistinct if exact else F.approx_count_distinct
-    b = before.where(F.col(before_col) != "").agg(agg(before_col).alias("brands_before"))
-    a = after.where(F.col(after_col) != "").agg(agg(after_col).alias("brands_after"))
-    return b.crossJoin(a)
+    tagged = (before.select(F.lit(True).alias("_before"), F.col(before_col).cast("string").alias("_v"))
+              .unionByName(after.select(F.lit(False).alias("_before"),
+                                        F.col(after_col).cast("string").alias("_v")))
+              .where(F.col("_v") != ""))
+    # one aggregation over both sides (null values are not counted)
+    return tagged.agg(
+        F.coalesce(agg(F.when(F.col("_before"), F.col("_v"))), F.lit(0)).alias("brands_before"),
+        F.coalesce(agg(F.when(~F.col("_before"), F.col("_v"))), F.lit(0)).alias("brands_after"))

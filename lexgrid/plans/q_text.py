@@ -212,6 +212,7 @@ def few_shot_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     examples = lst.where(F.col("brand_name") != "").select(
         "id", F.concat(F.col("shop_name"), F.lit(" => "), F.col("brand_name")).alias("line"),
         hash_key("id", 42).alias("h"))
-    block = few_shot_block(examples, ["h", "id"], "line", FEW_SHOT_K)
-    return lst.crossJoin(F.broadcast(block)).select(
-        "id", F.concat(F.col("block"), F.lit("\n"), F.col("prompt")).alias("prompt"))
+    # the block is k lines: fetched once and rendered as a literal of the plan
+    block = few_shot_block(examples, ["h", "id"], "line", FEW_SHOT_K).first()["block"]
+    return lst.select("id", F.concat(F.lit(block).cast("string"), F.lit("\n"),
+                                     F.col("prompt")).alias("prompt"))
