@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexgrid.llm import sql
+from lexgrid.llm import chat, sql
 from lexgrid.llm.common import table
 from lexgrid.llm.exact_dedup import DigestIndex
+from lexgrid.llm.packing import pack
 from lexgrid.llm.pii import pii_report
+from lexgrid.llm.toxicity import fit_chain, predict
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +27,18 @@ def register(name: str, twin: str | None = None):
     return deco
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+@register("op2_toxicity_chain")
+def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities and verdicts for every document."""
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, fit_chain(docs, table(spark, sf_dir, "labels")))
+
+
 @register("op3_pii_spans", sql.PII)
 def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text."""
@@ -36,3 +50,18 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as one batch against an empty persistent index."""
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return DigestIndex(spark, buckets=buckets).dedup(table(spark, sf_dir, "documents"))
+
+
+@register("op4_chat_format", sql.CHAT)
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one made of control strings, formatted and read back."""
+    tricky = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema)
+    return chat.chat_digests(chat.format_chats(chat.conversations(rows.unionByName(extra))))
+
+
+@register("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
