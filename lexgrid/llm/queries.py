@@ -11,6 +11,8 @@ from lexgrid.llm.common import table
 from lexgrid.llm.exact_dedup import DigestIndex
 from lexgrid.llm.packing import pack
 from lexgrid.llm.pii import pii_report
+from lexgrid.llm.secret_scan import findings, fit_network, secret_report
+from lexgrid.llm.sentencepiece_codec import encoding_report
 from lexgrid.llm.toxicity import fit_chain, predict
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +63,19 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chat.format_chats(chat.conversations(rows.unionByName(extra))))
 
 
+@register("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded with the public piece model."""
+    return encoding_report(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@register("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: base rules and the network trained on what the rules label."""
+    docs = table(spark, sf_dir, "documents")
+    return secret_report(docs, fit_network(findings(docs)))
+
+
 @register("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""

@@ -37,6 +37,7 @@ SAMPLE_ROWS = 12_000
 WORDS_PER_CATEGORY = 512
 FOLDS = 3
 RIDGE = 1.0
+CRITICAL = 27.0     # chi-square of one in 2**18 slots by chance at about 5 % over all slots
 SHAPE = 5
 MASK = np.uint64((1 << HASH_BITS) - 1)
 
@@ -114,13 +115,13 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _chosen(row: np.ndarray, slot: np.ndarray, y: np.ndarray, count: int) -> np.ndarray:
-    """The slots with the highest chi-square against ``y`` among those in five rows or more."""
+    """The slots with the highest chi-square against ``y``, of those in five rows or more that aren't chance."""
     n, pos = len(y), float(y.sum())
     df = np.bincount(slot, minlength=1 << HASH_BITS).astype(float)
     hit = np.bincount(slot, weights=y[row], minlength=1 << HASH_BITS)
     base = df * pos / max(n, 1)
     gain = (hit - base) ** 2 / np.maximum(base * (1 - df / max(n, 1)) * (1 - pos / max(n, 1)), 1e-9)
-    gain[df < 5] = 0
+    gain[(df < 5) | (gain < CRITICAL)] = 0
     best = np.argsort(-gain, kind="stable")[:count]
     return np.sort(best[gain[best] > 0])
 
