@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lexgrid.llm import chat, sql
 from lexgrid.llm.common import table
 from lexgrid.llm.exact_dedup import DigestIndex
+from lexgrid.llm.jaccard_join import jaccard_components
 from lexgrid.llm.packing import pack
 from lexgrid.llm.pii import pii_report
 from lexgrid.llm.secret_scan import findings, fit_network, secret_report
@@ -69,6 +71,12 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_report(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+@register("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with 3-word shingle Jaccard of 0.9 or more."""
+    return jaccard_components(table(spark, sf_dir, "documents"), 3, Fraction(9, 10))
+
+
 @register("op8_secret_scan")
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text: base rules and the network trained on what the rules label."""
