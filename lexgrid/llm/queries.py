@@ -6,6 +6,7 @@ from collections.abc import Callable
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexgrid.llm import chat, sql
 from lexgrid.llm.common import table
@@ -15,6 +16,7 @@ from lexgrid.llm.packing import pack
 from lexgrid.llm.pii import pii_report
 from lexgrid.llm.secret_scan import findings, fit_network, secret_report
 from lexgrid.llm.sentencepiece_codec import encoding_report
+from lexgrid.llm.topk_mtree import top_k
 from lexgrid.llm.toxicity import fit_chain, predict
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +86,12 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(docs, fit_network(findings(docs)))
 
 
+@register("op9_topk_mtree", sql.TOP_K)
+def op9_topk_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best inner products for every vector whose id is divisible by 100."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @register("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
