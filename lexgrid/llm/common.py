@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexgrid.session import scratch_path
 
@@ -42,6 +43,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+FILTER_BITS = 1 << 26
+PAGE_BITS = 8 * 4096        # fixed value: bits of one bitmap of bitmap_construct_agg
+
+
+def maybe_in(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+    """``df`` without most of the rows whose ``column`` is in no row of ``keys``, for use before a join on it.
+
+    A one-hash filter of ``FILTER_BITS`` bits: 2048 bitmaps of 4 kB at most, so its
+    8 MB may be broadcast whatever the size of ``keys``. Rows that match always pass; the more
+    keys there are, the more others pass too, and the join drops them.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    pages = keys.select(slot(key).alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    at = F.bitmap_bit_position(slot(column))
+    byte = F.conv(F.hex(F.substr("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit: Column = F.expr("_byte >> CAST(_at % 8 AS INT) & 1") == 1
+    return (df.withColumn("_page", F.bitmap_bucket_number(slot(column))).join(F.broadcast(pages), "_page")
+            .withColumn("_at", at).withColumn("_byte", byte).where(hit).select(*df.columns))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64 (bijective on 64 bits)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import mix, written
+from lexgrid.llm.common import maybe_in, mix, written
 from lexgrid.llm.graph import components
 
 SPARE, SPARE_SHARE = 2, 0.1  # S = SPARE + SPARE_SHARE * H
@@ -150,7 +150,7 @@ def linked_forest(keys: DataFrame, tokens_of: Callable[[DataFrame], DataFrame],
     Node ids are unique and not null.
     """
     company = keys.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").checkpoint()
-    shared = written(keys.join(company, "cell"), "shared-cells")
+    shared = written(maybe_in(keys, "cell", company, "cell").join(company, "cell"), "shared-cells")
     # the cell with most company brings the near copies of one text together
     homes = written(shared.groupBy("node").agg(
         F.count(F.lit(1)).alias("k"), F.first("size").alias("size"), F.first("need").alias("need"),
