@@ -8,15 +8,20 @@ ASCII bytes, so no multi-byte character is ever cut.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lexgrid.session import scratch_path
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+SLICE = 256
 _RNG = np.random.default_rng(20240607)
 _VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _VALUE[65:91] = _VALUE[97:123]          # A-Z count as a-z
@@ -43,6 +48,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_slices(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str | StructType,
+               rows: int = SLICE) -> DataFrame:
+    """``mapInPandas`` that turns ``rows`` rows of an Arrow batch into Python objects at a time, so
+    that a worker holds one batch in Arrow's form and a slice of it in Python's."""
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    out = to_arrow_schema(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices = (b.slice(at, rows).to_pandas() for b in batches for at in range(0, b.num_rows, rows))
+        for frame in fn(slices):
+            yield pa.RecordBatch.from_pandas(frame, schema=out, preserve_index=False)
+
+    return df.mapInArrow(run, kind)
+
+
 FILTER_BITS = 1 << 26
 PAGE_BITS = 8 * 4096        # fixed value: bits of one bitmap of bitmap_construct_agg
 

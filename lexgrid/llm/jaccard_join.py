@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import hash_many, maybe_in, shingles, written
+from lexgrid.llm.common import hash_many, map_slices, maybe_in, shingles, written
 from lexgrid.llm.simjoin import component_ids, linked_forest, pigeonhole_cells
 
 
@@ -52,15 +52,15 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
     Jaccard ``threshold`` or more. No link is lost."""
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    sketches = written(rows.mapInPandas(_sketch(k, threshold), f"doc_id {kind}, size bigint, digest binary, need int, cells array<bigint>"),
-                       "sketches")
+    sketches = written(map_slices(rows, _sketch(k, threshold), f"doc_id {kind}, size bigint, digest binary, need int, "
+                                                                  "cells array<bigint>"), "sketches")
     sets = written(sketches.where("size > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node")), "sets")
     keys = written(sketches.join(sets, (F.col("doc_id") == F.col("node")) & (sketches["digest"] == sets["digest"])).select(
         "node", "size", "need", "cells"), "set-cells").select("node", "size", "need", F.explode("cells").alias("cell"))
 
     def tokens_of(members: DataFrame) -> DataFrame:
-        return maybe_in(rows, "doc_id", members, "node").join(members, F.col("doc_id") == F.col("node")).select("node", "grp", "text").mapInPandas(
-            _tokens(k), f"node {kind}, grp bigint, tokens binary")
+        return map_slices(maybe_in(rows, "doc_id", members, "node").join(members, F.col("doc_id") == F.col("node")).select(
+            "node", "grp", "text"), _tokens(k), f"node {kind}, grp bigint, tokens binary")
 
     found = written(component_ids(sets, linked_forest(keys, tokens_of, threshold)), "set-components")
     return sketches.join(found.select(F.col("digest").alias("_d"), "component_id"), F.col("digest") == F.col("_d"), "left").select(

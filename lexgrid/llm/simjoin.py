@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import maybe_in, mix, written
+from lexgrid.llm.common import map_slices, maybe_in, mix, written
 from lexgrid.llm.graph import components
 
 SPARE, SPARE_SHARE = 2, 0.1  # S = SPARE + SPARE_SHARE * H
@@ -184,7 +184,7 @@ def linked_forest(keys: DataFrame, tokens_of: Callable[[DataFrame], DataFrame],
     alone = pairs.where("g1 = g2").join(first, "g1").select("s1", F.lit(None).cast(second.schema["s2"].dataType).alias("s2"))
     both = pairs.where("g1 <> g2").join(first, "g1").join(second, "g2").select("s1", "s2")
     node = keys.schema["node"].dataType.simpleString()
-    return both.unionByName(alone).mapInPandas(_compare(t), f"src {node}, dst {node}")
+    return map_slices(both.unionByName(alone), _compare(t), f"src {node}, dst {node}", 16)
 
 
 def _compare(t: Fraction):
