@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -67,21 +67,35 @@ FILTER_BITS = 1 << 26
 PAGE_BITS = 8 * 4096        # fixed value: bits of one bitmap of bitmap_construct_agg
 
 
-def maybe_in(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
-    """``df`` without most of the rows whose ``column`` is in no row of ``keys``, for use before a join on it.
+def _with_hit(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+    """Add ``_hit``: true where ``column`` may be in ``keys``; where it is false or null, it is not.
 
     A one-hash filter of ``FILTER_BITS`` bits: 2048 bitmaps of 4 kB at most, so its
-    8 MB may be broadcast whatever the size of ``keys``. Rows that match always pass; the more
-    keys there are, the more others pass too, and the join drops them.
+    8 MB may be broadcast whatever the size of ``keys``. Keys always hit; the more
+    there are, the more others hit too.
     """
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
     pages = keys.select(slot(key).alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_page")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
     at = F.bitmap_bit_position(slot(column))
     byte = F.conv(F.hex(F.substr("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    hit: Column = F.expr("_byte >> CAST(_at % 8 AS INT) & 1") == 1
-    return (df.withColumn("_page", F.bitmap_bucket_number(slot(column))).join(F.broadcast(pages), "_page")
-            .withColumn("_at", at).withColumn("_byte", byte).where(hit).select(*df.columns))
+    return (df.withColumn("_page", F.bitmap_bucket_number(slot(column))).join(F.broadcast(pages), "_page", "left")
+            .withColumn("_at", at).withColumn("_byte", byte)
+            .withColumn("_hit", F.expr("_byte >> CAST(_at % 8 AS INT) & 1") == 1).drop("_page", "_bits", "_at", "_byte"))
+
+
+def maybe_in(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+    """``df`` without most of the rows whose ``column`` is in no row of ``keys``, for use before a join on it."""
+    return _with_hit(df, column, keys, key).where("_hit").drop("_hit")
+
+
+def without_keys(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+    """``df`` without the rows whose ``column`` is in ``keys``; only rows that the filter can't clear are
+    shuffled for the anti-join. Rows with a null ``column`` stay."""
+    marked = _with_hit(df, column, keys, key)
+    clear = marked.where("_hit IS NULL OR NOT _hit").drop("_hit")
+    named = keys.select(F.col(key).alias("_key")).distinct()
+    return clear.unionByName(marked.where("_hit").drop("_hit").join(named, F.col(column) == F.col("_key"), "left_anti"))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

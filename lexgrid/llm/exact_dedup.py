@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import written
+from lexgrid.llm.common import without_keys, written
 from lexgrid.session import scratch_path
 
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -99,6 +99,5 @@ def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text",
     be unique; a row with a null key is kept as it can't be named.
     """
     index = index or DigestIndex(docs.sparkSession)
-    gone = (index.dedup(docs, key, text).where(~F.col("kept") & F.col("doc_id").isNotNull())
-            .select(F.col("doc_id").alias(key)).distinct())
-    return docs.join(gone, key, "left_anti").select(*docs.columns)
+    gone = written(index.dedup(docs, key, text).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id"), "copies")
+    return without_keys(docs, key, gone, "doc_id")

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import hash_many, map_slices, maybe_in, shingles, written
+from lexgrid.llm.common import hash_many, map_slices, maybe_in, shingles, without_keys, written
 from lexgrid.llm.simjoin import component_ids, linked_forest, pigeonhole_cells
 
 
@@ -70,6 +70,5 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
 def one_per_component(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(4, 5), key: str = "doc_id",
                       text: str = "text") -> DataFrame:
     """``docs`` with the document of the smallest id of each component; rows with a null id stay."""
-    gone = jaccard_components(docs, k, threshold, key, text).where("doc_id <> component_id").select(
-        F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, key, "left_anti").select(*docs.columns)
+    gone = written(jaccard_components(docs, k, threshold, key, text).where("doc_id <> component_id").select("doc_id"), "near-copies")
+    return without_keys(docs, key, gone, "doc_id")

@@ -13,6 +13,7 @@ from lexgrid.llm.common import table
 from lexgrid.llm.exact_dedup import DigestIndex
 from lexgrid.llm.jaccard_join import jaccard_components
 from lexgrid.llm.packing import pack
+from lexgrid.llm.paragraph_dedup import repeat_report
 from lexgrid.llm.pii import pii_report
 from lexgrid.llm.secret_scan import findings, fit_network, secret_report
 from lexgrid.llm.sentencepiece_codec import encoding_report
@@ -38,6 +39,12 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@register("op1_paragraph_dedup")
+def op1_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages that other documents have too."""
+    return repeat_report(table(spark, sf_dir, "documents"))
+
+
 @register("op2_toxicity_chain")
 def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category probabilities and verdicts for every document."""

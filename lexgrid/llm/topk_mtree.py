@@ -232,13 +232,14 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, key: str = "vec_id",
     # first visit: a node's innermost page that can fill a result
     inmost = pages.where(F.col("n") > k).groupBy("node").agg(F.min(F.struct("ring", "part")).alias("at")).select("node", "at.*")
     head = pages.join(inmost, ["node", "ring", "part"]).select("node", "up", F.col("ids").alias("entry_ids"), "x")
-    early = dealt(asked).mapInPandas(tree.first_visits, f"node int, {QUERIES}").join(head, "node").mapInPandas(tree.visit, hits)
+    early = dealt(asked).mapInPandas(tree.first_visits, f"node int, {QUERIES}").hint("merge").join(head, "node").mapInPandas(tree.visit, hits)
     floors = early.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min(
         F.struct("score", F.bitwise_not("vec_id").alias("back"))).alias("w")).where(F.col("n") >= k).select(
             F.col("query_id").alias("vec_id"), F.col("w.score").alias("floor"), F.bitwise_not("w.back").alias("floor_id"))
     bounded = written(asked.select("vec_id", "v").join(floors, "vec_id", "left"), "bounded")
     routed = dealt(bounded).mapInPandas(tree.routed(rings), f"node int, low double, high double, {QUERIES}")
-    visits = routed.join(found, "node").where("low <= radius AND high >= inner").drop("low", "high", "inner", "radius")
+    # a merge join by name: sizes of packed rows are guessed far too small for a broadcast to be safe
+    visits = routed.hint("merge").join(found, "node").where("low <= radius AND high >= inner").drop("low", "high", "inner", "radius")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return visits.mapInPandas(tree.visit, hits).withColumn("rank", F.row_number().over(best).cast("int")).where(
         F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

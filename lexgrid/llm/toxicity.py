@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import NON_WORD, hash_many
+from lexgrid.llm.common import NON_WORD, hash_many, map_slices
 
 HASH_BITS = 18
 SAMPLE_ROWS = 12_000
@@ -235,4 +235,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         for f in frames:
             yield f[chain.probabilities(f[text].tolist())[:, k] < chain.thresholds[k]]
 
-    return docs.mapInPandas(keep, docs.schema)
+    return map_slices(docs, keep, docs.schema)
