@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import hash_words, map_slices, maybe_in, mix, shingles, written
+from lexgrid.llm.common import CHUNK, fresh, hash_words, map_slices, maybe_in, mix, shingles, written
 from lexgrid.llm.graph import components
 from lexgrid.llm.simjoin import linked_forest
 
@@ -59,16 +59,20 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def window_places(words: np.ndarray) -> np.ndarray:
-    """First words of the chosen windows: the place of the lowest gram hash of each ``STRIDE`` places."""
-    places = len(words) - WINDOW + 1
-    if places <= 0:
+def window_places(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """First words of the chosen windows: the place of the lowest gram hash of each ``STRIDE``
+    places, or of all places of a text that has fewer. ``ends``: for each word, the end of its text."""
+    n = len(words)
+    at = np.arange(n)
+    fits = at + WINDOW <= ends
+    gram = np.full(n + STRIDE - 1, np.uint64(2**64 - 1))
+    gram[:max(n - GRAM + 1, 0)] = shingles(words, GRAM)[:max(n - GRAM + 1, 0)]
+    gram[:n][~fits] = np.uint64(2**64 - 1)
+    if not fits.any():
         return np.empty(0, np.int64)
-    gram = shingles(words, GRAM)[:places]
-    if places <= STRIDE:
-        return np.array([int(gram.argmin())])
-    runs = np.lib.stride_tricks.sliding_window_view(gram, STRIDE)
-    return np.unique(runs.argmin(1) + np.arange(len(runs)))
+    low = np.lib.stride_tricks.sliding_window_view(gram, STRIDE).argmin(1) + at
+    begins = np.r_[True, ends[1:] != ends[:-1]]
+    return np.unique(low[fits & (begins | (at + STRIDE - 1 + WINDOW <= ends))])
 
 
 def window_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -77,11 +81,12 @@ def window_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix((total[at + WINDOW] - total[at]) * down[at])
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """MinHash values, a row per set (none empty)."""
-    tokens = np.concatenate(sets)
-    cuts = np.r_[0, np.cumsum([len(s) for s in sets])[:-1]]
-    return np.stack([np.minimum.reduceat(mix(tokens * a), cuts) for a in _ODD], 1)
+def signatures(tokens: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
+    """MinHash values of ranges of tokens (in order, not empty, without overlap), a row per range."""
+    cuts = np.array(ranges).reshape(-1)
+    last = cuts[-1] == len(tokens)
+    # products with odd numbers: their high bits, which decide the minimum, are well mixed
+    return np.stack([np.minimum.reduceat(tokens * a, cuts[:-1] if last else cuts)[::2] for a in _ODD], 1)
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
@@ -94,9 +99,9 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _paragraphs(raw: bytes, words: np.ndarray, starts: np.ndarray) -> list[tuple[int, int]]:
+def _paragraphs(newlines: np.ndarray, starts: np.ndarray) -> list[tuple[int, int]]:
     """Word ranges of the lines that are long enough."""
-    line = np.searchsorted(np.flatnonzero(np.frombuffer(raw, np.uint8) == 10), starts)
+    line = np.searchsorted(newlines, starts)
     edge = np.flatnonzero(np.diff(np.r_[-1, line, -1]))
     return [(int(a), int(b)) for a, b in zip(edge[:-1], edge[1:]) if b - a >= MIN_WORDS]
 
@@ -107,25 +112,44 @@ _UNITS = ("doc_id {0}, hashes array<bigint>, starts array<int>, ends array<int>,
 
 def _units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
-        rows = []
+        rows, keys, raws, size = [], [], [], 0
         for key, text in zip(f["doc_id"], f["text"]):
             raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
-            words, s, e = hash_words(raw)
-            if len(words) < WINDOW:
-                continue
-            point = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80) - 1     # code point of each byte
-            first, last = point[s], point[e - 1] + 1
-            at = window_places(words)
-            windows = (window_hashes(words, at).view(np.int64), first[at].astype(np.int32), last[at + WINDOW - 1].astype(np.int32))
-            found = _paragraphs(raw, words, s)
-            sets = [np.unique(shingles(words[a:b], SHINGLE)) for a, b in found]
-            keys = band_keys(signatures(sets)).view(np.int64) if sets else ()
-            paragraphs = [(hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest(), len(x), int(first[a]), int(last[b - 1]), k.tolist())
-                          for (a, b), x, k in zip(found, sets, keys)]
-            rows.append((key, *windows, [dict(zip(("node", "size", "start", "end", "bands"), p)) for p in paragraphs]))
+            if raws and size + len(raw) > CHUNK:
+                rows += _units_of(keys, raws)
+                keys, raws, size = [], [], 0
+            keys.append(key)
+            raws.append(raw)
+            size += len(raw) + 1
+        rows += _units_of(keys, raws)
         yield pd.DataFrame(rows, columns=["doc_id", "hashes", "starts", "ends", "paragraphs"])
 
 
+def _units_of(keys: list, raws: list[bytes]) -> list[tuple]:
+    """Units of some texts, worked out together."""
+    text = b"\n".join(raws)
+    words, s, e = hash_words(text)
+    if len(words) < WINDOW:
+        return []
+    buf = np.frombuffer(text, np.uint8)
+    first_byte = np.r_[0, np.cumsum([len(r) + 1 for r in raws])]
+    first_word = np.searchsorted(s, first_byte)
+    ends = np.repeat(first_word[1:], np.diff(first_word))
+    point = np.cumsum((buf & 0xC0) != 0x80, dtype=np.int32)      # code points up to and with each byte
+    base = np.repeat(np.r_[0, point][np.minimum(first_byte[:-1], len(buf))], np.diff(first_word)).astype(np.int32)
+    first, last = point[s] - 1 - base, point[e - 1] - base
+    at = window_places(words, ends)
+    hashes, cuts = window_hashes(words, at).view(np.int64), np.searchsorted(at, first_word)
+    found = _paragraphs(np.flatnonzero(buf == 10), s)
+    bands = band_keys(signatures(shingles(words, SHINGLE), [(a, b - SHINGLE + 1) for a, b in found])).view(np.int64) if found else ()
+    paragraphs: list[list[dict]] = [[] for _ in keys]
+    for (a, b), k, doc in zip(found, bands, np.searchsorted(first_word, [a for a, _ in found], "right") - 1):
+        paragraphs[doc].append({"node": hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest(), "size": b - a,
+                                "start": int(first[a]), "end": int(last[b - 1]), "bands": k})
+    return [(key, hashes[x:y], first[at[x:y]], last[at[x:y] + WINDOW - 1], own)
+            for key, x, y, own in zip(keys, cuts[:-1], cuts[1:], paragraphs) if x < y or own]
+
+
 def _paragraph_tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         rows = []
@@ -217,16 +241,18 @@ def repeat_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the removed spans cut out of their texts."""
-    report = written(repeat_report(docs, key, text).where("n_removed > 0").select(F.col("doc_id").alias(key), "removals"), "removals")
+    own, spans_of, columns = fresh(docs, "_cut_id"), fresh(docs, "_cut_spans"), docs.columns
+    report = written(repeat_report(docs, key, text).where("n_removed > 0").select(
+        F.col("doc_id").alias(own), F.col("removals").alias(spans_of)), "removals")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             texts = []
-            for t, spans in zip(f[text], f["removals"]):
+            for t, spans in zip(f[text], f[spans_of]):
                 for part in reversed(spans.split(",") if isinstance(spans, str) else []):
                     a, b = map(int, part.split(":"))
                     t = t[:a] + t[b:]
                 texts.append(t)
-            yield f.drop(columns="removals").assign(**{text: texts})[docs.columns]
+            yield f.assign(**{text: texts})[columns]
 
-    return docs.join(report, key, "left").mapInPandas(cut, docs.schema)
+    return map_slices(docs.join(report, F.col(key) == F.col(own), "left"), cut, docs.schema)
