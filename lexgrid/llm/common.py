@@ -67,35 +67,43 @@ FILTER_BITS = 1 << 26
 PAGE_BITS = 8 * 4096        # fixed value: bits of one bitmap of bitmap_construct_agg
 
 
-def _with_hit(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
-    """Add ``_hit``: true where ``column`` may be in ``keys``; where it is false or null, it is not.
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    return next(name for name in (stem + "_" * i for i in range(len(taken) + 1)) if name.lower() not in taken)
+
+
+def _with_hit(df: DataFrame, column: str, keys: DataFrame, key: str, hit: str) -> DataFrame:
+    """Add ``hit``: true where ``column`` may be in ``keys``; where it is false or null, it is not.
 
     A one-hash filter of ``FILTER_BITS`` bits: 2048 bitmaps of 4 kB at most, so its
     8 MB may be broadcast whatever the size of ``keys``. Keys always hit; the more
     there are, the more others hit too.
     """
+    page, bits, at = (fresh(df, stem) for stem in ("_filter_page", "_filter_bits", "_filter_at"))
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    pages = keys.select(slot(key).alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_page")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
-    at = F.bitmap_bit_position(slot(column))
-    byte = F.conv(F.hex(F.substr("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return (df.withColumn("_page", F.bitmap_bucket_number(slot(column))).join(F.broadcast(pages), "_page", "left")
-            .withColumn("_at", at).withColumn("_byte", byte)
-            .withColumn("_hit", F.expr("_byte >> CAST(_at % 8 AS INT) & 1") == 1).drop("_page", "_bits", "_at", "_byte"))
+    slots = keys.select(slot(F.col(key)).alias("slot"))
+    pages = slots.groupBy(F.bitmap_bucket_number("slot").alias(page)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias(bits))
+    byte = F.conv(F.hex(F.substr(F.col(bits), (F.floor(F.col(at) / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return (df.withColumn(page, F.bitmap_bucket_number(slot(F.col(column)))).join(F.broadcast(pages), page, "left")
+            .withColumn(at, F.bitmap_bit_position(slot(F.col(column))))
+            .withColumn(hit, F.floor(byte / F.pow(F.lit(2), F.col(at) % 8)) % 2 == 1).drop(page, bits, at))
 
 
 def maybe_in(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
     """``df`` without most of the rows whose ``column`` is in no row of ``keys``, for use before a join on it."""
-    return _with_hit(df, column, keys, key).where("_hit").drop("_hit")
+    hit = fresh(df, "_filter_hit")
+    return _with_hit(df, column, keys, key, hit).where(F.col(hit)).drop(hit)
 
 
 def without_keys(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
     """``df`` without the rows whose ``column`` is in ``keys``; only rows that the filter can't clear are
     shuffled for the anti-join. Rows with a null ``column`` stay."""
-    marked = _with_hit(df, column, keys, key)
-    clear = marked.where("_hit IS NULL OR NOT _hit").drop("_hit")
-    named = keys.select(F.col(key).alias("_key")).distinct()
-    return clear.unionByName(marked.where("_hit").drop("_hit").join(named, F.col(column) == F.col("_key"), "left_anti"))
+    hit, name = fresh(df, "_filter_hit"), fresh(df, "_filter_key")
+    marked = _with_hit(df, column, keys, key, hit)
+    clear = marked.where(~F.coalesce(F.col(hit), F.lit(False))).drop(hit)
+    named = keys.select(F.col(key).alias(name)).distinct()
+    return clear.unionByName(marked.where(F.col(hit)).drop(hit).join(named, F.col(column) == F.col(name), "left_anti")).select(*df.columns)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

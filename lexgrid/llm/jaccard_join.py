@@ -64,7 +64,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
 
     found = written(component_ids(sets, linked_forest(keys, tokens_of, threshold)), "set-components")
     return sketches.join(found.select(F.col("digest").alias("_d"), "component_id"), F.col("digest") == F.col("_d"), "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def one_per_component(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(4, 5), key: str = "doc_id",

@@ -21,7 +21,6 @@ only the named columns are read.
 
 from __future__ import annotations
 
-import base64
 import json
 import zlib
 from collections.abc import Iterator

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexgrid.functions.sequences import let
+from lexgrid.llm.common import fresh
 
 BLOCK = 256
 NEAR = 40
@@ -160,15 +161,15 @@ def pii_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; where spans overlap, the
     one that starts first (then the kind listed first) counts and the others are dropped."""
-    found = pii_spans(docs, text, "_pii")
-    # from the last span to the first, so that offsets in front stay right
-    chosen = F.aggregate("_pii", F.array().cast(SPAN), lambda a, s: F.when(
+    own = fresh(docs, "_pii")
+    found = pii_spans(docs, text, own)
+    # of overlapping spans the first counts
+    chosen = F.aggregate(own, F.array().cast(SPAN), lambda a, s: F.when(
         (F.size(a) > 0) & (F.try_element_at(a, F.lit(-1))["end"] > s["start"]), a).otherwise(F.concat(a, F.array(s))))
     t = F.coalesce(F.col(text), F.lit(""))
-    parts = let(chosen, lambda c: F.concat(
-        F.flatten(F.zip_with(c, F.concat(F.array(F.lit(0).cast("long")), F.transform(c, lambda s: s["end"])), lambda s, at: F.when(
-            s.isNotNull(), F.array(F.substr(t, (at + 1).cast("int"), (s["start"] - at).cast("int")),
-                                   F.concat(F.lit("["), s["kind"], F.lit("]")))).otherwise(
-                F.array(F.substr(t, (at + 1).cast("int")))))), F.array().cast("array<string>")))
-    out = F.when(F.size("_pii") == 0, F.col(text)).otherwise(F.array_join(parts, ""))
-    return found.withColumn(text, out).drop("_pii")
+    # a piece of text before each span, the span's kind, and the text behind the last one
+    parts = let(chosen, lambda c: F.flatten(F.zip_with(c, F.concat(F.array(F.lit(0).cast("long")), F.transform(c, lambda s: s["end"])),
+        lambda s, at: F.when(s.isNotNull(), F.array(F.substr(t, (at + 1).cast("int"), (s["start"] - at).cast("int")),
+                                                    F.concat(F.lit("["), s["kind"], F.lit("]"))))
+        .otherwise(F.array(F.substr(t, (at + 1).cast("int")))))))
+    return found.withColumn(text, F.when(F.size(own) == 0, F.col(text)).otherwise(F.array_join(parts, ""))).drop(own)

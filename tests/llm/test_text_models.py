@@ -306,7 +306,9 @@ def test_plan_uses_all_and_fills():
         assert used == {s: c for s, c in histogram.items() if c}
     wide = {s: int(c) for s, c in enumerate(rng.integers(100, 400, 256), 1)}
     steps = packing.plan(wide, 256)
-    assert sum(s * c for s, c in wide.items()) / (256 * sum(r for _, r in steps)) > 0.985
+    # two sizes over a half never share a sequence
+    fewest = max(sum(s * c for s, c in wide.items()) / 256, sum(c for s, c in wide.items() if s > 128))
+    assert sum(r for _, r in steps) <= 1.02 * fewest
 
 
 def test_nnls_against_optimality_conditions():
@@ -345,4 +347,4 @@ def test_pipeline(spark, small_dir):
     assert not any("@example.com" in (t or "") or re.search(r"\b\d{16}\b", t or "") for t in kept["pii"].values() if "[email]" in (t or ""))
     pieces = p.STAGES[-1][1](spark, at, small_dir)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == set(kept["pii"])
-    assert set(QUERIES) >= {f"op{n}" for n in ()}
+    assert [any(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 11)] == [True] * 10
