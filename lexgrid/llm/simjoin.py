@@ -19,8 +19,9 @@ into ``m`` boxes, a cell is the hash of the tokens in one box. Sets of sizes a
 and b with Jaccard t or more differ in at most ``H = (1 - t) / (1 + t) * (a + b)``
 tokens, so at least ``m - H`` boxes are equal; with ``m = H + 1 + S`` that is
 ``1 + S``. Empty boxes are equal but no evidence: a set with ``e <= S`` empty boxes
-leaves them out and shares ``1 + S - e`` cells with any linked set; a set with more
-gives them as cells.
+leaves them out and shares ``1 + S - e`` cells with any linked set; a set with too many
+gives them as cells. As a set of n tokens has no linked partner above n / t, its own H
+is smaller than that of the largest sets of its class, and it shares the more cells.
 """
 
 from __future__ import annotations
@@ -76,8 +77,10 @@ def pigeonhole_cells(tokens: np.ndarray, t: Fraction) -> tuple[np.ndarray, int]:
         empty = int((~filled).sum())
         name = np.uint64(c << 40) + np.arange(boxes, dtype=np.uint64)
         cells = mix(mix(name) ^ total)
-        out.append(cells if empty > spare else cells[filled])
-        need = min(need, 1 if empty > spare else 1 + spare - empty)
+        # equal boxes that hold something, against the largest partner this set can have here
+        common = boxes - int((1 - t) / (1 + t) * (n + min(top, int(n / t)))) - empty
+        out.append(cells if common < 1 else cells[filled])
+        need = min(need, max(common, 1))
     return np.unique(np.concatenate(out)), need
 
 
