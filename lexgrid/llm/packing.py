@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import written
+from lexgrid.llm.common import map_slices, written
 
 WINDOW = 2048
 GRAIN = 8
@@ -201,8 +201,7 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     id_type = docs.schema[key].dataType.simpleString()
-    cut = written(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInPandas(
-        _cut(tokenizer_path, window, grain, end_id),
+    cut = written(map_slices(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), _cut(tokenizer_path, window, grain, end_id),
         f"doc_id {id_type}, doc_tokens bigint, part int, first_full bigint, tail int, size int, place bigint, "
         "crcs array<bigint>"), "cut")
     full = F.floor(F.col("doc_tokens") / window).cast("bigint")

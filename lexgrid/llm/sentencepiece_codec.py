@@ -37,6 +37,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexgrid.llm.common import map_slices
+
 SPACE = "▁"
 MEMO = 200_000          # words kept per worker
 MEMO_CHARS = 64         # longer words are solved each time
@@ -182,7 +184,7 @@ def encode_texts(docs: DataFrame, model_path: str, key: str = "doc_id", text: st
                 np.array(own.encode(t) if isinstance(t, str) else [], np.int32) for t in f["text"]]})
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, f"doc_id {kind}, ids array<int>")
+    return map_slices(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), run, f"doc_id {kind}, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -193,7 +195,7 @@ def decode_ids(encoded: DataFrame, model_path: str) -> DataFrame:
             yield pd.DataFrame({"doc_id": f["doc_id"], "text": [own.decode(list(i)) for i in f["ids"]]})
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInPandas(run, f"doc_id {kind}, text string")
+    return map_slices(encoded.select("doc_id", "ids"), run, f"doc_id {kind}, text string")
 
 
 def encoding_report(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -215,5 +217,5 @@ def encoding_report(docs: DataFrame, model_path: str, key: str = "doc_id", text:
             yield pd.DataFrame(rows, columns=["doc_id", "n_ids", "ids_crc32", "score", "n_bytes", "round_trip"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInPandas(
-        run, f"doc_id {kind}, n_ids bigint, ids_crc32 bigint, score double, n_bytes bigint, round_trip boolean")
+    return map_slices(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), run,
+                      f"doc_id {kind}, n_ids bigint, ids_crc32 bigint, score double, n_bytes bigint, round_trip boolean")

@@ -198,8 +198,8 @@ def fit_chain(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(picked), "_key")
     types = ", ".join(f"_y{i} int" for i in range(len(categories)))
     key_type = docs.schema[key].dataType.simpleString()
-    got = rows.select("_key", *[f"_y{i}" for i in range(len(categories))], "text").mapInPandas(
-        _features, f"_key {key_type}, {types}, slots array<int>, shape array<double>").toArrow()
+    got = map_slices(rows.select("_key", *[f"_y{i}" for i in range(len(categories))], "text"), _features,
+                     f"_key {key_type}, {types}, slots array<int>, shape array<double>").toArrow()
     slots = [np.asarray(v.values, np.int32) for v in got["slots"]]
     shape = np.array(got["shape"].to_pylist(), float).reshape(len(slots), SHAPE)
     y = np.array([got[f"_y{i}"].to_pylist() for i in range(len(categories))], float).T.reshape(len(slots), len(categories))
@@ -222,7 +222,7 @@ def predict(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str = "tex
 
     key_type = docs.schema[key].dataType.simpleString()
     schema = f"doc_id {key_type}, " + ", ".join([f"p_{c} double" for c in names] + [f"{c} boolean" for c in names])
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, schema)
+    return map_slices(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), run, schema)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
