@@ -100,8 +100,10 @@ def fully_masked(label: Column | str) -> Column:
 
 
 def cross_entropy(logits: Column | str, label: Column | str) -> Column:
-    """E7 (row part): log-sum-exp(l) - l[y], computed stably around max(l)."""
+    """E7 (row part): log-sum-exp(l) - l[y], computed stably around max(l); null for a label
+    that is null or outside the logits."""
     a = _col(logits)
     lse = let(F.array_max(a), lambda m: F.log(
         F.aggregate(a, F.lit(0.0), lambda acc, x: acc + F.exp(x - m))) + m)
-    return lse - F.element_at(a, _col(label) + 1)
+    y = _col(label)
+    return F.when(y >= 0, lse - F.try_element_at(a, y + 1))

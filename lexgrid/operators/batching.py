@@ -26,22 +26,13 @@ from lexgrid.functions.sequences import pad_to, padded_mask, truncate
 from lexgrid.operators.ranking import ranked_partitions, sorted_positions
 
 
-TOP_K_SLICE = 100_000
-
-
-def row_slice(df: DataFrame, start: int, stop: int | None, order: Sequence[Column | str],
-              top_k_limit: int = TOP_K_SLICE) -> DataFrame:
+def row_slice(df: DataFrame, start: int, stop: int | None, order: Sequence[Column | str]) -> DataFrame:
     """Rows ``start`` (inclusive) .. ``stop`` (exclusive) of ``order``, 0-based, clipped.
 
-    A slice ending within the first ``top_k_limit`` rows is a top-k: each task
-    keeps its first ``stop`` rows and one merge keeps ``stop`` rows in all, so
-    the table is read once and never sorted. Longer slices use exact positions
-    from the range-partitioned sort.
+    Exact positions from the range-partitioned sort, whatever the size of the slice.
     """
     if start < 0 or (stop is not None and stop < start):
         raise ValueError("need 0 <= start <= stop")
-    if stop is not None and stop <= top_k_limit:
-        return df.orderBy(*order).limit(stop).offset(start)
     ranked = sorted_positions(df, order, "_pos")
     cond = F.col("_pos") > start
     if stop is not None:

@@ -88,12 +88,6 @@ def macro_report(df: DataFrame, y: str, p: str, by: Sequence[str] = (),
     return out
 
 
-def accuracy(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
-    """E4 alone: share of rows whose prediction equals the truth (null counts as wrong)."""
-    hit = F.coalesce((F.col(y) == F.col(p)).cast("double"), F.lit(0.0))
-    return df.groupBy(*by).agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("rows"))
-
-
 def sequence_exact_match(df: DataFrame, pred: str, label: str, by: Sequence[str] = (),
                          round_to: int | None = ROUND) -> DataFrame:
     """Share of rows right at every unmasked shifted position.
@@ -111,11 +105,15 @@ def sequence_exact_match(df: DataFrame, pred: str, label: str, by: Sequence[str]
 
 def eval_loss(df: DataFrame, logits: str, label: str, by: Sequence[str] = (),
               round_to: int | None = ROUND) -> DataFrame:
-    """Mean cross-entropy of class logits against integer labels."""
+    """Mean cross-entropy of class logits against integer labels.
+
+    Rows whose label is null or no class of the logits have no loss; ``rows_without_loss`` counts them.
+    """
     loss = F.avg(cross_entropy(logits, label))
     if round_to is not None:
         loss = F.round(loss, round_to)
-    return df.groupBy(*by).agg(loss.alias("eval_loss"), F.count(F.lit(1)).alias("rows"))
+    return df.groupBy(*by).agg(loss.alias("eval_loss"), F.count(F.lit(1)).alias("rows"),
+                               F.count_if(cross_entropy(logits, label).isNull()).alias("rows_without_loss"))
 
 
 def best_checkpoint(log: DataFrame, run: str, step: str, loss: str) -> DataFrame:
@@ -131,13 +129,16 @@ def best_checkpoint(log: DataFrame, run: str, step: str, loss: str) -> DataFrame
 
 def answer_accuracy(df: DataFrame, pred: str, gold: str, tier: str | None = None,
                     round_to: int | None = ROUND) -> DataFrame:
-    """Generated answer vs gold after trimming; overall, and per tier (rollup).
+    """Generated answer vs gold, white space and newlines around both ignored; overall, and per tier (rollup).
 
-    The overall row has ``tier`` null.
+    The overall row has ``tier`` null and ``overall`` true, so a null tier's own row can be told from it.
     """
-    hit = F.coalesce((F.trim(F.col(pred)) == F.trim(F.col(gold))).cast("double"), F.lit(0.0))
+    bare = lambda c: F.regexp_replace(F.col(c), "^[ \\t\\n\\r\\f\\x0B]+|[ \\t\\n\\r\\f\\x0B]+$", "")
+    hit = F.coalesce((bare(pred) == bare(gold)).cast("double"), F.lit(0.0))
     acc = F.avg(hit)
     if round_to is not None:
         acc = F.round(acc, round_to)
-    grouped = df.rollup(tier) if tier else df.groupBy()
-    return grouped.agg(acc.alias("accuracy"), F.count(F.lit(1)).alias("rows"))
+    if not tier:
+        return df.groupBy().agg(acc.alias("accuracy"), F.count(F.lit(1)).alias("rows"))
+    return df.rollup(tier).agg(acc.alias("accuracy"), F.count(F.lit(1)).alias("rows"),
+                               (F.grouping(tier) == 1).alias("overall"))

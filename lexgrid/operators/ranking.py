@@ -25,9 +25,9 @@ from lexgrid.session import ensure_checkpoint_dir
 
 
 def hash_key(key: Column | str, seed: int | str) -> Column:
-    """``md5('<seed>:<key>')`` as 32 lower-case hex digits (same in DuckDB)."""
+    """``md5('<seed>:<key>')`` as 32 lower-case hex digits (same in DuckDB); a null key counts as empty."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(k.cast("string"), F.lit(""))))
 
 
 def hash_bucket(h: Column, digits: int) -> Column:

@@ -32,7 +32,15 @@ def test_rows(n: int, test_size: float | int) -> int:
 
 def split_exact(df: DataFrame, key: str, test_size: float | int = 0.2, seed: int = 42,
                 split_col: str = "split") -> DataFrame:
-    """Add ``split`` = 'test' for the first ceil(test_size*n) rows in hash order."""
+    """Add ``split`` = 'test' for the first ceil(test_size*n) rows in hash order.
+
+    The size is exact for a key that is unique and not null; any other key is an
+    error, as rows of one key can't be told apart (make one first, e.g. from
+    file and line). The check is one aggregation over the key column.
+    """
+    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(key).isNull())
+    if not repeated.isEmpty():
+        raise ValueError(f"split_exact needs a unique key without nulls: {key}")
     thr = hash_threshold(df, key, lambda n: test_rows(n, test_size), seed)
     if thr is None:
         return df.withColumn(split_col, F.lit(TRAIN))

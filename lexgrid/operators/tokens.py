@@ -6,11 +6,10 @@ Two tokenisation routes:
 * ``tokenise_with`` — any user tokenizer, hosted in an iterator Pandas UDF so it
   is loaded once per task and fed Arrow batches.
 
-``encode`` looks tokens up in a vocabulary. When the vocabulary's size
-is at most ``map_limit`` entries it travels as one broadcast hash table and
-encoding is an Arrow-batched lookup (no shuffle). Above it, tokens are exploded with their
-position, joined to the vocabulary (a hot token is a skewed key on one side
-only, which AQE's skew join splits), and re-assembled per row.
+``encode`` looks tokens up in a vocabulary by a join on the token: tokens are
+exploded with their position, joined with no hint (the planner broadcasts a
+vocabulary only if its measured size allows it; a hot token is a skewed key on one
+side only, which AQE's skew join splits), and re-assembled per row.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType
 
 from lexgrid.operators.ranking import sorted_positions
 
@@ -30,7 +29,6 @@ RULE_SEPARATOR_PATTERN = "[ \\n\\t\\r]+"
 PAD_ID = 0
 UNK_ID = 1
 SPECIALS = ("<pad>", "<unk>")
-DEFAULT_MAP_LIMIT = 1_000_000
 
 
 def rule_tokens(text: Column | str) -> Column:
@@ -73,7 +71,7 @@ def build_vocab(df: DataFrame, tokens: str, min_count: int = 1,
     Counting is a partial aggregation; the ids come from an exact sorted
     position (range-partitioned sort + checkpoint), never a one-partition window.
     """
-    counts = (df.select(F.explode(tokens).alias("token"))
+    counts = (df.select(F.explode(tokens).alias("token")).where(F.col("token").isNotNull())
               .groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
               .where(F.col("freq") >= min_count))
     ranked = sorted_positions(counts, [F.col("freq").desc(), F.col("token").asc()], "_pos")
@@ -81,58 +79,30 @@ def build_vocab(df: DataFrame, tokens: str, min_count: int = 1,
 
 
 def encode(df: DataFrame, tokens: str, vocab: DataFrame, key: str, out: str = "ids",
-           unk_id: int = UNK_ID, map_limit: int = DEFAULT_MAP_LIMIT) -> DataFrame:
+           unk_id: int = UNK_ID) -> DataFrame:
     """Token array -> id array through ``vocab`` (columns ``token``, ``id``).
 
-    Bounded route (at most ``map_limit`` entries): the vocabulary is shipped
-    once to every executor as a broadcast and looked up batch-wise with
-    Arrow's hash lookup (``index_in``) inside ``mapInArrow``: no pandas
-    conversion, no per-token Python, no shuffle. (A Spark
-    ``MapType`` lookup is a linear scan of its keys, so a literal map column is
-    not used.) Unbounded route: explode with positions, join, regroup per row.
-    Every column of ``df`` passes through the Arrow lookup, so select only
-    the needed ones first (the optimizer cannot prune through it).
+    ``key`` must be unique. A null token array gives a null id array, an empty one an
+    empty one; tokens outside the vocabulary (null tokens too) get ``unk_id``.
     """
-    # One bounded fetch decides the route: at most map_limit + 1 rows reach
-    # the driver, as Arrow columns (no Row objects).
-    head = vocab.select(F.col("token").cast("string").alias("token"),
-                        F.col("id").cast("long").alias("id")).limit(map_limit + 1).toArrow()
-    if head.num_rows <= map_limit:
-        return _encode_broadcast(df, tokens, head, out, unk_id)
     exploded = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
-    looked = exploded.join(vocab.select("token", "id"), "token", "left")
+    looked = exploded.join(vocab.select("token", F.col("id").cast("long").alias("id")), "token", "left")
     per_row = looked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(
         "_pos", F.coalesce(F.col("id"), F.lit(unk_id).cast("long")).alias("id")))).alias("_p"))
     per_row = per_row.select(key, F.transform("_p", lambda s: s["id"]).alias(out))
-    return df.join(per_row, key, "left").withColumn(
-        out, F.coalesce(F.col(out), F.array().cast("array<bigint>")))
-
-
-def _encode_broadcast(df: DataFrame, tokens: str, vocab, out: str, unk_id: int) -> DataFrame:
-    # ``vocab`` is an Arrow table (token, id), bounded by the caller's size check
-    import pyarrow as pa
-    words = vocab.column("token").combine_chunks()
-    ids = pa.concat_arrays(vocab.column("id").chunks + [pa.array([unk_id], pa.int64())]) \
-        if vocab.num_rows else pa.array([unk_id], pa.int64())
-    table = df.sparkSession.sparkContext.broadcast((words, ids))
-    schema = StructType(list(df.schema.fields) + [StructField(out, ArrayType(LongType()), True)])
-    col_name = tokens
-
-    def lookup(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        value_set, id_of = table.value
-        if len(value_set) == 0:
-            value_set = pa.array([], pa.string())
-        miss = len(value_set)
-        for b in batches:
-            col = b.column(b.schema.get_field_index(col_name))
-            flat = col.flatten()
-            pos = pc.fill_null(pc.index_in(flat, value_set=value_set), miss)
-            vals = pc.take(id_of, pos)
-            offsets = pc.subtract(col.offsets, col.offsets[0])
-            lists = pa.ListArray.from_arrays(offsets, vals, mask=col.is_null())
-            yield pa.RecordBatch.from_arrays(list(b.columns) + [lists],
-                                             names=list(b.schema.names) + [out])
-
-    return df.mapInArrow(lookup, schema)
+    empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<bigint>"))
+    return df.join(per_row, key, "left").withColumn(out, F.coalesce(F.col(out), empty))
+
+
+def decode(df: DataFrame, ids: str, vocab: DataFrame, key: str, out: str = "text",
+           special_ids: tuple[int, ...] = (PAD_ID, UNK_ID), sep: str = " ") -> DataFrame:
+    """Id array -> text through ``vocab``, the inverse of ``encode``.
+
+    Special ids are skipped, and ids outside the vocabulary too. ``key`` must be
+    unique; a null id array gives a null text, one without any token the empty text.
+    """
+    exploded = df.select(key, F.posexplode(ids).alias("_pos", "id")).where(~F.col("id").isin(*special_ids))
+    looked = exploded.join(vocab.select("token", F.col("id").cast("long").alias("id")), "id")
+    per_row = looked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "token"))).alias("_p"))
+    per_row = per_row.select(key, F.array_join(F.transform("_p", lambda s: s["token"]), sep).alias(out))
+    return df.join(per_row, key, "left").withColumn(out, F.coalesce(F.col(out), F.when(F.col(ids).isNotNull(), F.lit(""))))

@@ -40,7 +40,7 @@ def register(name: str, sql: str | None = None):
 
 
 # Our own prompt wording for the sentiment task.
-SENTIMENT_PREFIX = "Rate the feeling of the text below: negative 0, neutral 1, positive 2.\n"
+SENTIMENT_PREFIX = "Which mood does this passage have? Answer 0 if it is negative, 1 if neutral, 2 if positive.\n"
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,15 +51,25 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(lab, "doc_id")
 
 
-def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents ⋈ labels -> prompt (T1) -> logits (I1) -> class (I2) -> name."""
-    df = fill_missing(labelled_documents(spark, sf_dir), "", ["text"])
+def scored(docs: DataFrame) -> DataFrame:
+    """Prompt (T1) -> logits (I1) -> class (I2) -> name."""
+    df = fill_missing(docs, "", ["text"])
     df = df.withColumn("prompt", T.prefix_prompt("text", SENTIMENT_PREFIX))
     df = S.score_classes(df, "prompt", models.length_logits)
     return (df.withColumn("pred", L.argmax("logits"))
               .withColumn("pred_name", L.decode_label("pred", models.SENTIMENT_LABELS)))
 
 
+def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled documents, scored: for the metrics."""
+    return scored(labelled_documents(spark, sf_dir))
+
+
+def all_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, scored: no label is needed."""
+    return scored(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 SCORED_SQL = f"""
 SELECT doc_id, lang, quality, toxic, lg, {argmax_sql('lg')} AS pred
 FROM (SELECT d.doc_id, d.lang, l.quality, l.toxic,
@@ -67,6 +77,12 @@ FROM (SELECT d.doc_id, d.lang, l.quality, l.toxic,
       FROM documents d JOIN labels l USING (doc_id)) q
 """
 
+ALL_SCORED_SQL = f"""
+SELECT doc_id, lg, {argmax_sql('lg')} AS pred
+FROM (SELECT doc_id, {length_logits_sql(sql_str(SENTIMENT_PREFIX) + " || coalesce(text, '')")} AS lg
+      FROM documents) q
+"""
+
 _NAMES_SQL = ("CASE pred WHEN 0 THEN 'negative' WHEN 1 THEN 'neutral' "
               "WHEN 2 THEN 'positive' END")
 
@@ -81,11 +97,11 @@ def sentiment_macro_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("score_classes", f"""
 SELECT doc_id, pred, {_NAMES_SQL} AS pred_name,
        array_to_string(list_transform(lg, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ' ') AS logits
-FROM ({SCORED_SQL}) s
+FROM ({ALL_SCORED_SQL}) s
 """)
 def score_classes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I1 + I2 + I3: logits, class id and class name per labelled document."""
-    df = scored_documents(spark, sf_dir)
+    """I1 + I2 + I3: logits, class id and class name of every document."""
+    df = all_scored(spark, sf_dir)
     return df.select("doc_id", "pred", "pred_name",
                      F.array_join(F.transform("logits", lambda x: x.cast("bigint").cast("string")),
                                   " ").alias("logits"))
@@ -128,7 +144,7 @@ def class_report_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("eval_loss_scored", f"""
 SELECT round(avg(ln(list_sum(list_transform(lg, lambda x: exp(x - list_max(lg))))) + list_max(lg)
                  - lg[quality + 1]), 6) AS eval_loss,
-       count(*) AS rows
+       count(*) AS rows, CAST(0 AS BIGINT) AS rows_without_loss
 FROM ({SCORED_SQL}) s
 """)
 def eval_loss_scored(spark: SparkSession, sf_dir: str) -> DataFrame:

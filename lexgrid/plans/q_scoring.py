@@ -16,7 +16,7 @@ from lexgrid.operators import metrics as M
 from lexgrid.operators import scoring as S
 from lexgrid.operators import splits as X
 from lexgrid.plans import models
-from lexgrid.plans.catalog import SCORED_SQL, SENTIMENT_PREFIX, _NAMES_SQL, register, scored_documents
+from lexgrid.plans.catalog import ALL_SCORED_SQL, SENTIMENT_PREFIX, _NAMES_SQL, all_scored, register
 from lexgrid.plans.q_entity import tier_sql
 from lexgrid.plans.q_text import PROMPTS_SQL, listing_prompts
 from lexgrid.plans.sqltext import argmax_sql, hash_sql, length_logits_sql, sql_str
@@ -42,7 +42,7 @@ def generate_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("answer_accuracy", f"""
 SELECT tier, round(avg(CASE WHEN trim(shop_brand) = trim(brand_name) THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
-       count(*) AS rows
+       count(*) AS rows, grouping(tier) = 1 AS overall
 FROM (SELECT *, {tier_sql()} AS tier FROM ({PROMPTS_SQL}) p) x
 GROUP BY ROLLUP (tier)
 """)
@@ -53,11 +53,11 @@ def answer_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("encode_label", f"""
-SELECT doc_id, {_NAMES_SQL} AS pred_name, pred AS class_id FROM ({SCORED_SQL}) s
+SELECT doc_id, {_NAMES_SQL} AS pred_name, pred AS class_id FROM ({ALL_SCORED_SQL}) s
 """)
 def encode_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I4: class names back to ids through the inverted label map."""
-    s = scored_documents(spark, sf_dir)
+    s = all_scored(spark, sf_dir)
     return s.select("doc_id", "pred_name",
                     L.encode_label("pred_name", models.SENTIMENT_LABELS).alias("class_id"))
 
@@ -112,13 +112,19 @@ def _labelled_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("csv_roundtrip", f"""
-SELECT doc_id, text, label FROM ({_LABELLED_SQL}) x
+SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '  ' || text || chr(10) WHEN 1 THEN '' WHEN 2 THEN '"' || text || ' ' ELSE text END AS text, label
+FROM documents LEFT JOIN (SELECT doc_id, quality AS label FROM labels) l USING (doc_id)
 """)
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled texts written as CSV (newlines, quotes) and read back with a schema."""
+    """All texts, some with white space, quotes and newlines at their ends or empty, written
+    as CSV and read back by header name in another column order."""
     path = scratch_path(spark, "csv")
-    IO.write_csv(_labelled_frame(spark, sf_dir), path)
-    back = IO.read_labelled_csv(spark, path, "doc_id bigint, text string, label int")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    lab = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    text = (F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("  "), "text", F.lit("\n"))).when(F.col("doc_id") % 5 == 1, F.lit(""))
+            .when(F.col("doc_id") % 5 == 2, F.concat(F.lit('"'), "text", F.lit(" "))).otherwise(F.col("text")))
+    IO.write_csv(docs.withColumn("text", text).join(lab, "doc_id", "left"), path)
+    back = IO.read_labelled_csv(spark, path, "label int, text string, doc_id bigint")
     return back.select("doc_id", "text", "label")
 
 
@@ -135,33 +141,32 @@ def read_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     IO.write_csv(labelled, train_path)
     IO.write_csv(docs.join(labelled.select("doc_id"), "doc_id", "left_anti"), test_path)
-    train = IO.read_splits(spark, {"train": train_path}, "doc_id bigint, text string, label int")
-    test = IO.read_splits(spark, {"test": test_path}, "doc_id bigint, text string")
-    return train.unionByName(test, allowMissingColumns=True).select("doc_id", "text", "label", "split")
+    both = IO.read_splits(spark, {"train": train_path, "test": test_path}, {
+        "train": "doc_id bigint, text string, label int", "test": "doc_id bigint, text string"})
+    return both.select("doc_id", "text", "label", "split")
 
 
 @register("save_prepared", f"""
-SELECT doc_id, split FROM (
-  SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {hash_sql('doc_id')}, doc_id)
+SELECT doc_id, text, split FROM (
+  SELECT doc_id, text, CASE WHEN row_number() OVER (ORDER BY {hash_sql('doc_id')}, doc_id)
                       <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
   FROM documents) s
-WHERE split = 'test'
 """)
 def save_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1: split documents saved partitioned by split; reading one split prunes the other."""
+    """K1: split documents saved partitioned by split, both splits read back."""
     path = scratch_path(spark, "prepared")
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     IO.save_prepared(X.split_exact(docs, "doc_id", 0.2, 42), path)
-    return spark.read.parquet(path).where(F.col("split") == "test").select("doc_id", "split")
+    return spark.read.parquet(path).select("doc_id", "text", "split")
 
 
 @register("write_submission", f"""
-SELECT CAST(doc_id AS VARCHAR) AS id, {_NAMES_SQL} AS prediction FROM ({SCORED_SQL}) s
+SELECT CAST(doc_id AS VARCHAR) AS id, {_NAMES_SQL} AS prediction FROM ({ALL_SCORED_SQL}) s
 """)
 def write_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: scored classes written as {id, prediction} JSON lines and read back."""
     path = scratch_path(spark, "submission")
-    IO.write_submission(scored_documents(spark, sf_dir), "doc_id", "pred_name", path)
+    IO.write_submission(all_scored(spark, sf_dir), "doc_id", "pred_name", path)
     return IO.read_submission(spark, path)
 
 

@@ -16,26 +16,11 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read a driver table.
-
-    ``spread``: when the scan yields fewer splits than the cluster has cores
-    (e.g. a small file that is one Parquet row group), rows are dealt
-    round-robin to ``defaultParallelism`` partitions so per-row work (regex,
-    Arrow scoring) uses every core. At cluster scale the scan already has far
-    more splits than cores and nothing is added.
-    """
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read a driver table, in the splits the scan gives."""
     if name not in TABLES:
         raise KeyError(name)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small(df) if spread else df
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,16 @@ def canonical(cols, tuples):
     return [cols[i] for i in order], rows
 
 
+_KINDS = {"int": "integer", "tinyint": "integer", "smallint": "integer", "integer": "integer", "bigint": "integer", "hugeint": "integer",
+          "long": "integer", "number": "number", "double": "float", "float": "float", "string": "text", "varchar": "text",
+          "str": "text", "bool": "boolean", "boolean": "boolean"}
+
+
+def _kind(name: str) -> str:
+    """Integers of any width, floats, texts and booleans by their family; other types are not told apart."""
+    return "float" if name.startswith("decimal") else _KINDS.get(name, "other")
+
+
 def compare(sdf, con, sql: str) -> str | None:
     """None when equal, else a short description of the first difference."""
     scols, srows = canonical(sdf.columns, [tuple(r) for r in sdf.collect()])
@@ -43,6 +53,10 @@ def compare(sdf, con, sql: str) -> str | None:
     dcols, drows = canonical([d[0] for d in cur.description], cur.fetchall())
     if scols != dcols:
         return f"columns {scols} vs {dcols}"
+    stypes = sorted((f.name, _kind(f.dataType.simpleString())) for f in sdf.schema.fields)
+    dtypes = sorted((d[0], _kind(str(d[1]).lower())) for d in cur.description)
+    if stypes != dtypes:
+        return f"types {[x for x in stypes if x not in dtypes]} vs {[x for x in dtypes if x not in stypes]}"
     if srows != drows:
         only_s = [r for r in srows if r not in set(drows)][:2]
         only_d = [r for r in drows if r not in set(srows)][:2]

@@ -16,8 +16,10 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "lexgrid", scratch: str | None = None) -> SparkSession:
-    """A session tuned for the library: AQE on, UI off, UTC, Arrow on."""
+                  app_name: str = "lexgrid", scratch: str | None = None,
+                  driver_memory: str | None = None) -> SparkSession:
+    """A session tuned for the library: AQE on, UI off, UTC, Arrow on. A local session runs its
+    tasks in the driver, so ``driver_memory`` is theirs too; without it the session's own default holds."""
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -28,9 +30,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    if driver_memory is not None:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if scratch is not None:
         builder = builder.config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
     spark = builder.getOrCreate()

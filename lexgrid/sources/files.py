@@ -15,54 +15,69 @@ from pyspark.sql.types import StringType, StructField, StructType
 CORRUPT = "_corrupt_record"
 
 
-def _with_corrupt(schema: StructType) -> StructType:
-    if CORRUPT in schema.fieldNames():
-        return schema
-    return StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
+NULL_TEXT = "\\N"
+
+
+def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
+    """Column names of the file's header line."""
+    return spark.read.options(**options).option("header", True).csv(path).columns
 
 
 def read_labelled_csv(spark: SparkSession, path: str, schema: StructType | str,
-                      keep_corrupt: bool = True) -> DataFrame:
+                      keep_corrupt: bool = True, multi_line: bool = True) -> DataFrame:
     """Header CSV, quoted newlines and doubled quotes, explicit schema.
 
-    A value that does not fit its type (e.g. a label ``abc``) becomes null and
-    the raw line lands in ``_corrupt_record``.
+    Columns are found by the header's names, in any order; a column of
+    ``schema`` that the header lacks is an error. White space is kept, an empty field is
+    the empty string and ``\\N`` is null. A value that does not fit its type (e.g. a label
+    ``abc``) becomes null and the raw line lands in ``_corrupt_record``.
+    ``multi_line=False`` lets one large file be read in many splits; use it where no field holds a newline.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    reader = (spark.read.option("header", True).option("multiLine", True)
-              .option("escape", '"').option("mode", "PERMISSIVE"))
+    options = {"multiLine": multi_line, "escape": '"', "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False, "nullValue": NULL_TEXT, "emptyValue": ""}
+    names = _header(spark, path, options)
+    wanted = {f.name: f for f in schema.fields}
+    missing = [n for n in wanted if n not in names and n != CORRUPT]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(names)}")
+    fields = [wanted.get(n, StructField(n, StringType(), True)) for n in names]
+    out = [f.name for f in schema.fields if f.name != CORRUPT] + ([CORRUPT] if keep_corrupt else [])
+    if keep_corrupt:
+        fields.append(StructField(CORRUPT, StringType(), True))
+    reader = spark.read.options(**options).option("header", True).option("enforceSchema", False).schema(StructType(fields))
     if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(_with_corrupt(schema))
-    else:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.csv(path).select(*[F.col(f"`{n}`") for n in out])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV that ``read_labelled_csv`` reads back unchanged (quotes doubled)."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV that ``read_labelled_csv`` reads back unchanged: all fields quoted, quotes doubled, white
+    space kept, nulls as ``\\N``."""
+    df.write.mode("overwrite").options(header=True, escape='"', quoteAll=True, nullValue=NULL_TEXT, emptyValue="",
+                                       ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
-def read_splits(spark: SparkSession, paths: Mapping[str, str], schema: StructType | str,
+def read_splits(spark: SparkSession, paths: Mapping[str, str], schema: StructType | str | Mapping[str, StructType | str],
                 split_col: str = "split", fmt: str = "csv") -> DataFrame:
     """One read per named split, tagged and unioned (missing columns become null).
 
+    ``schema`` is one for all splits, or one per split name.
     Pick one split with ``.where(col(split_col) == name)``; the filter is pushed
     to the union branches, so only that split's files are read.
     """
-    if isinstance(schema, str):
-        schema = StructType.fromDDL(schema)
-    parts = []
+    out = None
     for name, path in paths.items():
+        own = schema[name] if isinstance(schema, Mapping) else schema
         if fmt == "csv":
-            df = read_labelled_csv(spark, path, schema, keep_corrupt=False)
+            df = read_labelled_csv(spark, path, own, keep_corrupt=False)
         else:
-            df = spark.read.schema(schema).format(fmt).load(path)
-        parts.append(df.withColumn(split_col, F.lit(name)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+            df = spark.read.schema(own).format(fmt).load(path)
+        df = df.withColumn(split_col, F.lit(name))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        raise ValueError("no split is named")
     return out
 
 

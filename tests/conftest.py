@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     scratch = tempfile.mkdtemp(prefix="lexgrid-tests-")
-    s = build_session(master="local[*]", shuffle_partitions=8, scratch=scratch)
+    s = build_session(master="local[*]", shuffle_partitions=8, scratch=scratch, driver_memory="8g")
     yield s
     s.stop()
 
