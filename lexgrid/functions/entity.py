@@ -7,6 +7,8 @@ with the 9999 prefix; an id with the 99998888 prefix; anything else last. Every
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,15 +33,19 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def is_flagged(flag: Column | str) -> Column:
-    """Source-1 flag: any non-blank value."""
-    return F.coalesce(F.trim(_col(flag)), F.lit("")) != ""
+# Words that flag a listing as coming from source 1, in any case.
+YES_VALUES = ("yes", "y", "true", "1", "是")
+
+
+def is_flagged(flag: Column | str, yes_values: Sequence[str] = YES_VALUES) -> Column:
+    """Source-1 flag: one of ``yes_values``; any other value, blank or null is no flag."""
+    return F.coalesce(F.lower(F.trim(_col(flag))).isin(*yes_values), F.lit(False))
 
 
-def trust_tier(flag: Column | str, brand_id: Column | str) -> Column:
+def trust_tier(flag: Column | str, brand_id: Column | str, yes_values: Sequence[str] = YES_VALUES) -> Column:
     """B1: 1 source-1, 2 prefix 9999, 3 prefix 99998888, 4 other. Ids are strings."""
     bid = F.coalesce(F.trim(_col(brand_id)), F.lit(""))
-    return (F.when(is_flagged(flag), F.lit(SOURCE1_TIER))
+    return (F.when(is_flagged(flag, yes_values), F.lit(SOURCE1_TIER))
             .when(bid.startswith(PREFIX_99998888), F.lit(PREFIX_99998888_TIER))
             .when(bid.startswith(PREFIX_9999), F.lit(PREFIX_9999_TIER))
             .otherwise(F.lit(OTHER_TIER)))

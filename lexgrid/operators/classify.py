@@ -24,23 +24,30 @@ from lexgrid.operators.metrics import best_checkpoint, macro_report
 DEFAULT_FEATURES = 1 << 18
 
 
-def text_pipeline(text: str, label: str, reg_param: float = 0.0, max_iter: int = 50,
-                  num_features: int = DEFAULT_FEATURES, seed: int = 42) -> Pipeline:
+def text_features(text: str, num_features: int = DEFAULT_FEATURES) -> list:
     tok = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern="[ \\n\\t\\r]+", gaps=True,
                          toLowercase=True)
     tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
-    idf = IDF(inputCol="_tf", outputCol="_features")
-    lr = LogisticRegression(featuresCol="_features", labelCol=label, family="multinomial",
-                            regParam=reg_param, maxIter=max_iter, predictionCol="_prediction",
-                            rawPredictionCol="_raw", probabilityCol="_probability")
-    return Pipeline(stages=[tok, tf, idf, lr])
+    return [tok, tf, IDF(inputCol="_tf", outputCol="_features")]
+
+
+def regression(label: str, reg_param: float = 0.0, max_iter: int = 50) -> LogisticRegression:
+    return LogisticRegression(featuresCol="_features", labelCol=label, family="multinomial",
+                              regParam=reg_param, maxIter=max_iter, predictionCol="_prediction",
+                              rawPredictionCol="_raw", probabilityCol="_probability")
 
 
 def fit_text_classifier(train: DataFrame, text: str, label: str, reg_param: float = 0.0,
                         max_iter: int = 50, num_features: int = DEFAULT_FEATURES) -> PipelineModel:
     """M1: fit the pipeline (label must be a 0-based class index)."""
     df = train.withColumn(label, F.col(label).cast("double"))
-    return text_pipeline(text, label, reg_param, max_iter, num_features).fit(df)
+    return Pipeline(stages=[*text_features(text, num_features), regression(label, reg_param, max_iter)]).fit(df)
+
+
+def convergence(model: PipelineModel, max_iter: int) -> tuple[int, bool]:
+    """Iterations of the fit, and whether it ended before ``max_iter``."""
+    done = int(model.stages[-1].summary.totalIterations)
+    return done, done < max_iter
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "prediction",
@@ -53,11 +60,14 @@ def predict(model: PipelineModel, df: DataFrame, out: str = "prediction",
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str) -> DataFrame:
     """Macro P/R/F1, accuracy and the eval loss (softmax cross-entropy of the margins)."""
-    scored = predict(model, test).withColumn(label, F.col(label).cast("int")).cache()
-    # one scalar: the mean loss, attached to the one-row report
-    loss = scored.agg(F.round(F.avg(cross_entropy("logits", label)), 6)).first()[0]
-    return macro_report(scored, label, "prediction").withColumn(
-        "eval_loss", F.lit(loss).cast("double"))
+    scored = predict(model, test).withColumn(label, F.col(label).cast("int")).select(label, "prediction", "logits").cache()
+    try:
+        # scalars: the mean loss, and the one-row report it is attached to
+        loss = scored.agg(F.round(F.avg(cross_entropy("logits", label)), 6)).first()[0]
+        report = macro_report(scored, label, "prediction").withColumn("eval_loss", F.lit(loss).cast("double"))
+        return test.sparkSession.createDataFrame(report.collect(), report.schema)
+    finally:
+        scored.unpersist()
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -72,15 +82,24 @@ def load_model(path: str) -> PipelineModel:
 def select_model(train: DataFrame, test: DataFrame, text: str, label: str,
                  reg_params: Sequence[float], max_iter: int = 50,
                  num_features: int = DEFAULT_FEATURES) -> tuple[DataFrame, PipelineModel]:
-    """M3: fit one model per setting, keep the lowest eval loss (ties: first setting)."""
+    """M3: fit one model per setting, keep the lowest eval loss (ties: first setting).
+
+    Features are fitted and computed once and shared by all settings; each candidate's row
+    says how many iterations its fit took and whether it converged.
+    """
     spark = train.sparkSession
-    rows, fitted = [], []
-    for i, rp in enumerate(reg_params):
-        m = fit_text_classifier(train, text, label, rp, max_iter, num_features)
-        loss = evaluate(m, test, label).select("eval_loss").first()["eval_loss"]
-        rows.append((i, float(rp), float(loss)))
-        fitted.append(m)
-    log = spark.createDataFrame(rows, "candidate int, reg_param double, eval_loss double")
+    features = Pipeline(stages=text_features(text, num_features)).fit(train)
+    ready = features.transform(train.withColumn(label, F.col(label).cast("double"))).select(label, "_features").cache()
+    try:
+        rows, fitted = [], []
+        for i, rp in enumerate(reg_params):
+            m = PipelineModel([*features.stages, regression(label, float(rp), max_iter).fit(ready)])
+            loss = evaluate(m, test, label).first()["eval_loss"]
+            rows.append((i, float(rp), float(loss), *convergence(m, max_iter)))
+            fitted.append(m)
+    finally:
+        ready.unpersist()
+    log = spark.createDataFrame(rows, "candidate int, reg_param double, eval_loss double, iterations int, converged boolean")
     best = best_checkpoint(log.withColumn("run", F.lit("grid")), "run", "candidate", "eval_loss")
     chosen = best.first()["best_step"]
     out = log.withColumn("chosen", F.col("candidate") == F.lit(chosen))

@@ -1,15 +1,19 @@
 """Entity resolution under the source-trust rule.
 
-Similarity without all pairs: two names are *variants* when deleting at most
-``k`` characters from each makes them equal (the deletion neighbourhood used
-by SymSpell-style matchers; with k = 1 this covers one substitution, one
-insertion or deletion, and a swap of neighbouring characters). Every name
-emits its deletion variants as signatures; all names sharing a signature are
-linked to the smallest of them, so the edges are stars, linear in the number
-of signatures, never all pairs of a group. Signatures shorter than
-``min_len`` are not used (except the name itself), so very short strings do
-not glue unrelated names together. Clusters are the connected components of
-those edges.
+Similarity without all pairs: two names are *variants* when they hold the same
+digits and deleting at most ``k`` characters from each makes them equal (the deletion
+neighbourhood used by SymSpell-style matchers; with k = 1 this covers one
+substitution, one insertion or deletion, and a swap of neighbouring
+characters). Names written without spaces between words (Han script) are variants too when
+they share a beginning of four characters or more that is at least half of each. Every
+name emits its signatures; all names sharing a signature are linked to the
+smallest of them, so the edges are stars, linear in the number of signatures, never
+all pairs of a group. Signatures shorter than ``min_len`` are not used (except the
+name itself), so one- and two-character names do not glue unrelated names
+together. Clusters are the connected components of those edges.
+
+A deletion variant is as long as its name, so a name of L characters costs L**2; names over
+``MAX_NAME`` characters have only themselves as signature (they are not spellings of a name).
 """
 
 from __future__ import annotations
@@ -21,7 +25,9 @@ from lexgrid.functions.entity import normalise_name, trust_tier
 from lexgrid.operators.components import connected_components, with_singletons
 
 DEFAULT_K = 1
-DEFAULT_MIN_LEN = 3
+DEFAULT_MIN_LEN = 2
+MAX_NAME = 256
+STEM = 4
 
 
 def _one_deletion(s: Column) -> Column:
@@ -46,10 +52,15 @@ def variant_links(names: DataFrame, name: str, k: int = DEFAULT_K,
                   min_len: int = DEFAULT_MIN_LEN) -> DataFrame:
     """Star edges ``src -> dst`` (dst = smallest name sharing a signature)."""
     distinct = names.select(F.col(name).alias("name")).where(F.col("name").isNotNull()).distinct()
-    sig = distinct.select("name", F.explode(deletion_variants("name", k)).alias("sig")) \
+    n = F.length("name")
+    variants = F.when(n <= MAX_NAME, deletion_variants("name", k)).otherwise(F.array("name"))
+    stems = F.when(F.regexp_like("name", F.lit("^[^ ]*[\\x{4E00}-\\x{9FFF}][^ ]*$")) & (n >= STEM) & (n <= MAX_NAME), F.transform(
+        F.sequence(F.greatest(F.lit(STEM), F.ceil(n / 2).cast("int")), n), lambda i: F.concat(F.lit("\u0000"), F.left("name", i)))).otherwise(
+            F.array().cast("array<string>"))
+    sig = distinct.select("name", F.regexp_replace("name", "[^0-9]", "").alias("digits"), F.explode(F.concat(variants, stems)).alias("sig")) \
         .where((F.length("sig") >= min_len) | (F.col("sig") == F.col("name")))
-    rep = sig.groupBy("sig").agg(F.min("name").alias("rep"))
-    return (sig.join(rep, "sig").where(F.col("name") != F.col("rep"))
+    rep = sig.groupBy("sig", "digits").agg(F.min("name").alias("rep"))
+    return (sig.join(rep, ["sig", "digits"]).where(F.col("name") != F.col("rep"))
             .select(F.col("name").alias("src"), F.col("rep").alias("dst")).distinct())
 
 
@@ -81,20 +92,27 @@ def resolve_listings(listings: DataFrame, key: str = "id", shop_name: str = "sho
                      min_len: int = DEFAULT_MIN_LEN) -> DataFrame:
     """B1 + B2 + B3 + B4 + B5 + B6: every listing gets one canonical brand.
 
-    Listings cluster by the variant clusters of their normalised shop names;
-    the cluster's brand is the brand text of its most trusted listing that has
-    one; a listing in a cluster without any brand text keeps its own (empty).
+    Listings cluster by the variant clusters of their normalised shop names; the cluster's
+    brand is the brand text of its most trusted listing that has one. Then the brand
+    texts so far cluster by the variants of their normalised spelling, and each takes
+    the text of its most trusted listing. A blank or null shop name never clusters (its
+    ``cluster`` is null); a listing left without any brand text gets the empty text. Every
+    row of ``listings`` comes out.
     """
-    staged = listings.select(
-        key, brand, trust_tier(flag, brand_id).alias("tier"),
-        normalise_name(shop_name).alias("name_norm"))
-    clusters = name_clusters(staged.select("name_norm").distinct(), "name_norm", k, min_len)
-    with_cluster = staged.join(clusters.withColumnRenamed("name", "name_norm"), "name_norm")
-    branded = with_cluster.where(F.col(brand) != "")
-    canon = canonical_names(branded, "cluster", "tier", key, brand)
-    return (with_cluster.join(canon, "cluster", "left")
-            .select(key, "cluster", "tier",
-                    F.coalesce(F.col("canonical"), F.col(brand)).alias("brand_name")))
+    blank = lambda c: F.when(normalise_name(c) != "", normalise_name(c))
+    staged = listings.select(key, brand, trust_tier(flag, brand_id).alias("tier"), blank(shop_name).alias("name_norm"))
+    named = name_clusters(staged.select("name_norm").distinct(), "name_norm", k, min_len)
+    shops = staged.join(named.withColumnRenamed("name", "name_norm"), "name_norm", "left")
+    by_shop = canonical_names(shops.where((F.col(brand) != "") & F.col("cluster").isNotNull()), "cluster", "tier", key, brand)
+    spelled = shops.join(by_shop.select("cluster", "canonical"), "cluster", "left").select(
+        key, brand, "tier", "cluster", F.coalesce("canonical", F.col(brand)).alias("text"))
+    spelled = spelled.withColumn("brand_norm", blank("text"))
+    groups = name_clusters(spelled.select("brand_norm").distinct(), "brand_norm", k, min_len).select(
+        F.col("name").alias("brand_norm"), F.col("cluster").alias("spelling"))
+    grouped = spelled.join(groups, "brand_norm", "left")
+    best = canonical_names(grouped.where(F.col("spelling").isNotNull()), "spelling", "tier", key, "text")
+    return grouped.join(best.select("spelling", "canonical"), "spelling", "left").select(
+        key, "cluster", "tier", F.coalesce("canonical", normalise_name(brand), F.lit("")).alias("brand_name"))
 
 
 def brand_reduction(before: DataFrame, before_col: str, after: DataFrame, after_col: str,

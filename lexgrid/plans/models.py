@@ -47,3 +47,10 @@ def brand_echo():
         return np.array(out, dtype=object)
 
     return predict
+
+
+def length_tokenizer():
+    """A deterministic tokenizer: each token's id is its length in characters."""
+    import re
+    token = re.compile("[^ \\n\\t\\r]+")
+    return lambda texts: [[len(t) for t in token.findall(x)] for x in texts]

@@ -16,7 +16,7 @@ WS = "[ \\t\\n\\r\\f\\x0B]"
 
 
 def tier_sql(flag: str = "laiyuan1_id", bid: str = "brand_id") -> str:
-    return (f"CAST(CASE WHEN coalesce(trim({flag}), '') <> '' THEN 1 "
+    return (f"CAST(CASE WHEN lower(trim({flag})) IN ('yes', 'y', 'true', '1', '是') THEN 1 "
             f"WHEN coalesce(trim({bid}), '') LIKE '99998888%' THEN 3 "
             f"WHEN coalesce(trim({bid}), '') LIKE '9999%' THEN 2 ELSE 4 END AS INTEGER)")
 
@@ -27,23 +27,24 @@ def norm_sql(col: str) -> str:
     return f"trim(regexp_replace({folded}, '{WS}+', ' ', 'g'))"
 
 
-def clusters_sql(names: str, k1_min_len: int = R.DEFAULT_MIN_LEN) -> str:
-    """Recursive-CTE twin of ``name_clusters`` with k = 1 over a one-column query ``names(name)``."""
+def clusters_sql(names: str, min_len: int = R.DEFAULT_MIN_LEN, p: str = "") -> str:
+    """Recursive-CTE twin of ``name_clusters`` with k = 1 over a one-column query ``names(name)``
+    without Han script; ``p`` is put in front of the CTE names."""
     return f"""
-names AS (SELECT DISTINCT name FROM ({names}) n0 WHERE name IS NOT NULL),
-v AS (SELECT name, name AS sig FROM names
+{p}names AS (SELECT DISTINCT name FROM ({names}) n0 WHERE name IS NOT NULL),
+{p}v AS (SELECT name, name AS sig FROM {p}names
       UNION
       SELECT name, substr(name, 1, i - 1) || substr(name, i + 1) AS sig
-      FROM names, range(1, length(name) + 1) t(i)),
-sig AS (SELECT * FROM v WHERE length(sig) >= {k1_min_len} OR sig = name),
-rep AS (SELECT sig, min(name) AS rep FROM sig GROUP BY sig),
-links AS (SELECT DISTINCT s.name AS src, r.rep AS dst FROM sig s JOIN rep r USING (sig)
+      FROM {p}names, range(1, length(name) + 1) t(i)),
+{p}sig AS (SELECT *, regexp_replace(name, '[^0-9]', '', 'g') AS digits FROM {p}v WHERE length(sig) >= {min_len} OR sig = name),
+{p}rep AS (SELECT sig, digits, min(name) AS rep FROM {p}sig GROUP BY sig, digits),
+{p}links AS (SELECT DISTINCT s.name AS src, r.rep AS dst FROM {p}sig s JOIN {p}rep r USING (sig, digits)
           WHERE s.name <> r.rep),
-und AS (SELECT src AS a, dst AS b FROM links UNION SELECT dst, src FROM links),
-cc(node, label) AS (SELECT name, name FROM names
+{p}und AS (SELECT src AS a, dst AS b FROM {p}links UNION SELECT dst, src FROM {p}links),
+{p}cc(node, label) AS (SELECT name, name FROM {p}names
                     UNION
-                    SELECT u.b, cc.label FROM cc JOIN und u ON cc.node = u.a),
-clusters AS (SELECT node AS name, min(label) AS cluster FROM cc GROUP BY node)
+                    SELECT u.b, {p}cc.label FROM {p}cc JOIN {p}und u ON {p}cc.node = u.a),
+{p}clusters AS (SELECT node AS name, min(label) AS cluster FROM {p}cc GROUP BY node)
 """
 
 
@@ -100,14 +101,19 @@ def canonical_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ASSIGN_SQL = f"""
 WITH RECURSIVE
-lst AS (SELECT id, shop_brand, {tier_sql()} AS tier, {norm_sql('shop_name')} AS name_norm
+lst AS (SELECT id, shop_brand, {tier_sql()} AS tier, nullif({norm_sql('shop_name')}, '') AS name_norm
         FROM ({LISTINGS_SQL}) l),
 {clusters_sql('SELECT name_norm AS name FROM lst')},
-wc AS (SELECT lst.*, c.cluster FROM lst JOIN clusters c ON lst.name_norm = c.name),
+wc AS (SELECT lst.*, c.cluster FROM lst LEFT JOIN clusters c ON lst.name_norm = c.name),
 canon AS (SELECT cluster, min({{'t': tier, 'k': id, 'v': shop_brand}}).v AS canonical
-          FROM wc WHERE shop_brand <> '' GROUP BY cluster)
-SELECT wc.id, wc.cluster, wc.tier, coalesce(canon.canonical, wc.shop_brand) AS brand_name
-FROM wc LEFT JOIN canon USING (cluster)
+          FROM wc WHERE shop_brand <> '' AND cluster IS NOT NULL GROUP BY cluster),
+sp AS (SELECT wc.*, coalesce(canon.canonical, wc.shop_brand) AS text FROM wc LEFT JOIN canon USING (cluster)),
+sn AS (SELECT sp.*, nullif({norm_sql('text')}, '') AS brand_norm FROM sp),
+{clusters_sql('SELECT brand_norm AS name FROM sn', p='b_')},
+sg AS (SELECT sn.*, c.cluster AS spelling FROM sn LEFT JOIN b_clusters c ON sn.brand_norm = c.name),
+best AS (SELECT spelling, min({{'t': tier, 'k': id, 'v': text}}).v AS canonical FROM sg WHERE spelling IS NOT NULL GROUP BY spelling)
+SELECT sg.id, sg.cluster, sg.tier, coalesce(best.canonical, {norm_sql('sg.shop_brand')}, '') AS brand_name
+FROM sg LEFT JOIN best USING (spelling)
 """
 
 

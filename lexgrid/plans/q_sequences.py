@@ -14,8 +14,9 @@ from lexgrid.functions import sequences as Q
 from lexgrid.operators import batching as B
 from lexgrid.operators import metrics as M
 from lexgrid.operators import tokens as TK
+from lexgrid.plans import models
 from lexgrid.plans.catalog import register
-from lexgrid.plans.q_text import LISTINGS_SQL, PROMPTS_SQL, listing_prompts
+from lexgrid.plans.q_text import PROMPTS_SQL, listing_prompts
 from lexgrid.plans.sqltext import argmax_sql, ids_str_sql
 from lexgrid.plans.tables import load
 
@@ -23,7 +24,7 @@ PAT = "'[^ \\n\\t\\r]+'"
 MAX_LEN = 64
 BATCH = 16
 MARKER = (2, 3)
-MIN_COUNT = 2
+MIN_COUNT = 1
 CHUNK = 8
 EOS_ID = 0
 END_ID = 100
@@ -70,7 +71,7 @@ def _vocab(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @register("build_vocab", _VOCAB_SQL)
 def build_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vocabulary with ids by (frequency desc, token); rare tokens left out."""
+    """Vocabulary with ids by (frequency desc, token)."""
     return _vocab(spark, sf_dir)[1]
 
 
@@ -88,14 +89,47 @@ FROM documents d LEFT JOIN tok t USING (doc_id) LEFT JOIN vocab v USING (token)
 GROUP BY d.doc_id
 """)
 def encode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's tokens as vocabulary ids (unknown id for rare tokens)."""
+    """Every document's tokens as vocabulary ids."""
     toks, vocab = _vocab(spark, sf_dir)
-    # the Arrow lookup is opaque to column pruning: hand it only what it needs
     enc = TK.encode(toks.select("doc_id", "tokens"), "tokens", vocab, "doc_id", "ids")
     return enc.select("doc_id", Q.ids_to_string("ids").alias("ids"),
                       F.size(F.filter("ids", lambda x: x == TK.UNK_ID)).cast("long").alias("n_unknown"))
 
 
+@register("decode_tokens", f"""
+SELECT doc_id, array_to_string(regexp_extract_all(coalesce(text, ''), {PAT}), ' ') AS text FROM documents
+""")
+def decode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids back to text, padding put around them and skipped again."""
+    toks, vocab = _vocab(spark, sf_dir)
+    enc = TK.encode(toks.select("doc_id", "tokens"), "tokens", vocab, "doc_id", "ids")
+    padded = enc.select("doc_id", F.concat(F.array(F.lit(TK.PAD_ID).cast("long")), "ids", F.array(F.lit(TK.PAD_ID).cast("long"))).alias("ids"))
+    return TK.decode(padded, "ids", vocab, "doc_id").select("doc_id", "text")
+
+
+@register("tokenise_hosted", f"""
+SELECT doc_id, {ids_str_sql('ids')} AS ids FROM (SELECT doc_id, {_len_ids_sql('text')} AS ids FROM documents) d
+""")
+def tokenise_hosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 (hosted route): a tokenizer callable in Arrow batches over whole texts."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return TK.tokenise_with(docs, "text", models.length_tokenizer, "ids").select("doc_id", Q.ids_to_string("ids").alias("ids"))
+
+
+@register("pad_batches_whole", f"""
+WITH a AS (SELECT doc_id, {_len_ids_sql('text')} AS ids, (row_number() OVER (ORDER BY doc_id) - 1) // {BATCH} AS batch_id FROM documents),
+w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS width FROM a)
+SELECT doc_id, CAST(batch_id AS BIGINT) AS batch_id, CAST(width AS BIGINT) AS width,
+       md5({ids_str_sql('list_concat(ids, list_transform(range(width - len(ids)), lambda x: 0))')}) AS ids_md5
+FROM w
+""")
+def pad_batches_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 + Q4 + Q5 on whole token rows: nothing is truncated, right padding."""
+    padded = B.padded_batches(doc_ids(spark, sf_dir).select("doc_id", "ids"), ["doc_id"], "ids", BATCH)
+    return padded.select("doc_id", "batch_id", F.size("input_ids").cast("long").alias("width"),
+                         F.md5(Q.ids_to_string("input_ids")).alias("ids_md5"))
+
+
 @register("pad_batches", f"""
 WITH a AS (SELECT doc_id, {_len_ids_sql('text')}[1:{MAX_LEN}] AS ids,
                   (row_number() OVER (ORDER BY doc_id) - 1) // {BATCH} AS batch_id FROM documents),
@@ -266,5 +300,3 @@ def shift_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.size(F.filter(pairs, lambda s: (s["y"] != -100) & (s["p"] != s["y"])))
                     .cast("long").alias("wrong"))
 
-
-__all__ = ["LISTINGS_SQL"]

@@ -11,6 +11,7 @@ from lexgrid.functions import clean as C
 from lexgrid.functions import prompts as T
 from lexgrid.operators.conversations import assemble_conversations, few_shot_block
 from lexgrid.operators.ranking import hash_key
+from lexgrid.operators.splits import TEST, TRAIN, split_by_hash
 from lexgrid.plans.catalog import SENTIMENT_PREFIX, register
 from lexgrid.plans.sqltext import sql_str
 from lexgrid.plans.tables import LISTINGS_RAW_SQL, LISTINGS_SQL, listings, load, raw_listings
@@ -28,7 +29,7 @@ EOS = "</s>"
 OPEN_MARKERS = {"system": "<|system|>\n", "user": "<|user|>\n", "assistant": "<|assistant|>\n"}
 CLOSE_MARKERS = {"system": "\n", "user": "\n", "assistant": "</s>\n"}
 BOS = "<s>"
-SYSTEM_TEXT = "You sort shop listings into brands. Reply with the brand name only."
+SYSTEM_TEXT = "Each message describes one shop. Name the chain it belongs to, and nothing else."
 USER_TEMPLATE = ("Listing: shop_name={shop_name}; shop_brand={shop_brand}; "
                  "source1={laiyuan1_id}; brand_id={brand_id}")
 
@@ -156,12 +157,13 @@ def chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("strip_literal", f"""
-SELECT id, replace(shop_name, ' store', '') AS shop_name FROM ({LISTINGS_SQL}) l
+SELECT id, prompt || replace(brand_name || '{EOS}', '{EOS}', '') AS full_text FROM ({PROMPTS_SQL}) p
 """)
 def strip_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Remove every occurrence of a literal."""
-    df = listings(spark, sf_dir)
-    return df.select("id", T.strip_literal("shop_name", " store").alias("shop_name"))
+    """The end marker taken out of the rendered answer; the user's own text is left alone."""
+    df = listing_prompts(spark, sf_dir)
+    answer = T.strip_literal(F.concat("brand_name", F.lit(EOS)), EOS)
+    return df.select("id", F.concat("prompt", answer).alias("full_text"))
 
 
 @register("trim_block", f"""
@@ -196,23 +198,24 @@ def assemble_conversations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FEW_SHOT_K = 3
+TEST_CUT = f"{round(0.2 * 2**32):08x}"      # hashes below are the test split of ``split_by_hash`` at 0.2
 
 
 @register("few_shot_prompts", f"""
 WITH ex AS (SELECT id, shop_name, brand_name, md5('42:' || id) AS h
-            FROM ({LISTINGS_SQL}) l WHERE brand_name <> ''
+            FROM ({LISTINGS_SQL}) l WHERE brand_name <> '' AND left(md5('42:' || id), 8) >= '{TEST_CUT}'
             ORDER BY h, id LIMIT {FEW_SHOT_K}),
 blk AS (SELECT string_agg(shop_name || ' => ' || brand_name, chr(10) ORDER BY h, id) AS block FROM ex)
 SELECT l.id, blk.block || chr(10) || l.prompt AS prompt
-FROM ({PROMPTS_SQL}) l CROSS JOIN blk
+FROM ({PROMPTS_SQL}) l CROSS JOIN blk WHERE left(md5('42:' || l.id), 8) < '{TEST_CUT}'
 """)
 def few_shot_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K worked examples (stable hash order) prepended to every prompt."""
-    lst = listing_prompts(spark, sf_dir)
-    examples = lst.where(F.col("brand_name") != "").select(
+    """K worked examples of the train split (stable hash order) prepended to every prompt of the test split."""
+    lst = split_by_hash(listing_prompts(spark, sf_dir), "id", 0.2, 42)
+    examples = lst.where((F.col("brand_name") != "") & (F.col("split") == TRAIN)).select(
         "id", F.concat(F.col("shop_name"), F.lit(" => "), F.col("brand_name")).alias("line"),
         hash_key("id", 42).alias("h"))
     # the block is k lines: fetched once and rendered as a literal of the plan
     block = few_shot_block(examples, ["h", "id"], "line", FEW_SHOT_K).first()["block"]
-    return lst.select("id", F.concat(F.lit(block).cast("string"), F.lit("\n"),
+    return lst.where(F.col("split") == TEST).select("id", F.concat(F.lit(block).cast("string"), F.lit("\n"),
                                      F.col("prompt")).alias("prompt"))

@@ -2,8 +2,8 @@
 
 ``listings`` stands in for the brand task's shop listing (id, shop_name,
 shop_brand, source-1 flag, brand_id, brand_name), derived row by row from
-``part`` so that it grows with the data. A few NA-like words are planted in
-it so that cleaning has something to do. ``LISTINGS_SQL`` is the same view
+``part`` so that it grows with the data. A few NA-like words and misspelt brands are
+planted in it so that cleaning and merging have something to do. ``LISTINGS_SQL`` is the same view
 for DuckDB.
 """
 
@@ -31,6 +31,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("p_name"), F.lit(" ("), F.lower(F.col("p_type")), F.lit(" store)")).alias("shop_name"),
         F.when(F.col("p_size") % 10 == 0, F.lit("NA"))
          .when(F.col("p_size") % 10 == 5, F.lit("null"))
+         .when(F.col("p_partkey") % 7 == 3, F.replace("p_brand", F.lit("Brand"), F.lit("Brannd")))
          .otherwise(F.col("p_brand")).alias("shop_brand"),
         F.when(F.col("p_partkey") % 17 == 0, F.lit("yes")).otherwise(F.lit("N/A")).alias("laiyuan1_id"),
         F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("99998888"), key))
@@ -43,7 +44,8 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 LISTINGS_RAW_SQL = """
 SELECT CAST(p_partkey AS VARCHAR) AS id,
        p_name || ' (' || lower(p_type) || ' store)' AS shop_name,
-       CASE WHEN p_size % 10 = 0 THEN 'NA' WHEN p_size % 10 = 5 THEN 'null' ELSE p_brand END AS shop_brand,
+       CASE WHEN p_size % 10 = 0 THEN 'NA' WHEN p_size % 10 = 5 THEN 'null'
+            WHEN p_partkey % 7 = 3 THEN replace(p_brand, 'Brand', 'Brannd') ELSE p_brand END AS shop_brand,
        CASE WHEN p_partkey % 17 = 0 THEN 'yes' ELSE 'N/A' END AS laiyuan1_id,
        CASE WHEN p_partkey % 3 = 0 THEN '99998888' || CAST(p_partkey AS VARCHAR)
             WHEN p_partkey % 3 = 1 THEN '9999' || CAST(p_partkey AS VARCHAR)

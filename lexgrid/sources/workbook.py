@@ -16,7 +16,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
@@ -83,9 +83,21 @@ def parse_workbook(data: bytes) -> tuple[list[str], list[list[str | None]]]:
             sst = ET.fromstring(z.read("xl/sharedStrings.xml"))
             for si in sst.findall("m:si", NS):
                 shared.append("".join(t.text or "" for t in si.iter(f"{{{NS['m']}}}t")))
-        sheet = ET.fromstring(z.read(_first_sheet(z)))
+        with z.open(_first_sheet(z)) as part:
+            return _grid(part, shared)
+
+
+def _rows(part) -> Iterator[ET.Element]:
+    """Row elements of a sheet as they are parsed; each is dropped once it is used."""
+    for _, element in ET.iterparse(part):
+        if element.tag == f"{{{NS['m']}}}row":
+            yield element
+            element.clear()
+
+
+def _grid(part, shared: list[str]) -> tuple[list[str], list[list[str | None]]]:
     grid: list[list[str | None]] = []
-    for row in sheet.iter(f"{{{NS['m']}}}row"):
+    for row in _rows(part):
         cells: dict[int, str | None] = {}
         for pos, c in enumerate(row.findall("m:c", NS)):
             ref = c.get("r")
@@ -165,9 +177,14 @@ FILES_SCHEMA = StructType([StructField("path", StringType()), StructField("conte
 
 
 def parse_workbooks(files: DataFrame, columns: Sequence[str], path: str = "path",
-                    content: str = "content", source_col: str | None = "source_file") -> DataFrame:
-    """One output row per data row of every workbook; ``columns`` picked by header name."""
-    cols = list(columns)
+                    content: str = "content", source_col: str | None = "source_file",
+                    optional: Sequence[str] = (), aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """One output row per data row of every workbook; ``columns`` picked by header name.
+
+    ``aliases`` maps other header names to a column's. A column that a header lacks is an
+    error, or null where it is named in ``optional``. An empty workbook has no rows.
+    """
+    cols, named, may_miss = list(columns), dict(aliases or {}), set(optional)
     fields = [StructField(c, StringType(), True) for c in cols]
     if source_col:
         fields.append(StructField(source_col, StringType(), True))
@@ -177,7 +194,10 @@ def parse_workbooks(files: DataFrame, columns: Sequence[str], path: str = "path"
         for pdf in batches:
             for p, data in zip(pdf[path], pdf[content]):
                 header, rows = parse_workbook(bytes(data))
-                where = {h: i for i, h in enumerate(header)}
+                where = {named.get(h, h): i for i, h in enumerate(header)}
+                missing = [c for c in cols if c not in where and c not in may_miss] if header else []
+                if missing:
+                    raise ValueError(f"{p} has no column {', '.join(missing)}; its header is {', '.join(header)}")
                 out = {c: [r[where[c]] if c in where else None for r in rows] for c in cols}
                 if source_col:
                     out[source_col] = [p] * len(rows)
@@ -188,11 +208,12 @@ def parse_workbooks(files: DataFrame, columns: Sequence[str], path: str = "path"
 
 def read_workbooks(spark: SparkSession, path: str, columns: Sequence[str],
                    na_tokens: Sequence[str] | None = NA_TOKENS,
-                   source_col: str | None = "source_file") -> DataFrame:
+                   source_col: str | None = "source_file", optional: Sequence[str] = (),
+                   aliases: Mapping[str, str] | None = None) -> DataFrame:
     """S3: every ``*.xlsx`` under ``path``; all cells as strings, NA words to null."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx") \
         .option("recursiveFileLookup", "true").load(path)
-    df = parse_workbooks(files, columns, source_col=source_col)
+    df = parse_workbooks(files, columns, source_col=source_col, optional=optional, aliases=aliases)
     return null_tokens(df, list(columns), na_tokens) if na_tokens is not None else df
 
 

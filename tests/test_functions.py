@@ -135,10 +135,10 @@ def test_cross_entropy(spark):
 
 
 def test_trust_tier(spark):
-    rows = [("yes", "9999285"), ("", "99997"), ("", "999988885"), ("", "123"), ("yes", "999988885")]
+    rows = [("yes", "9999285"), ("", "99997"), ("", "999988885"), ("", "123"), ("yes", "999988885"), ("no", "1"), ("N/A", "1"), (" YES ", "1"), (None, None)]
     df = spark.createDataFrame(rows, "flag string, bid string")
     got = [r.t for r in df.select(EN.trust_tier("flag", "bid").alias("t")).collect()]
-    assert got == [1, 2, 3, 4, 1]
+    assert got == [1, 2, 3, 4, 1, 4, 4, 1, 4]
 
 
 def test_normalise_name(spark):

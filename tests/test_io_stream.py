@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from lexgrid.plans import models
 from lexgrid.plans.catalog import SENTIMENT_PREFIX
 from lexgrid.sources import files as IO
@@ -20,6 +22,27 @@ def test_csv_quotes_newlines_and_bad_label(spark):
     assert rows[1].label is None and rows[1]._corrupt_record is not None
 
 
+def test_csv_by_header_name(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="csv-"), "t.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("label,text\n1,a\n")
+    assert [tuple(r)[:2] for r in IO.read_labelled_csv(spark, path, "text string, label int").collect()] == [("a", 1)]
+    with pytest.raises(ValueError, match="no column score"):
+        IO.read_labelled_csv(spark, path, "text string, score int")
+
+
+def test_csv_keeps_white_space_and_splits_have_own_schemas(spark):
+    d = tempfile.mkdtemp(prefix="csv-")
+    rows = [(1, "  a \n", 0), (2, "", 1), (3, None, None), (4, '"q" ', 2), (5, "\t,x", 1), (6, "\\", 0)]
+    df = spark.createDataFrame(rows, "id int, text string, label int")
+    IO.write_csv(df, os.path.join(d, "train"))
+    IO.write_csv(df.select("id", "text"), os.path.join(d, "test"))
+    both = IO.read_splits(spark, {"train": os.path.join(d, "train"), "test": os.path.join(d, "test")},
+                          {"train": "id int, text string, label int", "test": "id int, text string"}).collect()
+    assert sorted((r.id, r.text, r.label) for r in both if r.split == "train") == rows
+    assert sorted((r.id, r.text, r.label) for r in both if r.split == "test") == [(i, t, None) for i, t, _ in rows]
+
+
 def test_stream_equals_batch(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     d = tempfile.mkdtemp(prefix="stream-")
@@ -53,7 +76,11 @@ def test_workbooks_from_files(spark):
     with zipfile.ZipFile(os.path.join(d, "b.xlsx"), "w") as z:
         z.writestr("xl/worksheets/sheet1.xml", sheet)
         z.writestr("xl/sharedStrings.xml", sst)
-    df = WB.read_workbooks(spark, d, ["id", "shop_name", "brand_id", "brand_name"])
+    df = WB.read_workbooks(spark, d, ["id", "shop_name", "brand_id", "brand_name"], optional=["brand_name"])
     got = sorted((r.id, r.shop_name, r.brand_id, r.brand_name) for r in df.collect())
     assert got == [("1", "Tea <&> Co", "9999285772", None), ("2", None, None, None),
                    ("3", None, "99998888500391", None)]
+    with pytest.raises(Exception, match="no column brand_name"):
+        WB.read_workbooks(spark, d, ["id", "brand_name"]).collect()
+    named = WB.read_workbooks(spark, d, ["key"], aliases={"id": "key"})
+    assert sorted(r.key for r in named.collect()) == ["1", "2", "3"]

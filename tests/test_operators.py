@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lexgrid.operators import batching as B
@@ -11,7 +12,7 @@ from lexgrid.operators import metrics as M
 from lexgrid.operators import ranking as R
 from lexgrid.operators import splits as X
 from lexgrid.operators.components import connected_components, with_singletons
-from lexgrid.operators.resolve import canonical_names, deletion_variants, name_clusters
+from lexgrid.operators.resolve import canonical_names, deletion_variants, name_clusters, resolve_listings
 from lexgrid.operators import tokens as TK
 
 
@@ -107,18 +108,15 @@ def test_padded_batches_plan_has_one_full_shuffle(spark):
 
 def test_row_slice_clips(spark):
     df = spark.range(10).withColumnRenamed("id", "key")
-    for limit in (0, 100):  # positions route, top-k route
-        got = sorted(r.key for r in B.row_slice(df, 8, 20, ["key"], top_k_limit=limit).collect())
-        assert got == [8, 9]
+    assert sorted(r.key for r in B.row_slice(df, 8, 20, ["key"]).collect()) == [8, 9]
 
 
-def test_row_slice_routes_agree(spark):
+def test_row_slice_is_exact(spark):
     df = spark.range(3000).select(((F.col("id") * 7) % 13).alias("g"), F.col("id").alias("key"))
-    order = [F.col("g").desc(), "key"]
+    want = sorted((-((i * 7) % 13), i) for i in range(3000))
     for start, stop in [(0, 16), (1488, 1504), (2990, 3100), (5, 5)]:
-        a = [tuple(r) for r in B.row_slice(df, start, stop, order, top_k_limit=0).collect()]
-        b = [tuple(r) for r in B.row_slice(df, start, stop, order).collect()]
-        assert sorted(a) == sorted(b) and len(a) == max(0, min(stop, 3000) - start)
+        got = sorted((-r.g, r.key) for r in B.row_slice(df, start, stop, [F.col("g").desc(), "key"]).collect())
+        assert got == want[start:stop]
 
 
 def test_macro_report_fixture(spark):
@@ -194,16 +192,52 @@ def test_canonical_prefers_tier_then_key(spark):
     assert (r.canonical, r.canonical_key) == ("z", "k2")
 
 
-def test_encode_paths_agree(spark):
-    docs = spark.createDataFrame([(1, "a b a c"), (2, ""), (3, "c c d")], "doc_id long, text string")
+def test_encode_and_decode(spark):
+    docs = spark.createDataFrame([(1, "a b a c"), (2, ""), (3, "c c d"), (4, None)], "doc_id long, text string")
     toks = docs.withColumn("tokens", TK.rule_tokens("text"))
     vocab = TK.build_vocab(toks, "tokens", 1)
-    ids = {r.token: r.id for r in vocab.collect()}
-    assert ids == {"c": 2, "a": 3, "b": 4, "d": 5}
-    small = {r.doc_id: r.ids for r in TK.encode(toks, "tokens", vocab, "doc_id").collect()}
-    big = {r.doc_id: r.ids for r in TK.encode(toks, "tokens", vocab, "doc_id", map_limit=0).collect()}
-    assert small == big
-    assert small[2] == []
+    assert {r.token: r.id for r in vocab.collect()} == {"c": 2, "a": 3, "b": 4, "d": 5}
+    enc = TK.encode(toks, "tokens", vocab, "doc_id")
+    assert {r.doc_id: r.ids for r in enc.collect()} == {1: [3, 4, 3, 2], 2: [], 3: [2, 2, 5], 4: None}
+    back = TK.decode(enc.withColumn("ids", F.concat(F.array(F.lit(TK.PAD_ID).cast("long")), "ids")), "ids", vocab, "doc_id", "back")
+    assert {r.doc_id: r.back for r in back.collect()} == {1: "a b a c", 2: "", 3: "c c d", 4: None}
+    # rare tokens are left out on request, and become the unknown id
+    common = TK.build_vocab(toks, "tokens", 2)
+    assert {r.token for r in common.collect()} == {"a", "c"}
+    assert {r.doc_id: r.ids for r in TK.encode(toks, "tokens", common, "doc_id").collect()}[3] == [2, 2, TK.UNK_ID]
+
+
+def test_null_and_repeated_keys(spark):
+    from lexgrid.operators.splits import seeded_shuffle, split_exact
+    df = spark.createDataFrame([("a",), ("b",), (None,), ("c",)], "k string")
+    assert sorted(r.position for r in seeded_shuffle(df, "k").collect()) == [1, 2, 3, 4]
+    for bad in (df, spark.createDataFrame([("a",), ("a",)], "k string")):
+        with pytest.raises(ValueError, match="unique key"):
+            split_exact(bad, "k", 0.5)
+
+
+def test_listings_resolve_without_losing_rows(spark):
+    rows = [("1", "168 Club (East)", "168台球棋牌连锁", "", "999988881"), ("2", "168 Room", "168台球俱乐部", "", "99991"),
+            ("3", "", "KFC", "no", "5"), ("4", None, "Maple", "", "6"), ("5", " ", "Starlight", "", "7"), ("6", None, None, "", "8"),
+            ("7", "Star Cafe", "Star Cafe", "yes", "9"), ("8", "Other", "Starr Cafe", "", "10"), ("9", "肯德基", "", "", "11"), ("10", "肯得基", "KFC", "", "12"),
+            ("11", "Zone 11", "Brand#11", "", "13"), ("12", "Zone 12", "Brand#12", "", "14")]
+    df = spark.createDataFrame(rows, "id string, shop_name string, shop_brand string, laiyuan1_id string, brand_id string")
+    got = {r.id: r.brand_name for r in resolve_listings(df).collect()}
+    assert got == {"1": "168台球俱乐部", "2": "168台球俱乐部", "3": "KFC", "4": "Maple", "5": "Starlight", "6": "", "7": "Star Cafe", "8": "Star Cafe",
+                   "9": "KFC", "10": "KFC", "11": "Brand#11", "12": "Brand#12"}
+
+
+def test_short_and_long_names(spark):
+    names = spark.createDataFrame([("ab",), ("ac",), ("abc",), ("abd",), ("x" * 5000,)], "n string")
+    got = {r.name: r.cluster for r in name_clusters(names, "n").collect()}
+    assert got["abc"] == got["abd"] and got["ac"] != got["x" * 5000] and len(got) == 5
+
+
+def test_answers_ending_in_newlines(spark):
+    from lexgrid.operators.metrics import answer_accuracy
+    df = spark.createDataFrame([("KFC\n", "KFC", 1), ("x", "KFC", None)], "p string, g string, tier int")
+    got = {(r.tier, r.overall): (r.accuracy, r.rows) for r in answer_accuracy(df, "p", "g", "tier").collect()}
+    assert got == {(1, False): (1.0, 1), (None, False): (0.0, 1), (None, True): (0.5, 2)}
 
 
 def test_tokenise_with_user_tokenizer(spark):
