@@ -12,7 +12,9 @@ The work on a pair of groups is:
 * what is left is compared exactly, on whole token sets.
 
 Pairs of documents are never emitted: a pair of groups gives a spanning
-forest of its links, and connected components join the forests.
+forest of its links, and connected components join the forests. What a first pass, linear in
+the groups, has connected is not compared again, so n near copies of one text cost
+about n / GROUP_ROWS pairs of groups, not the square.
 
 Cells that cannot lose a link (``pigeonhole_cells``): tokens are dealt by hash
 into ``m`` boxes, a cell is the hash of the tokens in one box. Sets of sizes a
@@ -158,35 +160,72 @@ def linked_forest(keys: DataFrame, tokens_of: Callable[[DataFrame], DataFrame],
     homes = written(shared.groupBy("node").agg(
         F.count(F.lit(1)).alias("k"), F.first("size").alias("size"), F.first("need").alias("need"),
         F.max(F.struct("n", "cell")).alias("h")).where("k >= need").select("node", "size", "need", F.col("h.cell").alias("home")), "homes")
-    rooms = homes.groupBy("home").agg(
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / GROUP_ROWS), F.ceil(F.sum("size") / GROUP_TOKENS)).cast("int").alias("parts"),
-        F.min("need").alias("need"), F.count(F.lit(1)).alias("rows")).checkpoint()
-    grp = lambda home, part: F.xxhash64(home, part)
-    members = written(homes.join(rooms.select("home", "parts"), "home").select(
-        "node", grp("home", F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).cast("int")).alias("grp")), "members")
+    rooms = homes.groupBy("home").agg(_parts(), F.min("need").alias("need"), F.count(F.lit(1)).alias("rows")).checkpoint()
     # the matrix: which homes hold a cell; pairs of homes with as many common cells as their members need
     matrix = shared.select("node", "cell").join(homes.select("node", "home"), "node").select("cell", "home").distinct()
     matrix = written(matrix.join(rooms, "home").select("cell", "home", "parts", "need"), "matrix")
     several = matrix.groupBy("cell").agg(F.count(F.lit(1)).alias("g")).where("g > 1").select("cell").checkpoint()
     across = matrix.join(several, "cell")
     side = lambda x: F.struct(f"{x}.home", f"{x}.parts", f"{x}.need")
-    pairs = across.alias("x").join(across.alias("y"), F.expr("x.cell = y.cell AND x.home < y.home")).groupBy(
+    met = written(across.alias("x").join(across.alias("y"), F.expr("x.cell = y.cell AND x.home < y.home")).groupBy(
         side("x").alias("x"), side("y").alias("y")).agg(F.count(F.lit(1)).alias("k")).where(
-            "k >= greatest(x.need, y.need)").select("x.home", "x.parts", F.col("y.home").alias("home2"), F.col("y.parts").alias("parts2"))
-    pairs = pairs.unionByName(rooms.where("rows > 1").select("home", "parts", F.col("home").alias("home2"), F.col("parts").alias("parts2")))
-    numbers = lambda n: F.sequence(F.lit(0), n - 1)
-    pairs = pairs.withColumn("p", F.explode(numbers(F.col("parts")))).withColumn("p2", F.explode(F.when(
-        F.col("home") == F.col("home2"), F.sequence("p", F.col("parts") - 1)).otherwise(numbers(F.col("parts2")))))
-    pairs = written(pairs.select(grp("home", "p").alias("g1"), grp("home2", "p2").alias("g2")), "group-pairs")
+            "k >= greatest(x.need, y.need)").select("x.home", "x.parts", F.col("y.home").alias("home2"), F.col("y.parts").alias("parts2")),
+        "home-pairs")
+
+    # first pass: every group with itself and with the first group of its home, and the first groups of
+    # homes that meet: as many pairs as groups and pairs of homes
+    grp = lambda home, part: F.xxhash64(home, part)
+    inside = rooms.where("rows > 1").select("home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"))
+    first = inside.select(grp("home", "p").alias("g1"), F.explode(F.array_distinct(F.array(
+        grp("home", "p"), grp("home", F.lit(0))))).alias("g2"))
+    first = first.unionByName(met.select(grp("home", F.lit(0)).alias("g1"), grp("home2", F.lit(0)).alias("g2")))
+    seats = homes.join(rooms.select("home", "parts"), "home").select("node", grp("home", _seat()).alias("grp"))
+    near = written(_compared(seats, first, tokens_of, t, "first"), "first-links")
+
+    # second pass, for what the first didn't look at: members of a home that are connected already need no
+    # look at each other, so large classes get groups of their own; the rest of the home is one kind
+    wide = met.where("parts > 1 OR parts2 > 1").select("home", "home2").unionByName(
+        rooms.where("parts > 2").select("home", F.col("home").alias("home2")))
+    wanted = wide.select(F.explode(F.array("home", "home2")).alias("home")).distinct()
+    classes = homes.join(wanted, "home", "left_semi").join(components(near), "node", "left").withColumn(
+        "class", F.when(F.col("component_id").isNotNull(), F.xxhash64("component_id", F.lit(13))))
+    large = classes.where("class IS NOT NULL").groupBy("home", "class").agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("n") > GROUP_ROWS).select(F.col("home").alias("its_home"), F.col("class").alias("kind"))
+    sorted_out = written(classes.join(large, F.expr("home = its_home AND class = kind"), "left").select(
+        "node", "size", "home", F.coalesce("kind", F.lit(0).cast("bigint")).alias("kind")), "kinds")
+    halls = sorted_out.groupBy("home", "kind").agg(_parts()).checkpoint()
+    grp2 = lambda home, kind, part: F.xxhash64(home, kind, part)
+    seats = sorted_out.join(halls, ["home", "kind"]).select("node", grp2("home", "kind", _seat()).alias("grp"))
+    rest = wide.join(halls.withColumnsRenamed({"kind": "kind1", "parts": "parts1"}), "home").join(
+        halls.withColumnsRenamed({"home": "home2", "kind": "kind2", "parts": "parts2"}), "home2").where(
+            "(kind1 <> kind2 OR kind1 = 0) AND (home <> home2 OR kind1 <= kind2)")
+    rest = rest.withColumn("p1", F.explode(F.sequence(F.lit(0), F.col("parts1") - 1))).withColumn("p2", F.explode(F.sequence(F.when(
+        (F.col("home") == F.col("home2")) & (F.col("kind1") == F.col("kind2")), F.col("p1")).otherwise(0), F.col("parts2") - 1)))
+    rest = rest.select(grp2("home", "kind1", "p1").alias("g1"), grp2("home2", "kind2", "p2").alias("g2"))
+    return near.unionByName(_compared(seats, rest, tokens_of, t, "second"))
+
+
+def _parts():
+    """Number of groups for some members (``size``)."""
+    return F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / GROUP_ROWS), F.ceil(F.sum("size") / GROUP_TOKENS)).cast("int").alias("parts")
+
+
+def _seat():
+    return F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).cast("int")
+
+
+def _compared(seats: DataFrame, pairs: DataFrame, tokens_of: Callable[[DataFrame], DataFrame], t: Fraction, name: str) -> DataFrame:
+    """Links ``src, dst`` between the members (``node, grp``) of pairs of groups ``g1, g2``."""
+    seats, pairs = written(seats, f"{name}-members"), written(pairs, f"{name}-pairs")
     needed = pairs.select(F.explode(F.array("g1", "g2")).alias("grp")).distinct()
-    groups = written(tokens_of(members.join(needed, "grp", "left_semi")).groupBy("grp").agg(
-        F.collect_list(F.struct("node", "tokens")).alias("sets")), "groups")
+    tokens = tokens_of(seats.join(needed, "grp", "left_semi"))
+    node = tokens.schema["node"].dataType.simpleString()
+    groups = written(tokens.groupBy("grp").agg(F.collect_list(F.struct("node", "tokens")).alias("sets")), f"{name}-groups")
     first = groups.select(F.col("grp").alias("g1"), F.col("sets").alias("s1"))
     second = groups.select(F.col("grp").alias("g2"), F.col("sets").alias("s2"))
     # a group alone with itself is sent once
     alone = pairs.where("g1 = g2").join(first, "g1").select("s1", F.lit(None).cast(second.schema["s2"].dataType).alias("s2"))
     both = pairs.where("g1 <> g2").join(first, "g1").join(second, "g2").select("s1", "s2")
-    node = keys.schema["node"].dataType.simpleString()
     return map_slices(both.unionByName(alone), _compare(t), f"src {node}, dst {node}", 16)
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexgrid.llm import topk_mtree
+from lexgrid.llm import simjoin, topk_mtree
 from lexgrid.llm.common import hash_many, hash_words, maybe_in, shingles, without_keys
 from lexgrid.llm.graph import components
 from lexgrid.llm.jaccard_join import jaccard_components, one_per_component
@@ -71,6 +71,23 @@ def test_jaccard_components(spark, k, t):
     assert got == brute_components(texts, k, t)
 
 
+def test_second_pass(spark, monkeypatch):
+    """Groups of three: connected sets of a home are not compared again, and no link is lost."""
+    monkeypatch.setattr(simjoin, "GROUP_ROWS", 3)
+    rng = random.Random(9)
+    base = [rng.choice(WORDS) for _ in range(150)]
+    drifting = []
+    for _ in range(60):         # near copies of one text, then of what became of it
+        drifting.append(" ".join(base[:rng.randrange(140, 150)]))
+        base = list(base)
+        base[rng.randrange(len(base))] = rng.choice(WORDS)
+    texts = dict(enumerate([*drifting, *near_copies(rng, 120), *drifting[:5]]))
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df, 3, Fraction(9, 10)).collect()}
+    assert got == brute_components(texts, 3, Fraction(9, 10))
+    assert len({c for _, c in got.values()}) < len(texts) - 60
+
+
 def test_jaccard_odd_rows(spark):
     rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (2, "a B  c"), (3, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit(7) for c in ("node", "cell", "grp", "size", "_hit", "_page")})
