@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import without_keys, written
+from lexgrid.llm.common import fresh, without_keys, written
 from lexgrid.session import scratch_path
 
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -64,12 +64,16 @@ class DigestIndex:
         Returns ``doc_id`` (the key), ``keep_id``, ``group_size`` (rows of this
         digest in the batch, and in the index before it), ``kept``, ``text_sha256``.
         """
+        return self._verdicts(batch, key, text, F.monotonically_increasing_id()).drop("place")
+
+    def _verdicts(self, batch: DataFrame, key: str, text: str, place: Column) -> DataFrame:
+        """The rows of ``dedup`` with ``place``, which numbers the rows of ``batch`` in their order."""
         raw = F.coalesce(F.col(text), F.lit(""))
         rows = written(batch.select(
             F.col(key).alias("doc_id"),
             F.unhex(F.sha2(normalised(raw), 256)).alias("digest"),
             F.char_length(raw).cast("long").alias("n_chars"),
-            F.monotonically_increasing_id().alias("place")), "digests")
+            place.alias("place")), "digests")
         # ~x orders numbers downwards without overflow, and null ids come last under max
         best = F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("k"), F.bitwise_not("place").alias("p")))
         groups = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), best.alias("best")).select(
@@ -88,16 +92,19 @@ class DigestIndex:
         return rows.join(verdicts, "digest").select(
             "doc_id", "keep_id", F.col("n_rows").alias("group_size"),
             F.coalesce(F.col("place") == F.col("keep_place"), F.lit(False)).alias("kept"),
-            F.lower(F.hex("digest")).alias("text_sha256"))
+            F.lower(F.hex("digest")).alias("text_sha256"), "place")
 
 
 def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text",
               index: DigestIndex | None = None) -> DataFrame:
     """``docs`` without the rows whose text an earlier or better row already has.
 
-    The digest decides on rows, the join back is on the key, so the key must
-    be unique; a row with a null key is kept as it can't be named.
+    The digest decides on rows, and rows go by their place in a written copy of ``docs``, so
+    keys may repeat: of rows repeated in full one stays. A row with a null key is kept as
+    it can't be named.
     """
     index = index or DigestIndex(docs.sparkSession)
-    gone = written(index.dedup(docs, key, text).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id"), "copies")
-    return without_keys(docs, key, gone, "doc_id")
+    place = fresh(docs, "_row_place")
+    rows = written(docs.withColumn(place, F.monotonically_increasing_id()), "numbered")
+    gone = written(index._verdicts(rows, key, text, F.col(place)).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("place"), "copies")
+    return without_keys(rows, place, gone, "place").select(*docs.columns)

@@ -64,6 +64,14 @@ def test_exact_dedup_odd_rows(spark):
     assert left.columns == df.columns and {(r.doc_id, r.text) for r in left.collect()} == {(2, "t"), (None, "t"), (None, "u")}
 
 
+def test_kept_rows_of_repeated_ids(spark):
+    kind = "doc_id bigint, text string"
+    rows = [(1, "t"), (1, "t"), (None, "t"), (None, "u"), (2, "t"), (3, "t"), (3, "only here"), (4, "full"), (4, "full"), (5, "a"), (5, "a b"), (5, "ab")]
+    left = kept_rows(spark.createDataFrame(rows, kind))
+    assert sorted(((r.doc_id or 0), r.text) for r in left.collect()) == [(0, "t"), (0, "u"), (1, "t"), (3, "only here"), (4, "full"), (5, "a"), (5, "a b")]
+    assert [tuple(r) for r in kept_rows(spark.createDataFrame([(1, "t"), (1, "t"), (2, "t")], kind)).collect()] == [(1, "t")]
+
+
 def test_hot_digest_plan(spark):
     df = docs(spark, ["same"] * 300 + [str(i) for i in range(50)])
     out = DigestIndex(spark, buckets=4).dedup(df)
