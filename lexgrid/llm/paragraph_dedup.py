@@ -2,11 +2,14 @@
 
 Units that may repeat across documents:
 
-* paragraphs: lines of ``MIN_WORDS`` words or more, as sets of 5-word shingles. Equal
-  paragraphs collapse first. MinHash signatures are cut into ``BANDS`` bands of
+* paragraphs: every line, and every block of lines between blank lines, of ``SHINGLE``
+  words or more, as sets of 5-word shingles. Equal paragraphs collapse first, however
+  their lines are wrapped. MinHash signatures are cut into ``BANDS`` bands of
   ``ROWS`` values; paragraphs that collide in a band are compared exactly, and
   those with Jaccard 0.8 or more are linked (14 bands of 4 find 99.9 % of pairs at
-  0.8, and more above). Connected components of the links are the removal clusters.
+  0.8, and more above). Sets of ``ALIKE`` shingles or fewer are linked to equal sets only,
+  and those meet in every band, so one band is enough for them.
+  Connected components of the links are the removal clusters.
 * windows of ``WINDOW`` words that begin at content-chosen places (the lowest 4-gram
   hash of every ``STRIDE`` neighbouring places). For them one band holds the whole
   window, as equal passages choose equal places: every passage of
@@ -17,7 +20,7 @@ Of a cluster that touches several documents the occurrence with the smallest
 ``doc_id`` (then place) stays, the others are removed; clusters inside one document
 are left alone. Spans of a document are merged. Offsets are code points.
 
-Defined cases: null and short texts have no units; rows with a null id take no part; rows
+Defined cases: null texts and texts under ``SHINGLE`` words have no units; rows with a null id take no part; rows
 that repeat an id count as one document; ties of places can't occur within a
 text; a table without repeats, or an empty one, gives no rows; only the named
 columns are read. Window hashes have 64 bits, paragraph names 128.
@@ -38,10 +41,10 @@ from lexgrid.llm.common import CHUNK, fresh, hash_words, map_slices, maybe_in, m
 from lexgrid.llm.graph import components
 from lexgrid.llm.simjoin import linked_forest
 
-MIN_WORDS = 50
 SHINGLE = 5
 SIMILAR = Fraction(4, 5)
 BANDS, ROWS = 14, 4
+ALIKE = 3                   # a set of 4 shingles is the smallest that another set can be 0.8 like
 WINDOW, STRIDE = 44, 8
 GRAM = 4
 
@@ -81,12 +84,15 @@ def window_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix((total[at + WINDOW] - total[at]) * down[at])
 
 
-def signatures(tokens: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
-    """MinHash values of ranges of tokens (in order, not empty, without overlap), a row per range."""
-    cuts = np.array(ranges).reshape(-1)
-    last = cuts[-1] == len(tokens)
+def signatures(tokens: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """MinHash values of ranges of tokens (not empty, they may overlap), a row per range."""
+    cuts = np.unique(np.r_[begins, ends])
+    cuts = cuts[cuts < len(tokens)]
+    # minima between neighbouring cuts first, then those of the pieces of each range
+    pairs = np.stack([np.searchsorted(cuts, begins), np.searchsorted(cuts, ends)], 1).reshape(-1)
+    end = np.uint64(2**64 - 1)
     # products with odd numbers: their high bits, which decide the minimum, are well mixed
-    return np.stack([np.minimum.reduceat(tokens * a, cuts[:-1] if last else cuts)[::2] for a in _ODD], 1)
+    return np.stack([np.minimum.reduceat(np.r_[np.minimum.reduceat(tokens * a, cuts), end], pairs)[::2] for a in _ODD], 1)
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
@@ -99,11 +105,20 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _paragraphs(newlines: np.ndarray, starts: np.ndarray) -> list[tuple[int, int]]:
-    """Word ranges of the lines that are long enough."""
+def _paragraphs(newlines: np.ndarray, starts: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end words of the lines, and of the blocks of several lines, that hold a shingle."""
     line = np.searchsorted(newlines, starts)
-    edge = np.flatnonzero(np.diff(np.r_[-1, line, -1]))
-    return [(int(a), int(b)) for a, b in zip(edge[:-1], edge[1:]) if b - a >= MIN_WORDS]
+    step = np.diff(line)
+    other = np.diff(doc) > 0
+    ranges = []
+    for new in (other | (step > 0), other | (step > 1)):
+        edge = np.flatnonzero(np.r_[True, new, True])
+        ranges.append((edge[:-1], edge[1:]))
+    (a, b), (c, d) = ranges
+    several = line[c] != line[d - 1]        # a block of one line is that line
+    a, b = np.r_[a, c[several]], np.r_[b, d[several]]
+    long = b - a >= SHINGLE
+    return a[long], b[long]
 
 
 _UNITS = ("doc_id {0}, hashes array<bigint>, starts array<int>, ends array<int>, "
@@ -129,23 +144,24 @@ def _units_of(keys: list, raws: list[bytes]) -> list[tuple]:
     """Units of some texts, worked out together."""
     text = b"\n".join(raws)
     words, s, e = hash_words(text)
-    if len(words) < WINDOW:
+    if len(words) < SHINGLE:
         return []
     buf = np.frombuffer(text, np.uint8)
     first_byte = np.r_[0, np.cumsum([len(r) + 1 for r in raws])]
     first_word = np.searchsorted(s, first_byte)
-    ends = np.repeat(first_word[1:], np.diff(first_word))
+    ends, doc = np.repeat(first_word[1:], np.diff(first_word)), np.repeat(np.arange(len(keys)), np.diff(first_word))
     point = np.cumsum((buf & 0xC0) != 0x80, dtype=np.int32)      # code points up to and with each byte
     base = np.repeat(np.r_[0, point][np.minimum(first_byte[:-1], len(buf))], np.diff(first_word)).astype(np.int32)
     first, last = point[s] - 1 - base, point[e - 1] - base
     at = window_places(words, ends)
     hashes, cuts = window_hashes(words, at).view(np.int64), np.searchsorted(at, first_word)
-    found = _paragraphs(np.flatnonzero(buf == 10), s)
-    bands = band_keys(signatures(shingles(words, SHINGLE), [(a, b - SHINGLE + 1) for a, b in found])).view(np.int64) if found else ()
+    begins, stops = _paragraphs(np.flatnonzero(buf == 10), s, doc)
+    bands = band_keys(signatures(shingles(words, SHINGLE), begins, stops - SHINGLE + 1)).view(np.int64) if len(begins) else ()
     paragraphs: list[list[dict]] = [[] for _ in keys]
-    for (a, b), k, doc in zip(found, bands, np.searchsorted(first_word, [a for a, _ in found], "right") - 1):
-        paragraphs[doc].append({"node": hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest(), "size": b - a,
-                                "start": int(first[a]), "end": int(last[b - 1]), "bands": k})
+    for a, b, k, d in zip(begins.tolist(), stops.tolist(), bands, doc[begins].tolist()):
+        n = b - a
+        paragraphs[d].append({"node": hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest(), "size": n, "start": int(first[a]),
+                              "end": int(last[b - 1]), "bands": k if n - SHINGLE + 1 > ALIKE else k[:1]})
     return [(key, hashes[x:y], first[at[x:y]], last[at[x:y] + WINDOW - 1], own)
             for key, x, y, own in zip(keys, cuts[:-1], cuts[1:], paragraphs) if x < y or own]
 
@@ -181,8 +197,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "doc_id", "start", "end", "first_doc", "first_start")
 
     paragraphs = units.select("doc_id", F.explode("paragraphs").alias("p")).select("doc_id", "p.node", "p.size", "p.start", "p.end", "p.bands")
-    distinct = written(paragraphs.groupBy("node").agg(F.min(F.struct("doc_id", "start", "end", "size", "bands")).alias("p")).select(
-        "node", "p.doc_id", "p.start", "p.end", "p.size", "p.bands"), "distinct-paragraphs")
+    distinct = written(paragraphs.groupBy("node").agg(
+        F.min(F.struct("doc_id", "start", "end", "size", "bands")).alias("p"), F.max("doc_id").alias("last")).select(
+            "node", "p.doc_id", "p.start", "p.end", "p.size", "p.bands", "last"), "distinct-paragraphs")
     keys = distinct.select("node", F.col("size").cast("bigint").alias("size"), F.lit(1).alias("need"), F.explode(
         F.array_distinct("bands")).alias("cell"))
 
@@ -194,9 +211,10 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                           "node binary, grp bigint, tokens binary", 32)
 
     linked = components(written(linked_forest(keys, tokens_of, SIMILAR), "paragraph-links"))
-    named = written(distinct.select("node").join(linked, "node", "left").select(
+    # a paragraph of one document without a link is a cluster of that document alone
+    named = written(distinct.select("node", "doc_id", "last").join(linked, "node", "left").where("component_id IS NOT NULL OR doc_id < last").select(
         "node", F.coalesce("component_id", "node").alias("component_id")), "paragraph-components")
-    occurrences = paragraphs.select("node", "doc_id", "start", "end").join(named, "node")
+    occurrences = maybe_in(paragraphs.select("node", "doc_id", "start", "end"), "node", named, "node").join(named, "node")
     occurrences = written(occurrences.select("component_id", "doc_id", "start", "end"), "occurrences")
     whole = occurrences.join(written(_clusters(occurrences, "component_id"), "paragraph-clusters"), "component_id").select(
         "doc_id", "start", "end", "first_doc", "first_start")

@@ -12,7 +12,7 @@ from lexgrid.llm import simjoin, topk_mtree
 from lexgrid.llm.common import hash_many, hash_words, maybe_in, shingles, without_keys
 from lexgrid.llm.graph import components
 from lexgrid.llm.jaccard_join import jaccard_components, one_per_component
-from lexgrid.llm.paragraph_dedup import merge, repeat_report, without_repeats
+from lexgrid.llm.paragraph_dedup import merge, repeat_report, signatures, without_repeats
 from lexgrid.llm.simjoin import pigeonhole_cells
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -194,6 +194,40 @@ def test_paragraph_dedup_hot_paragraph(spark):
     assert set(got) == set(range(0, 150, 3)) and sum(r.n_removed for r in got.values()) == 49
 
 
+def test_paragraph_dedup_short_lines_and_blocks(spark):
+    rng = random.Random(21)
+    line, five, wrapped = prose(rng, 20), prose(rng, 5), prose(rng, 60)
+    near, edited = list(line), list(wrapped)
+    near[0] = "changed"
+    edited[30] = "changed"
+    lay = lambda w, n: "\n".join(" ".join(w[i:i + n]) for i in range(0, len(w), n))
+    other = lambda n: " ".join(prose(rng, n))
+    texts = [
+        " ".join(line) + "\n" + other(30),                                          # 0
+        other(9) + "\n" + " ".join(line),                                           # 1: an equal short line
+        " ".join(near) + "\n" + other(45),                                          # 2: a near one
+        other(12) + "\n \n" + lay(wrapped, 12) + "\n\n" + other(8),                # 3: a wrapped paragraph
+        lay(edited, 7) + "\n\t\n" + other(11),                                      # 4: edited, wrapped otherwise
+        " ".join(five) + "\n" + other(11), other(13) + "\n" + " ".join(five),       # 5, 6: one shingle
+        " ".join(five[:4]) + "\n" + other(9), " ".join(five[:4]) + "\n" + other(9),  # 7, 8: none
+    ]
+    got = {r.doc_id: r for r in repeat_report(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    cut = {i: [texts[i][slice(*map(int, x.split(":")))] for x in r.removals.split(",") if x] for i, r in got.items()}
+    assert cut == {0: [], 1: [" ".join(line)], 2: [" ".join(near)], 3: [], 4: [lay(edited, 7)], 5: [], 6: [" ".join(five)]}
+    assert [got[i].first_doc_id for i in (0, 1, 2, 3, 4, 5, 6)] == [0, 0, 0, 3, 3, 5, 5]
+
+
+def test_signatures_of_overlapping_ranges():
+    rng = np.random.default_rng(5)
+    tokens = rng.integers(0, 2**63, 90, dtype=np.uint64)
+    begins = rng.integers(0, 89, 40)
+    ends = np.array([rng.integers(a + 1, 91) for a in begins])
+    ends[:3] = 90
+    got = signatures(tokens, begins, ends)
+    for a, b, row in zip(begins, ends, got):
+        assert np.array_equal(row, signatures(tokens[a:b], np.array([0]), np.array([b - a]))[0])
+
+
 def test_merge():
     assert merge([(5, 9), (0, 3), (3, 4), (8, 12)]) == [(0, 4), (5, 12)]
 
