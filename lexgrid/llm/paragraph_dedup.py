@@ -17,8 +17,8 @@ Units that may repeat across documents:
   common, wherever it lies in its lines.
 
 Of a cluster that touches several documents the occurrence with the smallest
-``doc_id`` (then place) stays, the others are removed; clusters inside one document
-are left alone. Spans of a document are merged. Offsets are code points.
+``doc_id`` (then place) stays, the others are removed, also those of the same document
+that begin after the kept one's end; clusters inside one document are left alone. Spans of a document are merged. Offsets are code points.
 
 Defined cases: null texts and texts under ``SHINGLE`` words have no units; rows with a null id take no part; rows
 that repeat an id count as one document; ties of places can't occur within a
@@ -178,8 +178,8 @@ def _paragraph_tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _clusters(found: DataFrame, by: str) -> DataFrame:
     """Clusters of occurrences that touch more than one document, with the occurrence that stays."""
-    return found.groupBy(by).agg(F.min(F.struct("doc_id", "start")).alias("kept"), F.max("doc_id").alias("last")).where(
-        F.col("kept.doc_id") < F.col("last")).select(by, F.col("kept.doc_id").alias("first_doc"), F.col("kept.start").alias("first_start"))
+    return found.groupBy(by).agg(F.min(F.struct("doc_id", "start", "end")).alias("kept"), F.max("doc_id").alias("last")).where(
+        F.col("kept.doc_id") < F.col("last")).select(by, F.col("kept.doc_id").alias("first_doc"), F.col("kept.end").alias("first_end"))
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -194,7 +194,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     company = windows.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("hash").checkpoint()
     shared = written(maybe_in(windows, "hash", company, "hash").join(company, "hash"), "shared-windows")
     spans = shared.join(written(_clusters(shared, "hash"), "window-clusters"), "hash").select(
-        "doc_id", "start", "end", "first_doc", "first_start")
+        "doc_id", "start", "end", "first_doc", "first_end")
 
     paragraphs = units.select("doc_id", F.explode("paragraphs").alias("p")).select("doc_id", "p.node", "p.size", "p.start", "p.end", "p.bands")
     distinct = written(paragraphs.groupBy("node").agg(
@@ -217,9 +217,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     occurrences = maybe_in(paragraphs.select("node", "doc_id", "start", "end"), "node", named, "node").join(named, "node")
     occurrences = written(occurrences.select("component_id", "doc_id", "start", "end"), "occurrences")
     whole = occurrences.join(written(_clusters(occurrences, "component_id"), "paragraph-clusters"), "component_id").select(
-        "doc_id", "start", "end", "first_doc", "first_start")
+        "doc_id", "start", "end", "first_doc", "first_end")
     return spans.unionByName(whole).select("doc_id", "start", "end", "first_doc", (
-        (F.col("doc_id") != F.col("first_doc"))).alias("removed"))
+        (F.col("doc_id") != F.col("first_doc")) | (F.col("start") >= F.col("first_end"))).alias("removed"))
 
 
 def _merged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

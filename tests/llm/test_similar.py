@@ -217,6 +217,15 @@ def test_paragraph_dedup_short_lines_and_blocks(spark):
     assert [got[i].first_doc_id for i in (0, 1, 2, 3, 4, 5, 6)] == [0, 0, 0, 3, 3, 5, 5]
 
 
+def test_paragraph_dedup_repeats_in_the_keeping_document(spark):
+    rng = random.Random(22)
+    line, para = " ".join(prose(rng, 20)), " ".join(prose(rng, 60))
+    x, y = " ".join(prose(rng, 40)), " ".join(prose(rng, 30))
+    texts = [f"{line}\nx y z\n{para}\n{line}\n{para}", f"{x}\n{para}", f"{y}\n{line}"]
+    kept = {r.doc_id: r.text for r in without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert kept == {0: f"{line}\nx y z\n{para}\n\n", 1: f"{x}\n", 2: f"{y}\n"}
+
+
 def test_signatures_of_overlapping_ranges():
     rng = np.random.default_rng(5)
     tokens = rng.integers(0, 2**63, 90, dtype=np.uint64)
