@@ -23,7 +23,7 @@ that begin after the kept one's end; clusters inside one document are left alone
 Defined cases: null texts and texts under ``SHINGLE`` words have no units; rows with a null id take no part; rows
 that repeat an id count as one document; ties of places can't occur within a
 text; a table without repeats, or an empty one, gives no rows; only the named
-columns are read. Window hashes have 64 bits, paragraph names 128.
+columns are read. Window hashes, and those that tell the texts of one id apart, have 64 bits, paragraph names 128.
 """
 
 from __future__ import annotations
@@ -121,14 +121,14 @@ def _paragraphs(newlines: np.ndarray, starts: np.ndarray, doc: np.ndarray) -> tu
     return a[long], b[long]
 
 
-_UNITS = ("doc_id {0}, hashes array<bigint>, starts array<int>, ends array<int>, "
+_UNITS = ("doc_id {0}, version bigint, hashes array<bigint>, starts array<int>, ends array<int>, "
           "paragraphs array<struct<node:binary,size:int,start:int,end:int,bands:array<bigint>>>")
 
 
 def _units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         rows, keys, raws, size = [], [], [], 0
-        for key, text in zip(f["doc_id"], f["text"]):
+        for key, text in zip(zip(f["doc_id"], f["version"]), f["text"]):
             raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
             if raws and size + len(raw) > CHUNK:
                 rows += _units_of(keys, raws)
@@ -137,7 +137,7 @@ def _units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             raws.append(raw)
             size += len(raw) + 1
         rows += _units_of(keys, raws)
-        yield pd.DataFrame(rows, columns=["doc_id", "hashes", "starts", "ends", "paragraphs"])
+        yield pd.DataFrame(rows, columns=["doc_id", "version", "hashes", "starts", "ends", "paragraphs"])
 
 
 def _units_of(keys: list, raws: list[bytes]) -> list[tuple]:
@@ -162,7 +162,7 @@ def _units_of(keys: list, raws: list[bytes]) -> list[tuple]:
         n = b - a
         paragraphs[d].append({"node": hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest(), "size": n, "start": int(first[a]),
                               "end": int(last[b - 1]), "bands": k if n - SHINGLE + 1 > ALIKE else k[:1]})
-    return [(key, hashes[x:y], first[at[x:y]], last[at[x:y] + WINDOW - 1], own)
+    return [(*key, hashes[x:y], first[at[x:y]], last[at[x:y] + WINDOW - 1], own)
             for key, x, y, own in zip(keys, cuts[:-1], cuts[1:], paragraphs) if x < y or own]
 
 
@@ -185,7 +185,8 @@ def _clusters(found: DataFrame, by: str) -> DataFrame:
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, start, end, first_doc, removed``: every occurrence of a repeated unit."""
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    rows = rows.withColumn("version", F.xxhash64("text"))     # rows may repeat an id with other texts
     units = written(map_slices(rows, _units, _UNITS.format(kind)), "units")
 
     windows = units.select("doc_id", F.explode(F.arrays_zip("hashes", "starts", "ends")).alias("w")).select(
@@ -196,18 +197,18 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     spans = shared.join(written(_clusters(shared, "hash"), "window-clusters"), "hash").select(
         "doc_id", "start", "end", "first_doc", "first_end")
 
-    paragraphs = units.select("doc_id", F.explode("paragraphs").alias("p")).select("doc_id", "p.node", "p.size", "p.start", "p.end", "p.bands")
+    paragraphs = units.select("doc_id", "version", F.explode("paragraphs").alias("p")).select("doc_id", "version", "p.node", "p.size", "p.start", "p.end", "p.bands")
     distinct = written(paragraphs.groupBy("node").agg(
-        F.min(F.struct("doc_id", "start", "end", "size", "bands")).alias("p"), F.max("doc_id").alias("last")).select(
-            "node", "p.doc_id", "p.start", "p.end", "p.size", "p.bands", "last"), "distinct-paragraphs")
+        F.min(F.struct("doc_id", "start", "end", "version", "size", "bands")).alias("p"), F.max("doc_id").alias("last")).select(
+            "node", "p.doc_id", "p.start", "p.end", "p.version", "p.size", "p.bands", "last"), "distinct-paragraphs")
     keys = distinct.select("node", F.col("size").cast("bigint").alias("size"), F.lit(1).alias("need"), F.explode(
         F.array_distinct("bands")).alias("cell"))
 
     def tokens_of(members: DataFrame) -> DataFrame:
-        wanted = members.join(distinct.select("node", "doc_id", "start", "end"), "node").groupBy("doc_id").agg(
+        wanted = members.join(distinct.select("node", "doc_id", "version", "start", "end"), "node").groupBy("doc_id", "version").agg(
             F.collect_list(F.struct("node", "grp", "start", "end")).alias("wanted")).checkpoint()
-        texts = maybe_in(rows, "doc_id", wanted, "doc_id").dropDuplicates(["doc_id"])
-        return map_slices(texts.join(wanted, "doc_id").select("text", "wanted"), _paragraph_tokens,
+        texts = maybe_in(rows, "version", wanted, "version").dropDuplicates(["doc_id", "version"])
+        return map_slices(texts.join(wanted, ["doc_id", "version"]).select("text", "wanted"), _paragraph_tokens,
                           "node binary, grp bigint, tokens binary", 32)
 
     linked = components(written(linked_forest(keys, tokens_of, SIMILAR), "paragraph-links"))

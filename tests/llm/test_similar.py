@@ -226,6 +226,19 @@ def test_paragraph_dedup_repeats_in_the_keeping_document(spark):
     assert kept == {0: f"{line}\nx y z\n{para}\n\n", 1: f"{x}\n", 2: f"{y}\n"}
 
 
+def test_paragraph_dedup_texts_of_one_id(spark):
+    rng = random.Random(23)
+    rows = []
+    for i in range(0, 24, 2):
+        para = prose(rng, 60)
+        rows += [(i, " ".join(para)), (i, " ".join(prose(rng, 70))), (i, None), (i, "short"), (i + 1, " ".join([*para[:59], "changed"]))]
+    rng.shuffle(rows)
+    got = {r.doc_id: r for r in repeat_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert set(got) == set(range(24))
+    edited = {i: t for i, t in rows if i % 2}
+    assert all(got[i].removals == f"0:{len(edited[i])}" and got[i].first_doc_id == i - 1 for i in edited)
+
+
 def test_signatures_of_overlapping_ranges():
     rng = np.random.default_rng(5)
     tokens = rng.integers(0, 2**63, 90, dtype=np.uint64)
