@@ -1,43 +1,71 @@
 """Row slices, fixed-size batches and per-batch padding.
 
 Batches follow an explicit order (ending in a unique key), numbered from 0,
-``size`` rows each, the last possibly short. Padding width is the longest row
-of the batch, never a whole-table window:
-
-* ``pad_batch`` pads any grouping column with a window partitioned by it (one
-  shuffle; at most ``size`` rows per key for batches, so no skew).
-* ``padded_batches`` batches and pads in one go without that shuffle. After
-  the range-partitioned sort that numbers the rows, every batch lies inside
-  one partition except the first and last batch of each partition. Their
-  widths come from a tiny aggregate (at most two rows per partition, checked
-  and broadcast); all other widths come from one ordered pass per partition
-  that holds back at most ``size`` rows at a time.
+``size`` rows each, the last possibly short. Only the order's columns are sorted
+(``ranking.sorted_positions``). Padding width is the longest row of the batch, a
+window partitioned by it: at most ``size`` rows per key for batches, so no skew.
+
+``PositionIndex`` keeps a table in its order, cut into ranges of known positions, so
+that later slices and batches read their own ranges only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lexgrid.functions.sequences import pad_to, padded_mask, truncate
-from lexgrid.operators.ranking import ranked_partitions, sorted_positions
+from lexgrid.operators.ranking import key_positions, sorted_positions, with_positions
 
 
 def row_slice(df: DataFrame, start: int, stop: int | None, order: Sequence[Column | str]) -> DataFrame:
     """Rows ``start`` (inclusive) .. ``stop`` (exclusive) of ``order``, 0-based, clipped.
 
-    Exact positions from the range-partitioned sort, whatever the size of the slice.
+    Exact positions of the keys, whatever the size of the slice; the rows themselves are read once and
+    not sorted (they are where ``order`` holds expressions).
     """
+    if any(not isinstance(c, str) for c in order):
+        return _between(sorted_positions(df, order, "_pos"), "_pos", start, stop).drop("_pos")
+    keys = _between(key_positions(df, order, "_pos"), "_pos", start, stop)
+    return with_positions(df, keys, order[-1], "left_semi")
+
+
+def _between(df: DataFrame, pos: str, start: int, stop: int | None) -> DataFrame:
     if start < 0 or (stop is not None and stop < start):
         raise ValueError("need 0 <= start <= stop")
-    ranked = sorted_positions(df, order, "_pos")
-    cond = F.col("_pos") > start
-    if stop is not None:
-        cond = cond & (F.col("_pos") <= stop)
-    return ranked.where(cond).drop("_pos")
+    cond = F.col(pos) > start
+    return df.where(cond if stop is None else cond & (F.col(pos) <= stop))
+
+
+class PositionIndex:
+    """A stored copy of a table in its order: ``_pos``, the 1-based position, and ``_part``, the
+    range of ``rows`` positions it lies in, which is the folder too.
+
+    A slice, or a run of batches, reads the folders of its own ranges and no others.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, rows: int):
+        self.spark, self.path, self.rows = spark, path, rows
+
+    @classmethod
+    def build(cls, df: DataFrame, order: Sequence[str], path: str, rows: int = 1 << 20) -> "PositionIndex":
+        placed = sorted_positions(df, order, "_pos").withColumn("_part", F.floor((F.col("_pos") - 1) / rows).cast("long"))
+        placed.repartition("_part").sortWithinPartitions("_part", "_pos").write.partitionBy("_part").parquet(path)
+        return cls(df.sparkSession, path, rows)
+
+    def slice(self, start: int, stop: int | None = None) -> DataFrame:
+        """C7 from the index, with ``_pos``."""
+        stored = _between(self.spark.read.parquet(self.path), "_pos", start, stop).where(F.col("_part") >= start // self.rows)
+        if stop is not None:
+            stored = stored.where(F.col("_part") <= max(stop - 1, start) // self.rows)
+        return stored.drop("_part")
+
+    def batches(self, first: int, last: int, size: int = 16, batch_col: str = "batch_id") -> DataFrame:
+        """Q5 from the index: batches ``first`` .. ``last`` (inclusive) of ``size`` rows."""
+        return self.slice(first * size, (last + 1) * size).withColumn(
+            batch_col, F.floor((F.col("_pos") - 1) / size).cast("long")).drop("_pos")
 
 
 def make_batches(df: DataFrame, order: Sequence[Column | str], size: int = 16,
@@ -64,80 +92,13 @@ def pad_batch(df: DataFrame, ids: str, batch_col: str = "batch_id", side: str =
             .drop("_ids", "_w"))
 
 
-def numbered_batches(df: DataFrame, order: Sequence[Column | str], size: int,
-                     batch_col: str = "batch_id") -> tuple[DataFrame, DataFrame]:
-    """Q5 for ordered passes: ``(batched, edges)``.
-
-    ``batched`` is ``make_batches`` output whose rows stay in sorted order
-    inside the partitions of the range-partitioned sort (keep it to narrow
-    operators). ``edges`` lists the first and last batch of every non-empty
-    partition, at most two rows per partition: the only batches that can
-    span partitions.
-    """
-    if size < 1:
-        raise ValueError("size must be >= 1")
-    ranked, parts = ranked_partitions(df, order, "_pos")
-    batched = (ranked.withColumn(batch_col, F.floor((F.col("_pos") - 1) / size).cast("long"))
-               .drop("_pos", "_pid"))
-    edges = parts.where(F.col("_n") > 0).select(F.explode(F.array_distinct(F.array(
-        F.floor(F.col("_off") / size).cast("long"),
-        F.floor((F.col("_off") + F.col("_n") - 1) / size).cast("long")))).alias(batch_col)).distinct()
-    return batched, edges
-
-
 def padded_batches(df: DataFrame, order: Sequence[Column | str], ids: str, size: int = 16,
                    side: str = "right", pad_id: int = 0, max_len: int | None = None,
                    batch_col: str = "batch_id", out_ids: str = "input_ids",
                    out_mask: str = "attention_mask") -> DataFrame:
-    """Q5 + Q2-Q4: ``make_batches`` then ``pad_batch``, with no shuffle after the sort."""
-    # the ordered pass below is opaque to pruning: carry one copy of the ids only
-    src = "_ids" if max_len else ids
-    staged = df.withColumn("_ids", truncate(ids, max_len)) if max_len else df
-    batched, edges = numbered_batches(staged, order, size, batch_col)
-    batched = batched.withColumn("_len", F.size(src))
-    edge_widths = (batched.join(F.broadcast(edges), batch_col)
-                   .groupBy(batch_col).agg(F.max("_len").alias("_ew")))
-    # at most two rows per partition: safe to broadcast
-    tagged = batched.join(F.broadcast(edge_widths), batch_col, "left")
-    widths = _run_widths(tagged, batch_col, "_len", "_ew", "_w")
-    return widths.select(*df.columns, batch_col,
-                         pad_to(src, F.col("_w"), pad_id, side).alias(out_ids),
-                         padded_mask(src, F.col("_w"), side).alias(out_mask))
-
-
-def _run_widths(df: DataFrame, group: str, length: str, known: str, out: str) -> DataFrame:
-    """``out`` = max of ``length`` over each run of equal ``group`` values within a
-    partition, raised to ``known`` where set. Rows must arrive grouped (sorted);
-    only the trailing run of each Arrow batch is held back (at most one batch's rows)."""
-    schema = StructType(list(df.schema.fields) + [StructField(out, IntegerType(), True)])
-
-    def widths(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        def finish(t):
-            g = t.column(group)
-            per = t.group_by(group).aggregate([(length, "max")])
-            w = pc.take(per.column(f"{length}_max"), pc.index_in(g, value_set=per.column(group).combine_chunks()))
-            w = pc.max_element_wise(w, t.column(known), skip_nulls=True).cast(pa.int32())
-            return t.append_column(out, w).to_batches()
-
-        carry = None
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            if carry is not None:
-                t = pa.concat_tables([carry, t])
-            if t.num_rows == 0:
-                continue
-            g = t.column(group)
-            tail = pc.equal(g, g[-1])
-            ready, carry = t.filter(pc.invert(tail)), t.filter(tail)
-            if ready.num_rows:
-                yield from finish(ready)
-        if carry is not None and carry.num_rows:
-            yield from finish(carry)
-
-    return df.mapInArrow(widths, schema)
+    """Q5 + Q2-Q4: ``make_batches`` then ``pad_batch``, both with ``size`` rows a batch."""
+    padded = pad_batch(make_batches(df, order, size, batch_col), ids, batch_col, side, pad_id, max_len, out_ids, out_mask)
+    return padded.select(*df.columns, batch_col, out_ids, out_mask)
 
 
 def unpad(ids: Column | str, mask: Column | str) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DataType, DoubleType, LongType, StringType, StructField,
                                StructType)
 
-from lexgrid.operators.batching import numbered_batches
+from lexgrid.operators.batching import make_batches
 
 DEFAULT_BATCH = 16
 
@@ -64,23 +64,16 @@ def score_exact_batches(df: DataFrame, batch_col: str, make_batch_fn: Callable,
 def score_ordered_batches(df: DataFrame, order: Sequence[Column | str], size: int,
                           make_batch_fn: Callable, out: str, out_type: DataType,
                           batch_col: str = "batch_id") -> DataFrame:
-    """Q5 + exact-batch scoring without shuffling the rows.
-
-    Batches are cut as ``make_batches`` does. A batch lies inside one
-    partition of the range-partitioned sort unless it is a partition's first
-    or last batch; only those edge rows (at most two batches per partition)
-    are grouped with ``applyInPandas``. Every other batch is scored in one
-    ordered ``mapInPandas`` pass per partition that holds back at most one
-    batch of rows between Arrow batches. ``make_batch_fn`` is as in
-    ``score_exact_batches``.
+    """Q5 + exact-batch scoring: one model call per batch of ``make_batches``, in order.
+
+    A batch goes to one task; a task takes its batches one after the other in an ordered
+    ``mapInPandas`` pass that holds back at most one batch of rows between Arrow batches.
+    ``make_batch_fn`` is as in ``score_exact_batches``.
     """
-    batched, edges = numbered_batches(df, order, size, batch_col)
     schema = StructType(list(df.schema.fields) + [StructField(batch_col, LongType(), True),
                                                   StructField(out, out_type, True)])
     cols = [f.name for f in schema.fields[:-1]]
-    edges = F.broadcast(edges)  # at most two rows per partition
-    edge_rows = batched.join(edges, batch_col, "left_semi").select(*cols)
-    inner_rows = batched.join(edges, batch_col, "left_anti").select(*cols)
+    batched = make_batches(df, order, size, batch_col, "_pos").repartition(batch_col).sortWithinPartitions(batch_col, "_pos").select(*cols)
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         fn = _cached(make_batch_fn)
@@ -103,8 +96,7 @@ def score_ordered_batches(df: DataFrame, order: Sequence[Column | str], size: in
         if carry is not None and not carry.empty:
             yield score(carry)
 
-    return inner_rows.mapInPandas(runs, schema).unionByName(
-        edge_rows.groupBy(batch_col).applyInPandas(score, schema=schema))
+    return batched.mapInPandas(runs, schema)
 
 
 _CACHE: dict[int, tuple[Callable, Callable]] = {}

@@ -10,6 +10,7 @@ from lexgrid.operators import splits as X
 from lexgrid.plans.catalog import register
 from lexgrid.plans.sqltext import hash_sql
 from lexgrid.plans.tables import load
+from lexgrid.session import scratch_path
 
 SEED = 42
 TEST_SIZE = 0.2
@@ -111,3 +112,15 @@ def row_slice_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows 100..299 of the events in time order (the slice is the operator)."""
     ev = load(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     return B.row_slice(ev, SLICE_START, SLICE_STOP, ["ts", "event_id"]).drop("ts")
+
+
+@register("row_slice_indexed", f"""
+SELECT event_id, event_type, user_id FROM (
+  SELECT event_id, event_type, user_id, row_number() OVER (ORDER BY ts, event_id) AS pos FROM events) e
+WHERE pos > {SLICE_START} AND pos <= {SLICE_STOP}
+""")
+def row_slice_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from a stored position index, which reads one range of the events only."""
+    ev = load(spark, sf_dir, "events").select("event_id", "ts", "event_type", "user_id")
+    index = B.PositionIndex.build(ev, ["ts", "event_id"], scratch_path(spark, "positions"), rows=1024)
+    return index.slice(SLICE_START, SLICE_STOP).select("event_id", "event_type", "user_id")

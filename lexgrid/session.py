@@ -31,6 +31,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if driver_memory is not None:
         builder = builder.config("spark.driver.memory", driver_memory)

@@ -94,16 +94,41 @@ def test_padded_batches_match_window_padding(spark):
             assert got == want
 
 
-def test_padded_batches_plan_has_one_full_shuffle(spark):
-    df = spark.range(200).select(F.col("id").alias("key"), F.array(F.col("id")).alias("ids"))
-    out = B.padded_batches(df, ["key"], "ids", 16)
-    out.collect()
-    lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
-    # no window over the rows (windows only run over the per-partition offsets)
-    assert not any("Window [max(" in ln for ln in lines)
-    # every hash exchange carries partial aggregates (edge widths, partition counts)
-    hits = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(" in ln]
-    assert hits and all("partial_" in lines[i + 1] for i in hits)
+def test_positions_sort_keys_only(spark, tmp_path):
+    spark.range(500).selectExpr("id AS key", "repeat('x', 100) AS payload").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = R.sorted_positions(df, ["key"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Scan ExistingRDD" in plan      # payload once, keys from the checkpoint
+
+
+def test_position_index_reads_its_ranges(spark, tmp_path):
+    rows = [(i * 7919 % 1000, "p%d" % i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "key long, p string")
+    index = B.PositionIndex.build(df, ["key"], str(tmp_path / "index"), rows=64)
+    want = sorted(rows)
+    for start, stop in ((0, 5), (60, 70), (100, 300), (990, None), (1000, 2000)):
+        got = index.slice(start, stop)
+        assert sorted((r.key, r.p) for r in got.collect()) == want[start:stop]
+        scan = next(line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line)
+        assert f"_part#" in scan.split("PartitionFilters: [")[1].split("]")[0] and f">= {start // 64}" in scan
+    batch = index.batches(3, 4, 16).collect()
+    assert sorted((r.key, r.p) for r in batch) == want[48:80] and {r.batch_id for r in batch} == {3, 4}
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_running_sums_over_partitions(spark, partitions):
+    rng = random.Random(partitions)
+    # one group holds most rows, null is a group too
+    rows = [(None if i % 50 == 0 else 5 if i % 3 else rng.randrange(30), i, rng.randrange(-9, 10)) for i in range(2000)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g long, k long, x long").withColumn("one", F.lit(1).cast("long"))
+    fixed = df.repartitionByRange(partitions, "g", "k").sortWithinPartitions("g", "k").checkpoint().withColumn("_pid", F.spark_partition_id())
+    got = {r.k: (r.n, r.s) for r in R.running_sums(fixed, "g", {"n": "one", "s": "x"}).collect()}
+    want, at = {}, {}
+    for g, k, x in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        n, s = at.get(g, (0, 0))
+        at[g] = want[k] = (n + 1, s + x)
+    assert got == want
 
 
 def test_row_slice_clips(spark):
