@@ -63,6 +63,14 @@ def map_slices(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd
     return df.mapInArrow(run, kind)
 
 
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch], pa.Schema], Iterator[pa.RecordBatch]],
+                schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` whose function is also given the Arrow schema of its output."""
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    out = to_arrow_schema(kind)
+    return df.mapInArrow(lambda batches: fn(batches, out), kind)
+
+
 FILTER_BITS = 1 << 26
 PAGE_BITS = 8 * 4096        # fixed value: bits of one bitmap of bitmap_construct_agg
 

@@ -8,7 +8,8 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexgrid.llm import chat, sql
+from lexgrid.llm import chat, merkle, prefix_trie, sql
+from lexgrid.llm.best_fit import pack_best_fit
 from lexgrid.llm.common import table
 from lexgrid.llm.exact_dedup import DigestIndex
 from lexgrid.llm.jaccard_join import jaccard_components
@@ -103,3 +104,26 @@ def op9_topk_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@register("op11_merkle_manifest", sql.MERKLE)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents and a proof per document; a fifth of them are tampered with."""
+    which = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    manifest = merkle.Manifest(table(spark, sf_dir, "documents"), which=which,
+                               tampered={"text": F.translate("text", merkle.UPPER, merkle.LOWER)})
+    return manifest.proofs().withColumnRenamed("key", "doc_id")
+
+
+@register("op12_prefix_trie", sql.PREFIX_TRIE)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations, rebuilt to share their first turns in fives."""
+    turns = prefix_trie.narrow_turns(table(spark, sf_dir, "conversations"))
+    heads = F.crc32(F.col("conv").cast("string").cast("binary")) % 9
+    return prefix_trie.prefix_trie(*prefix_trie.shared_heads(turns, heads, F.col("conv") - F.col("conv") % 5, 8))
+
+
+@register("op13_best_fit")
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens by sums of squares."""
+    return pack_best_fit(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
