@@ -40,8 +40,14 @@ def regression(label: str, reg_param: float = 0.0, max_iter: int = 50) -> Logist
 def fit_text_classifier(train: DataFrame, text: str, label: str, reg_param: float = 0.0,
                         max_iter: int = 50, num_features: int = DEFAULT_FEATURES) -> PipelineModel:
     """M1: fit the pipeline (label must be a 0-based class index)."""
-    df = train.withColumn(label, F.col(label).cast("double"))
-    return Pipeline(stages=[*text_features(text, num_features), regression(label, reg_param, max_iter)]).fit(df)
+    features = Pipeline(stages=text_features(text, num_features)).fit(train)
+    return PipelineModel([*features.stages, regression(label, reg_param, max_iter).fit(_ready(features, train, label))])
+
+
+def _ready(features: PipelineModel, train: DataFrame, label: str) -> DataFrame:
+    """The narrow feature rows, dealt over the cores: every pass of the optimiser reads them, and texts may lie in one split."""
+    return features.transform(train.withColumn(label, F.col(label).cast("double"))).select(label, "_features").repartition(
+        train.sparkSession.sparkContext.defaultParallelism)
 
 
 def convergence(model: PipelineModel, max_iter: int) -> tuple[int, bool]:
@@ -89,7 +95,7 @@ def select_model(train: DataFrame, test: DataFrame, text: str, label: str,
     """
     spark = train.sparkSession
     features = Pipeline(stages=text_features(text, num_features)).fit(train)
-    ready = features.transform(train.withColumn(label, F.col(label).cast("double"))).select(label, "_features").cache()
+    ready = _ready(features, train, label).cache()
     try:
         rows, fitted = [], []
         for i, rp in enumerate(reg_params):

@@ -9,9 +9,9 @@ round). O(log^2 n) rounds.
 
 Each round is a few aggregations and joins keyed by node. A hub node with a
 huge degree is a skewed key on the edge side only (the per-node minimum is
-one row per key), which AQE's skew join splits. Every round's edges are
-checkpointed into ``spark.checkpoint.dir`` (reliable), so lineage stays one
-round deep and a lost executor recomputes at most one round.
+one row per key), which AQE's skew join splits. The minima are checkpointed before they are
+joined back, so each step is worked out once, and so are every step's edges, into
+``spark.checkpoint.dir`` (reliable): lineage stays one step deep.
 """
 
 from __future__ import annotations
@@ -35,17 +35,15 @@ def _orient(edges: DataFrame) -> DataFrame:
 
 def _large_star(e: DataFrame) -> DataFrame:
     sym = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    mins = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return _orient(sym.where(F.col("v") > F.col("u")).join(mins, "u")
-                   .select(F.col("m").alias("u"), F.col("v")))
+    mins = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).checkpoint()
+    return _orient(sym.where(F.col("v") > F.col("u")).join(mins, "u").select(F.col("m").alias("u"), F.col("v"))).checkpoint()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    mins = e.groupBy("v").agg(F.min("u").alias("m"))
-    joined = e.join(mins, "v")
-    to_smaller = joined.select(F.col("m").alias("u"), F.col("u").alias("v"))
-    to_self = joined.select(F.col("m").alias("u"), F.col("v"))
-    return _orient(to_smaller.unionByName(to_self))
+    mins = e.groupBy("v").agg(F.min("u").alias("m")).checkpoint()
+    # a node and its smaller neighbours all move to the smallest of them
+    return _orient(e.join(mins, "v").select(F.explode(F.array(
+        F.struct(F.col("m").alias("u"), F.col("u").alias("v")), F.struct(F.col("m").alias("u"), F.col("v")))).alias("p")).select("p.u", "p.v")).checkpoint()
 
 
 def _is_star_forest(e: DataFrame) -> bool:
@@ -69,10 +67,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     e = _orient(edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))).checkpoint(eager=True)
     for _ in range(max_rounds):
         if _is_star_forest(e):
-            labels = e.select(F.col("v").alias("node"), F.col("u").alias("component")) \
-                .unionByName(e.select(F.col("u").alias("node"), F.col("u").alias("component")))
-            return labels.groupBy("node").agg(F.min("component").alias("component"))
-        e = _small_star(_large_star(e)).checkpoint(eager=True)
+            return e.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(
+                e.select("u").distinct().select(F.col("u").alias("node"), F.col("u").alias("component")))
+        e = _small_star(_large_star(e))
     raise NotConverged(f"connected components did not converge in {max_rounds} rounds")
 
 

@@ -6,10 +6,10 @@ Two tokenisation routes:
 * ``tokenise_with`` — any user tokenizer, hosted in an iterator Pandas UDF so it
   is loaded once per task and fed Arrow batches.
 
-``encode`` looks tokens up in a vocabulary by a join on the token: tokens are
-exploded with their position, joined with no hint (the planner broadcasts a
-vocabulary only if its measured size allows it; a hot token is a skewed key on one
-side only, which AQE's skew join splits), and re-assembled per row.
+``encode`` and ``decode`` look values up without a row per token in any exchange. Rows are dealt into
+groups of about ``GROUP_BYTES`` (one exchange, a row per document); each group's distinct values, which a
+group has few of, are joined with the vocabulary; and the group's rows are translated in one Arrow pass with the
+group's own small dictionary. Neither the vocabulary nor a hot token ever has to fit anywhere whole.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from lexgrid.operators.ranking import sorted_positions
 
@@ -29,6 +30,10 @@ PAD_ID = 0
 UNK_ID = 1
 SPECIALS = ("<pad>", "<unk>")
 
+GROUP_BYTES = 16 << 20      # as stored: some times as much in memory
+GROUP_ROWS = 10_000
+UNKNOWN = 1 << 60           # a size that only a guess gives
+
 
 def rule_tokens(text: Column | str) -> Column:
     """Q1 (rule route): maximal runs of characters other than space, tab, CR, LF.
@@ -77,31 +82,86 @@ def build_vocab(df: DataFrame, tokens: str, min_count: int = 1,
     return ranked.select("token", "freq", (F.col("_pos") - 1 + len(specials)).alias("id"))
 
 
+def _groups(df: DataFrame) -> int:
+    """Groups for about ``GROUP_BYTES`` of the tables that ``df`` reads (or of ``GROUP_ROWS`` rows where their size isn't known),
+    and one per shuffle partition at least."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    wanted = -(-size // GROUP_BYTES) if size < UNKNOWN else -(-df.count() // GROUP_ROWS)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted)
+
+
+def _looked_up(df: DataFrame, values: str, table: DataFrame, out: str, kind: str, finish: Callable) -> DataFrame:
+    """``df`` with ``out``: ``finish(list array, its flat values' places in the dictionary, dictionary)``.
+
+    ``table``: ``value, found``, one row per value.
+    """
+    n = _groups(df)
+    dealt = df.withColumn("_group", F.pmod(F.xxhash64(*df.columns), F.lit(n))).repartition(n, "_group")
+    own = dealt.select(F.col("_group").alias("_page"), F.explode(F.array_distinct(values)).alias("value")).distinct()
+    pages = own.join(table, "value").select("_page", "value", "found")
+    schema = StructType([*[f for f in df.schema.fields if f.name != out], *StructType.fromDDL(f"`{out}` {kind}").fields])
+    target = to_arrow_schema(schema)
+
+    def translate(_, rows, page):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        given = rows.column(values).combine_chunks()
+        given = pa.concat_arrays(given.chunks) if isinstance(given, pa.ChunkedArray) else given
+        known = page.column("value").combine_chunks()
+        places = pc.index_in(given.flatten(), value_set=known)
+        found = finish(given, places, page.column("found").combine_chunks())
+        return pa.table([*[rows.column(f.name) for f in schema.fields[:-1]], found.cast(target.types[-1])], schema=target)
+
+    return dealt.groupBy("_group").cogroup(pages.groupBy("_page")).applyInArrow(translate, schema).select(
+        *[c for c in df.columns if c != out], out)
+
+
+def _relisted(given, flat):
+    """``flat`` cut as the list array ``given`` is (its nulls too)."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    sizes = pc.fill_null(pc.list_value_length(given), 0)
+    ends = pc.cumulative_sum(sizes.cast(pa.int32()))
+    starts = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+    return pa.ListArray.from_arrays(starts, flat, mask=given.is_null())
+
+
 def encode(df: DataFrame, tokens: str, vocab: DataFrame, key: str, out: str = "ids",
            unk_id: int = UNK_ID) -> DataFrame:
     """Token array -> id array through ``vocab`` (columns ``token``, ``id``).
 
-    ``key`` must be unique. A null token array gives a null id array, an empty one an
-    empty one; tokens outside the vocabulary (null tokens too) get ``unk_id``.
+    A null token array gives a null id array, an empty one an
+    empty one; tokens outside the vocabulary (null tokens too) get ``unk_id``. ``key`` stays with its row; it need not be unique.
     """
-    exploded = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
-    looked = exploded.join(vocab.select("token", F.col("id").cast("long").alias("id")), "token", "left")
-    per_row = looked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(
-        "_pos", F.coalesce(F.col("id"), F.lit(unk_id).cast("long")).alias("id")))).alias("_p"))
-    per_row = per_row.select(key, F.transform("_p", lambda s: s["id"]).alias(out))
-    empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<bigint>"))
-    return df.join(per_row, key, "left").withColumn(out, F.coalesce(F.col(out), empty))
+    def finish(given, places, ids):
+        import pyarrow.compute as pc
+        return _relisted(given, pc.fill_null(pc.take(ids, places), unk_id))
+
+    table = vocab.select(F.col("token").alias("value"), F.col("id").cast("long").alias("found"))
+    return _looked_up(df, tokens, table, out, "array<bigint>", finish)
 
 
 def decode(df: DataFrame, ids: str, vocab: DataFrame, key: str, out: str = "text",
            special_ids: tuple[int, ...] = (PAD_ID, UNK_ID), sep: str = " ") -> DataFrame:
     """Id array -> text through ``vocab``, the inverse of ``encode``.
 
-    Special ids are skipped, and ids outside the vocabulary too. ``key`` must be
-    unique; a null id array gives a null text, one without any token the empty text.
+    Special ids are skipped, and ids outside the vocabulary too. A null id array gives a null text, one without
+    any token the empty text.
     """
-    exploded = df.select(key, F.posexplode(ids).alias("_pos", "id")).where(~F.col("id").isin(*special_ids))
-    looked = exploded.join(vocab.select("token", F.col("id").cast("long").alias("id")), "id")
-    per_row = looked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "token"))).alias("_p"))
-    per_row = per_row.select(key, F.array_join(F.transform("_p", lambda s: s["token"]), sep).alias(out))
-    return df.join(per_row, key, "left").withColumn(out, F.coalesce(F.col(out), F.when(F.col(ids).isNotNull(), F.lit(""))))
+    table = vocab.select(F.col("id").cast("long").alias("value"), F.col("token").alias("found")).where(~F.col("id").isin(*special_ids))
+    wide = df.withColumn("_wide", F.col(ids).cast("array<bigint>"))
+
+    def finish(given, places, tokens):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        words = pc.take(tokens, places)
+        kept = words.is_valid()
+        rows = pc.list_parent_indices(given).filter(kept)
+        counts = pc.value_counts(rows)
+        sizes = dict(zip(counts.field("values").to_pylist(), counts.field("counts").to_pylist()))
+        ends = pc.cumulative_sum(pa.array([sizes.get(i, 0) for i in range(len(given))], pa.int32()))
+        lists = pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), words.filter(kept).cast(pa.string()))
+        return pc.if_else(given.is_null(), pa.scalar(None, pa.string()), pc.binary_join(lists, sep))
+
+    return _looked_up(wide, "_wide", table, out, "string", finish).select(*[c for c in df.columns if c != out], out)

@@ -177,8 +177,11 @@ LISTING_COLUMNS = ["id", "shop_name", "shop_brand", "laiyuan1_id", "brand_id", "
 SELECT id, shop_name, shop_brand, laiyuan1_id, brand_id, brand_name FROM ({LISTINGS_SQL}) l
 """)
 def workbook_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: raw listings encoded as workbooks (one per partition), parsed back as strings,
+    """S3: raw listings written as workbooks by the data source and read back through it,
     NA words to null, then filled: the cleaned listing table."""
-    books = WB.to_workbooks(raw_listings(spark, sf_dir), LISTING_COLUMNS)
-    parsed = WB.parse_workbooks(books, LISTING_COLUMNS, source_col=None)
+    WB.register_workbooks(spark)
+    path = scratch_path(spark, "workbooks")
+    raw_listings(spark, sf_dir).select(*LISTING_COLUMNS).write.format("workbook").mode("append").option("maxRows", 5000).save(path)
+    schema = ", ".join(f"{c} string" for c in LISTING_COLUMNS)
+    parsed = spark.read.format("workbook").schema(schema).load(path)
     return fill_missing(WB.null_tokens(parsed, LISTING_COLUMNS)).select(*LISTING_COLUMNS)

@@ -84,3 +84,48 @@ def test_workbooks_from_files(spark):
         WB.read_workbooks(spark, d, ["id", "brand_name"]).collect()
     named = WB.read_workbooks(spark, d, ["key"], aliases={"id": "key"})
     assert sorted(r.key for r in named.collect()) == ["1", "2", "3"]
+
+
+def test_workbook_source_writes_and_reads(spark, tmp_path):
+    from lexgrid.sources import workbook as WB
+    WB.register_workbooks(spark)
+    rows = [(str(i), f"name <{i}> & co", None if i % 3 else "", "NA") for i in range(250)]
+    df = spark.createDataFrame(rows, "id string, a string, b string, c string").repartition(3)
+    path = str(tmp_path / "books")
+    df.write.format("workbook").mode("append").option("maxRows", 40).save(path)
+    files = sorted(os.listdir(path))
+    assert len([f for f in files if f.endswith(".xlsx")]) >= 7
+    back = spark.read.format("workbook").schema("c string, id string, a string, b string").load(path)
+    want = sorted((i, a, None, c) for i, a, _, c in rows)
+    assert sorted((r.id, r.a, r.b, r.c) for r in back.collect()) == want
+    assert back.rdd.getNumPartitions() == len([f for f in files if f.endswith(".xlsx")])
+    # the same files by Spark's own file reader
+    assert sorted((r.id, r.a, r.b, r.c) for r in WB.read_workbooks(spark, path, ["id", "a", "b", "c"], na_tokens=None).collect()) == want
+    named = spark.read.format("workbook").schema("key string, more string").options(aliases='{"id": "key"}', optional='["more"]').load(path)
+    assert sorted(r.key for r in named.collect()) == sorted(r[0] for r in rows)
+    with pytest.raises(Exception, match="no column nope"):
+        spark.read.format("workbook").schema("nope string").load(path).collect()
+    df.where("id < '2'").write.format("workbook").mode("overwrite").save(path)
+    again = spark.read.format("workbook").schema("id string").load(path)
+    assert again.count() == sum(r[0] < "2" for r in rows)
+
+
+def test_failed_workbook_write_leaves_nothing(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from lexgrid.sources import workbook as WB
+    WB.register_workbooks(spark)
+    path = str(tmp_path / "books")
+    bad = spark.range(100).repartition(2).select(F.when(F.col("id") == 77, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("string").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        bad.write.format("workbook").mode("append").save(path)
+    left = [f for _, _, names in os.walk(path) for f in names]
+    assert left == []
+
+
+def test_workbook_rows_stream_out(tmp_path):
+    from lexgrid.sources import workbook as WB
+    path = str(tmp_path / "big.xlsx")
+    WB.write_workbook_file(path, ["a", "b"], ([str(i), None] for i in range(3000)))
+    with open(path, "rb") as f:
+        rows = WB.picked_rows(f, path, ["b", "a"])
+        assert next(rows) == [None, "0"] and sum(1 for _ in rows) == 2999

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from lexgrid.operators import batching as B
 from lexgrid.operators import metrics as M
 from lexgrid.operators import ranking as R
+from lexgrid.operators import spelling as SP
 from lexgrid.operators import splits as X
 from lexgrid.operators.components import connected_components, with_singletons
-from lexgrid.operators.resolve import canonical_names, deletion_variants, name_clusters, resolve_listings
+from lexgrid.operators.resolve import ListingIndex, canonical_names, name_clusters, resolve_listings
 from lexgrid.operators import tokens as TK
 
 
@@ -200,14 +201,97 @@ def test_components_random_graph_and_long_chain(spark):
     assert got == _union_find(edges, nodes)
 
 
-def test_deletion_variants_and_clusters(spark):
-    df = spark.createDataFrame([("abcd",)], "n string")
-    v = sorted(df.select(deletion_variants("n", 1).alias("v")).first().v)
-    assert v == sorted(["abcd", "bcd", "acd", "abd", "abc"])
+def _deleted(name, k, min_len):
+    from itertools import combinations
+    out = {name}
+    for m in range(1, min(k, len(name)) + 1):
+        for gone in combinations(range(len(name)), m):
+            v = "".join(c for i, c in enumerate(name) if i not in gone)
+            out |= {v} if len(v) >= min_len else set()
+    return out
+
+
+@pytest.mark.parametrize("k", [1, 2])
+def test_variants_match_brute_force(spark, k):
+    rng = random.Random(k)
+    names = sorted({"".join(rng.choice("ab1é") for _ in range(rng.randrange(1, 9))) for _ in range(150)} | {"x" * 271, "x" * 270, "y" * 600, "z" + "y" * 599})
+    df = spark.createDataFrame([(n,) for n in names] + [(None,)], "n string")
+    got = {(r.src, r.dst) for r in SP.variant_links(df, "n", k).collect()}
+    members = {}
+    for n in names:
+        for v in _deleted(n, k, 2) if len(n) < 100 else ():
+            members.setdefault((v, "".join(c for c in n if c.isdigit())), []).append(n)
+    want = {(n, min(own)) for own in members.values() for n in own if n != min(own)}
+    assert {(a, b) for a, b in got if len(a) < 100} == want
+    # names of any length: one character apart, or a shifted one
+    assert {(a, b) for a, b in got if len(a) >= 100} == {("x" * 271, "x" * 270), ("z" + "y" * 599, "y" * 600)}
+
+
+def test_clusters_of_names(spark):
     names = spark.createDataFrame([("old rod",), ("cold rod",), ("hot rod",), ("bold rod",)], "n string")
     got = {r.name: r.cluster for r in name_clusters(names, "n").collect()}
     assert got["cold rod"] == got["old rod"] == got["bold rod"] == "bold rod"
     assert got["hot rod"] == "hot rod"
+    blocks = SP.largest_blocks(names, "n", 3).collect()
+    assert blocks[0].names == 3 and blocks[0].example == "bold rod"      # all but "hot rod" can become "old rod"
+
+
+def test_common_beginnings_are_no_evidence(spark):
+    places = ["北京大学食堂", "北京大学书店", "北京大学药房", "北京大学超市", "上海南站咖啡", "上海南站书店"]
+    brands = ["168台球俱乐部", "168台球棋牌连锁", "蓝鲸工坊饮品", "蓝鲸工坊咖啡馆", "蓝鲸工坊茶"]
+    got = {r.name: r.cluster for r in name_clusters(spark.createDataFrame([(n,) for n in places + brands], "n string"), "n").collect()}
+    assert got["168台球俱乐部"] == got["168台球棋牌连锁"] and len({got[n] for n in places if n.startswith("北京")}) == 4
+    # with more names around, a beginning that only three share tells more
+    more = places + brands + ["甲%s乙丙丁" % chr(0x5000 + i) for i in range(200)] + ["北京%s大学" % chr(0x6000 + i) for i in range(200)]
+    got = {r.name: r.cluster for r in name_clusters(spark.createDataFrame([(n,) for n in more], "n string"), "n").collect()}
+    assert len({got[n] for n in brands[2:]}) == 1 and len({got[n] for n in places if n.startswith("北京")}) == 4
+
+
+def _partition(pairs):
+    out = {}
+    for name, cluster in pairs:
+        out.setdefault(cluster, set()).add(name)
+    return sorted(map(sorted, out.values()))
+
+
+def test_spelling_index_by_batches(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcd") for _ in range(rng.randrange(2, 7))) for _ in range(120)] + ["华南%s茶" % c for c in "甲乙丙丁"] + [None]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, n string")
+    statistics = SP.NameStatistics.of(SP.distinct_names(df, "n"))
+    index = SP.SpellingIndex(spark, statistics=statistics, buckets=3)
+    seen = {}
+    for part in range(4):
+        index.add(df.where(F.col("i") % 4 == part), "n")
+        now = {r.name: (r.c1, r.c2) for r in index.clusters().collect()}
+        # ids are stable: a cluster keeps its id, or takes that of another old one
+        assert {now[n] for n in seen} <= set(seen.values())
+        seen = now
+    want = _partition((r.name, r.cluster) for r in name_clusters(df, "n", statistics=statistics).collect())
+    again = SP.SpellingIndex(spark, index.path)
+    assert again.buckets == 3 and _partition((r.name, (r.c1, r.c2)) for r in again.clusters().collect()) == want
+    index.add(df, "n")
+    assert index.clusters().count() == len(set(words)) - 1
+    with pytest.raises(ValueError, match="buckets"):
+        SP.SpellingIndex(spark, index.path, buckets=5)
+    plan = spark.table(index._tables["signatures"]).hint("merge").join(
+        spark.table(index._tables["signatures"]).withColumnsRenamed({"c1": "d1", "c2": "d2"}), SP.SIGNATURE)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan       # the buckets serve the lookup
+
+
+def test_labels_outrank_tiers_over_batches(spark):
+    kind = "id string, shop_name string, shop_brand string, laiyuan1_id string, brand_id string, brand_name string"
+    train = spark.createDataFrame([("1", "Blue Cafe", "Blu", "yes", "1", ""), ("2", "Blue Cafe (North)", "blue!", "", "2", "BLUE"),
+                                   ("3", "Red Bar", "Red", "", "3", "")], kind)
+    test = spark.createDataFrame([("4", "Bluee Cafe", "Blux", "yes", "0", ""), ("5", "Redd Bar", "", "", "5", ""), ("6", "", "Redd", "", "6", ""),
+                                  ("7", None, None, "", "7", "")], kind)
+    index = ListingIndex(spark, gold="brand_name")
+    index.add(train)
+    assert {r.id: r.brand_name for r in index.resolve(train).collect()} == {"1": "BLUE", "2": "BLUE", "3": "Red"}
+    index.add(test)
+    got = {r.id: r.brand_name for r in index.resolve(train.unionByName(test)).collect()}
+    one = {r.id: r.brand_name for r in resolve_listings(train.unionByName(test), gold="brand_name").collect()}
+    assert got == one == {"1": "BLUE", "2": "BLUE", "3": "Red", "4": "BLUE", "5": "Red", "6": "Red", "7": ""}
 
 
 def test_canonical_prefers_tier_then_key(spark):
