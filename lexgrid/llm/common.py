@@ -48,21 +48,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# integers stay integers beside nulls (``pd.NA``): a float would change those above 2**53
+_EXACT = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
+
+
 def map_slices(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str | StructType,
                rows: int = SLICE) -> DataFrame:
     """``mapInPandas`` that turns ``rows`` rows of an Arrow batch into Python objects at a time, so
-    that a worker holds one batch in Arrow's form and a slice of it in Python's."""
+    that a worker holds one batch in Arrow's form and a slice of it in Python's. Null integers arrive as ``pd.NA``."""
     kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     out = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices = (b.slice(at, rows).to_pandas() for b in batches for at in range(0, b.num_rows, rows))
+        slices = (b.slice(at, rows).to_pandas(types_mapper=_EXACT.get) for b in batches for at in range(0, b.num_rows, rows))
         for frame in fn(slices):
             yield pa.RecordBatch.from_pandas(frame, schema=out, preserve_index=False)
 
     return df.mapInArrow(run, kind)
 
 
+def keep_where(df: DataFrame, text: str, keep: Callable[[list[str | None]], np.ndarray]) -> DataFrame:
+    """The rows whose texts ``keep`` wants; all columns pass through as they are."""
+    def run(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(b.schema.get_field_index(text))
+            mask = np.concatenate([keep(texts.slice(at, SLICE).to_pylist()) for at in range(0, b.num_rows, SLICE)]) if b.num_rows else np.zeros(0, bool)
+            yield b.filter(pa.array(mask))
+
+    return map_batches(df, run, df.schema)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch], pa.Schema], Iterator[pa.RecordBatch]],
                 schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose function is also given the Arrow schema of its output."""
@@ -114,6 +129,18 @@ def without_keys(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataF
     return clear.unionByName(marked.where(F.col(hit)).drop(hit).join(named, F.col(column) == F.col(name), "left_anti")).select(*df.columns)
 
 
+def named_once(df: DataFrame, name: str, special: DataFrame) -> DataFrame:
+    """``df`` without the rows whose ``name`` has ``stays`` false in ``special`` (``name, stays``, a row per name), and
+    with one row of each name for which it is true. Rows whose name is not in it stay where they are."""
+    hit, again, verdict = fresh(df, "_filter_hit"), fresh(df, "_row_again"), fresh(df, "_row_stays")
+    marked = _with_hit(df, name, special, "name", hit)
+    clear = marked.where(~F.coalesce(F.col(hit), F.lit(False))).drop(hit)
+    known = special.select(F.col("name").alias(again), F.col("stays").alias(verdict))
+    met = marked.where(F.col(hit)).drop(hit).join(known, F.col(name) == F.col(again), "left").drop(again)
+    return clear.unionByName(met.where(F.col(verdict).isNull()).drop(verdict)).unionByName(
+        met.where(F.col(verdict)).drop(verdict).dropDuplicates([name])).select(*df.columns)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64 (bijective on 64 bits)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -11,17 +11,21 @@ join splits a hot digest.
 Defined cases: a null text is the empty text; all texts without a visible
 character form one group; of equal texts the one with the most code points
 stays, then the smallest ``doc_id`` (nulls last), then, for rows repeated in
-full, the first as written; an empty batch gives no rows and leaves the index as
+full, one of them; an empty batch gives no rows and leaves the index as
 it is. Only the named key and text columns are read, so other columns may have
 any name.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import fresh, without_keys, written
+from lexgrid.llm.common import fresh, named_once, written
 from lexgrid.session import scratch_path
 
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -36,44 +40,60 @@ def normalised(text: Column) -> Column:
 class DigestIndex:
     """A persistent table ``digest binary, keep_id, n_rows`` in ``path``.
 
-    ``buckets`` fixes the layout when the index is made: about one bucket per
-    100-200 MB of index, and the same number for ever after.
+    Each batch appends one row per digest it holds: the new ones with the row that stays, the known ones with
+    what the batch adds to their count. Bucket count (about one per 100-200 MB of index) and type of the key are fixed
+    when the index is made and kept in ``path`` + ``-settings``; opening it with others is an error.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 64,
-                 id_type: str = "bigint"):
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None, id_type: str | None = None):
         self.spark = spark
         self.path = path or scratch_path(spark, "digest-index")
-        self.buckets = buckets
-        self.name = "digest_index_" + "".join(c if c.isalnum() else "_" for c in self.path)[-80:]
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{self.name}` (digest BINARY, keep_id {id_type}, n_rows BIGINT) "
-                  f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS "
+        fixed = self._settings()
+        if fixed is None:
+            fixed = {"buckets": buckets or 64, "id_type": id_type or "bigint"}
+            spark.createDataFrame([(json.dumps(fixed),)], "value string").write.text(f"{self.path}-settings")
+        for name, asked in (("buckets", buckets), ("id_type", id_type)):
+            if asked is not None and asked != fixed[name]:
+                raise ValueError(f"the index in {self.path} has {name} {fixed[name]}, not {asked}")
+        self.buckets = fixed["buckets"]
+        self.name = "digest_index_" + hashlib.md5(self.path.encode()).hexdigest()
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{self.name}` (digest BINARY, keep_id {fixed['id_type']}, n_rows BIGINT) "
+                  f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
                   f"LOCATION '{self.path}'")
 
+    def _settings(self) -> dict | None:
+        try:
+            return json.loads(self.spark.read.text(f"{self.path}-settings").first()[0])
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def rows(self) -> DataFrame:
-        return self.spark.table(self.name)
+        """One row per digest, counts summed over all batches; the buckets serve the grouping."""
+        return self.spark.table(self.name).groupBy("digest").agg(F.first("keep_id").alias("keep_id"), F.sum("n_rows").alias("n_rows"))
 
     def append(self, entries: DataFrame) -> None:
         (entries.select("digest", "keep_id", "n_rows").repartition(self.buckets, "digest")
          .sortWithinPartitions("digest").write.insertInto(self.name))
         self.spark.catalog.refreshTable(self.name)
 
+    def close(self) -> None:
+        """Take the name out of the catalog; the files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS `{self.name}`")
+
     def dedup(self, batch: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-        """Verdict per row of ``batch``; digests that are new are appended.
+        """Verdict per row of ``batch``; what the batch holds is appended.
 
         Returns ``doc_id`` (the key), ``keep_id``, ``group_size`` (rows of this
-        digest in the batch, and in the index before it), ``kept``, ``text_sha256``.
+        digest in the batch, and in all batches before it), ``kept``, ``text_sha256``.
         """
-        return self._verdicts(batch, key, text, F.monotonically_increasing_id()).drop("place")
-
-    def _verdicts(self, batch: DataFrame, key: str, text: str, place: Column) -> DataFrame:
-        """The rows of ``dedup`` with ``place``, which numbers the rows of ``batch`` in their order."""
-        raw = F.coalesce(F.col(text), F.lit(""))
-        rows = written(batch.select(
-            F.col(key).alias("doc_id"),
-            F.unhex(F.sha2(normalised(raw), 256)).alias("digest"),
-            F.char_length(raw).cast("long").alias("n_chars"),
-            place.alias("place")), "digests")
+        return self._verdicts(batch, key, text).select(
+            "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+    def _verdicts(self, batch: DataFrame, key: str, text: str) -> DataFrame:
+        """Per row ``doc_id, digest, n_chars, keep_id, group_size, kept``."""
+        rows = written(batch.select(*_named(key, text), F.monotonically_increasing_id().alias("place")), "digests")
         # ~x orders numbers downwards without overflow, and null ids come last under max
         best = F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("k"), F.bitwise_not("place").alias("p")))
         groups = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), best.alias("best")).select(
@@ -83,28 +103,33 @@ class DigestIndex:
         new = groups.join(known.hint("merge"), "digest", "left_anti")
         old = groups.join(known.hint("merge"), "digest")
         verdicts = written(
-            new.select("digest", F.col("best_id").alias("keep_id"), F.col("n").alias("n_rows"),
-                       F.col("best_place").alias("keep_place"))
-            .unionByName(old.select("digest", F.col("known_id").alias("keep_id"),
-                                    (F.col("n") + F.col("known_rows")).alias("n_rows"),
+            new.select("digest", F.col("best_id").alias("keep_id"), "n", F.col("n").alias("group_size"), F.col("best_place").alias("keep_place"))
+            .unionByName(old.select("digest", F.col("known_id").alias("keep_id"), "n", (F.col("n") + F.col("known_rows")).alias("group_size"),
                                     F.lit(None).cast("long").alias("keep_place"))), "verdicts")
-        self.append(verdicts.where(F.col("keep_place").isNotNull()))
+        self.append(verdicts.select("digest", "keep_id", F.col("n").alias("n_rows")))
         return rows.join(verdicts, "digest").select(
-            "doc_id", "keep_id", F.col("n_rows").alias("group_size"),
-            F.coalesce(F.col("place") == F.col("keep_place"), F.lit(False)).alias("kept"),
-            F.lower(F.hex("digest")).alias("text_sha256"), "place")
+            "doc_id", "digest", "n_chars", "keep_id", "group_size", F.coalesce(F.col("place") == F.col("keep_place"), F.lit(False)).alias("kept"))
+
+
+def _named(key: str, text: str) -> list[Column]:
+    """What tells a row from others in this operator: its key, the digest of its text, and the text's code points."""
+    raw = F.coalesce(F.col(text), F.lit(""))
+    return [F.col(key).alias("doc_id"), F.unhex(F.sha2(normalised(raw), 256)).alias("digest"), F.char_length(raw).cast("long").alias("n_chars")]
 
 
 def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text",
               index: DigestIndex | None = None) -> DataFrame:
     """``docs`` without the rows whose text an earlier or better row already has.
 
-    The digest decides on rows, and rows go by their place in a written copy of ``docs``, so
-    keys may repeat: of rows repeated in full one stays. A row with a null key is kept as
-    it can't be named.
+    No copy of ``docs`` is made: rows go by key, digest and length, worked out again in a second scan. Of rows that are
+    alike in all three, and have the best text, one stays.
     """
-    index = index or DigestIndex(docs.sparkSession)
-    place = fresh(docs, "_row_place")
-    rows = written(docs.withColumn(place, F.monotonically_increasing_id()), "numbered")
-    gone = written(index._verdicts(rows, key, text, F.col(place)).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("place"), "copies")
-    return without_keys(rows, place, gone, "place").select(*docs.columns)
+    own = index or DigestIndex(docs.sparkSession)
+    name = fresh(docs, "_row_name")
+    name_of = lambda key, digest, n: F.concat(digest, F.coalesce(key.cast("string"), F.lit("-")).cast("binary"), F.lit(":").cast("binary"), n.cast("string").cast("binary"))
+    rows = own._verdicts(docs, key, text).where("group_size > 1").select(name_of(F.col("doc_id"), F.col("digest"), F.col("n_chars")).alias("name"), "kept")
+    names = written(rows.groupBy("name").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")).where("NOT stays OR n > 1"), "copies")
+    if index is None:
+        own.close()
+    named = docs.withColumn(name, name_of(*_named(key, text)))
+    return named_once(named, name, names.select("name", "stays")).select(*docs.columns)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import hash_many, map_slices, maybe_in, shingles, without_keys, written
+from lexgrid.llm.common import hash_many, map_slices, maybe_in, named_once, shingles, without_keys, written
 from lexgrid.llm.simjoin import component_ids, linked_forest, pigeonhole_cells
 
 
@@ -54,9 +54,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     sketches = written(map_slices(rows, _sketch(k, threshold), f"doc_id {kind}, size bigint, digest binary, need int, "
                                                                   "cells array<bigint>"), "sketches")
-    sets = written(sketches.where("size > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node")), "sets")
-    keys = written(sketches.join(sets, (F.col("doc_id") == F.col("node")) & (sketches["digest"] == sets["digest"])).select(
-        "node", "size", "need", "cells"), "set-cells").select("node", "size", "need", F.explode("cells").alias("cell"))
+    sets = written(sketches.where("size > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
+        F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows")), "sets")
+    copied, sets = sets.where("rows > 1").drop("rows"), sets.drop("rows")
+    # the cells of a set are those of one of its rows: copies are few, so they are taken out where they are
+    name = F.concat("digest", F.col("doc_id").cast("string").cast("binary"))
+    alike = maybe_in(sketches.select("doc_id", "digest").where("doc_id IS NOT NULL"), "digest", copied.select("digest"), "digest").join(
+        copied, "digest").groupBy(name.alias("name")).agg(F.first(F.col("doc_id") == F.col("node")).alias("stays"), F.count(F.lit(1)).alias("n"))
+    alike = written(alike.where("NOT stays OR n > 1"), "copies")
+    whole = sketches.where("size > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "size", "need", "cells", name.alias("_name"))
+    keys = named_once(whole, "_name", alike.select("name", "stays")).select(
+        "node", "size", "need", F.explode("cells").alias("cell"))
 
     def tokens_of(members: DataFrame) -> DataFrame:
         return map_slices(maybe_in(rows, "doc_id", members, "node").join(members, F.col("doc_id") == F.col("node")).select(

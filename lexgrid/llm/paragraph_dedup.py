@@ -34,10 +34,11 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import CHUNK, fresh, hash_words, map_slices, maybe_in, mix, shingles, written
+from lexgrid.llm.common import CHUNK, SLICE, fresh, hash_words, map_batches, map_slices, maybe_in, mix, named_once, shingles, written
 from lexgrid.llm.graph import components
 from lexgrid.llm.simjoin import linked_forest
 
@@ -121,7 +122,7 @@ def _paragraphs(newlines: np.ndarray, starts: np.ndarray, doc: np.ndarray) -> tu
     return a[long], b[long]
 
 
-_UNITS = ("doc_id {0}, version bigint, hashes array<bigint>, starts array<int>, ends array<int>, "
+_UNITS = ("doc_id {0}, version bigint, hashes array<bigint>, starts array<int>, lengths array<int>, "
           "paragraphs array<struct<node:binary,size:int,start:int,end:int,bands:array<bigint>>>")
 
 
@@ -137,7 +138,7 @@ def _units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             raws.append(raw)
             size += len(raw) + 1
         rows += _units_of(keys, raws)
-        yield pd.DataFrame(rows, columns=["doc_id", "version", "hashes", "starts", "ends", "paragraphs"])
+        yield pd.DataFrame(rows, columns=["doc_id", "version", "hashes", "starts", "lengths", "paragraphs"])
 
 
 def _units_of(keys: list, raws: list[bytes]) -> list[tuple]:
@@ -162,7 +163,7 @@ def _units_of(keys: list, raws: list[bytes]) -> list[tuple]:
         n = b - a
         paragraphs[d].append({"node": hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest(), "size": n, "start": int(first[a]),
                               "end": int(last[b - 1]), "bands": k if n - SHINGLE + 1 > ALIKE else k[:1]})
-    return [(*key, hashes[x:y], first[at[x:y]], last[at[x:y] + WINDOW - 1], own)
+    return [(*key, hashes[x:y], first[at[x:y]], last[at[x:y] + WINDOW - 1] - first[at[x:y]], own)
             for key, x, y, own in zip(keys, cuts[:-1], cuts[1:], paragraphs) if x < y or own]
 
 
@@ -189,8 +190,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = rows.withColumn("version", F.xxhash64("text"))     # rows may repeat an id with other texts
     units = written(map_slices(rows, _units, _UNITS.format(kind)), "units")
 
-    windows = units.select("doc_id", F.explode(F.arrays_zip("hashes", "starts", "ends")).alias("w")).select(
-        "doc_id", F.col("w.hashes").alias("hash"), F.col("w.starts").alias("start"), F.col("w.ends").alias("end"))
+    windows = units.select("doc_id", F.explode(F.arrays_zip("hashes", "starts", "lengths")).alias("w")).select(
+        "doc_id", F.col("w.hashes").alias("hash"), F.col("w.starts").alias("start"), (F.col("w.starts") + F.col("w.lengths")).alias("end"))
     # counts move, windows don't: a window leaves its task only if its hash has company
     company = windows.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("hash").checkpoint()
     shared = written(maybe_in(windows, "hash", company, "hash").join(company, "hash"), "shared-windows")
@@ -198,11 +199,17 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "doc_id", "start", "end", "first_doc", "first_end")
 
     paragraphs = units.select("doc_id", "version", F.explode("paragraphs").alias("p")).select("doc_id", "version", "p.node", "p.size", "p.start", "p.end", "p.bands")
-    distinct = written(paragraphs.groupBy("node").agg(
-        F.min(F.struct("doc_id", "start", "end", "version", "size", "bands")).alias("p"), F.max("doc_id").alias("last")).select(
-            "node", "p.doc_id", "p.start", "p.end", "p.version", "p.size", "p.bands", "last"), "distinct-paragraphs")
-    keys = distinct.select("node", F.col("size").cast("bigint").alias("size"), F.lit(1).alias("need"), F.explode(
-        F.array_distinct("bands")).alias("cell"))
+    # equal paragraphs: the first place stands for all; bands don't move, but for the places that are the first ones
+    place = F.struct("doc_id", "start", "end", "version")
+    distinct = written(paragraphs.groupBy("node").agg(F.min(place).alias("p"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("rows")).select(
+        "node", "p.*", "last", "rows"), "distinct-paragraphs")
+    name = F.concat("node", F.concat_ws(":", "doc_id", "start", "end", "version").cast("binary"))
+    copied = distinct.where("rows > 1").select(F.col("node").alias("_node"), place.alias("p"))
+    copies = maybe_in(paragraphs.select("node", place.alias("at"), name.alias("name")), "node", copied, "_node").join(copied, F.col("node") == F.col("_node"))
+    copies = written(copies.groupBy("name").agg(F.first(F.col("at") == F.col("p")).alias("stays"), F.count(F.lit(1)).alias("n")).where("NOT stays OR n > 1"), "copies")
+    whole = paragraphs.select("node", "size", "bands", name.alias("_name"))
+    keys = named_once(whole, "_name", copies.select("name", "stays")).select(
+        "node", F.col("size").cast("bigint").alias("size"), F.lit(1).alias("need"), F.explode(F.array_distinct("bands")).alias("cell"))
 
     def tokens_of(members: DataFrame) -> DataFrame:
         wanted = members.join(distinct.select("node", "doc_id", "version", "start", "end"), "node").groupBy("doc_id", "version").agg(
@@ -264,14 +271,18 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     report = written(repeat_report(docs, key, text).where("n_removed > 0").select(
         F.col("doc_id").alias(own), F.col("removals").alias(spans_of)), "removals")
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            texts = []
-            for t, spans in zip(f[text], f[spans_of]):
-                for part in reversed(spans.split(",") if isinstance(spans, str) else []):
-                    a, b = map(int, part.split(":"))
-                    t = t[:a] + t[b:]
-                texts.append(t)
-            yield f.assign(**{text: texts})[columns]
-
-    return map_slices(docs.join(report, F.col(key) == F.col(own), "left"), cut, docs.schema)
+    def cut(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            place = b.schema.get_field_index(text)
+            for at in range(0, b.num_rows, SLICE):
+                rows = b.slice(at, SLICE)
+                texts = []
+                for t, spans in zip(rows.column(place).to_pylist(), rows.column(spans_of).to_pylist()):
+                    for part in reversed(spans.split(",") if spans else []):
+                        first, end = map(int, part.split(":"))
+                        t = t[:first] + t[end:]
+                    texts.append(t)
+                kept = [rows.column(i) if i != place else pa.array(texts, out.field(place).type) for i in range(len(columns))]
+                yield pa.RecordBatch.from_arrays(kept, schema=out)
+
+    return map_batches(docs.join(report, F.col(key) == F.col(own), "left").select(*columns, spans_of), cut, docs.schema)

@@ -62,8 +62,10 @@ def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_exact_dedup", sql.EXACT_DEDUP)
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as one batch against an empty persistent index."""
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return DigestIndex(spark, buckets=buckets).dedup(table(spark, sf_dir, "documents"))
+    index = DigestIndex(spark, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    verdicts = index.dedup(table(spark, sf_dir, "documents"))
+    index.close()
+    return verdicts
 
 
 @register("op4_chat_format", sql.CHAT)

@@ -20,9 +20,9 @@ one sphere, where the order by distance to (q, 0) is the order by inner product:
 Bounds have a slack far above rounding errors and scores are integer products, so
 the result is exact, ties to the smaller id.
 
-Defined cases: vectors that are null, hold null or non-finite components or one of
-``LIMIT`` or more (their scores would not fit 64 bits), or whose length is not
-that of the vector with the smallest id, take no part; nor do rows with a null id; rows
+Defined cases: vectors that are null or hold null or non-finite components take no part, nor do those whose
+product with themselves does not fit 62 bits; a vector shorter than the longest one counts as if zeros followed, so the
+products are over the components that both have; rows with a null id take no part; rows
 that repeat an id are candidates each, but not for a query of that id, and a repeated query is
 answered once; with fewer than ``k`` other rows a query has fewer results; an empty table
 gives no rows; only the named columns are read.
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from lexgrid.llm.common import written
 
 SCALE = 1024
-LIMIT = 2.0**17
+LIMIT = 2.0**62             # of squared norms: products of any two vectors fit 64 bits
 PAGE = 512                  # entries of a page, on average at most
 SAMPLE = 4096               # rows drawn to choose routing objects, in expectation
 PIVOTS = 128                # routing objects at most
@@ -51,15 +51,24 @@ QUERIES = "ids binary, q binary, floor binary, floor_id binary"
 NO_FLOOR = -(1 << 62)
 
 
-def usable(vector: Column, dims: int) -> Column:
-    bad = lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) >= LIMIT)
-    return vector.isNotNull() & (F.size(vector) == dims) & ~F.exists(vector, bad)
+def usable(vector: Column) -> Column:
+    bad = lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf"))
+    norm = F.aggregate(vector, F.lit(0.0), lambda a, x: a + F.pow(F.abs(x.cast("double")) * SCALE + 1, F.lit(2)))
+    return vector.isNotNull() & ~F.exists(vector, bad) & (norm < LIMIT)
 
 
 def whole(vector: Column) -> Column:
     return F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE).cast("bigint"))
 
 
+def _stacked(rows: list, dims: int) -> np.ndarray:
+    """Vectors under each other, zeros after the shorter ones."""
+    out = np.zeros((len(rows), dims), np.int64)
+    for i, r in enumerate(rows):
+        out[i, :len(r)] = r
+    return out
+
+
 def _lift(x: np.ndarray, m: float) -> np.ndarray:
     """Vectors on the sphere of squared radius ``m``."""
     x = x.astype(np.float64)
@@ -104,7 +113,7 @@ class Tree:
     def place(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             if len(f):
-                d = _distances(_lift(np.stack(f["v"].to_list()), self.m), self.pivots)
+                d = _distances(_lift(_stacked(f["v"].to_list(), self.dims), self.m), self.pivots)
                 node = d.argmin(1)
                 yield f.assign(node=node.astype(np.int32), up=d[np.arange(len(f)), node])
 
@@ -116,7 +125,7 @@ class Tree:
                 up = np.array([e["up"] for e in entries])
                 order = np.argsort(up, kind="stable")
                 ids = np.array([e["vec_id"] for e in entries], np.int64)[order]
-                x = np.array([e["v"] for e in entries], np.int64)[order]
+                x = _stacked([e["v"] for e in entries], self.dims)[order]
                 rows.append((node, ring, part, len(up), up.min(), up.max(), up[order].tobytes(), ids.tobytes(), x.tobytes()))
             yield pd.DataFrame(rows, columns=["node", "ring", "part", "n", "inner", "radius", "up", "ids", "x"])
 
@@ -127,7 +136,7 @@ class Tree:
                 ids = np.array([a["vec_id"] for a in asked], np.int64)
                 floor = [NO_FLOOR if a["floor"] is None else a["floor"] for a in asked]
                 limit = [0 if a["floor_id"] is None else a["floor_id"] for a in asked]
-                rows.append((ids.tobytes(), np.array([a["v"] for a in asked], np.int64).tobytes(),
+                rows.append((ids.tobytes(), _stacked([a["v"] for a in asked], self.dims).tobytes(),
                              np.array(floor, np.int64).tobytes(), np.array(limit, np.int64).tobytes()))
             yield pd.DataFrame(rows, columns=["ids", "q", "floor", "floor_id"])
 
@@ -193,20 +202,17 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, key: str = "vec_id",
     spark = vectors.sparkSession
     src = vectors.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).alias("vector"),
                          F.coalesce(queries, F.lit(False)).alias("asked")).where("vec_id IS NOT NULL")
-    first = src.where("size(vector) > 0").agg(F.min(F.struct("vec_id", F.size("vector").alias("n"))).alias("f")).first()["f"]
-    if first is None:
-        return spark.createDataFrame([], RESULT)
-    dims = int(first["n"])
-    rows = src.where(usable(F.col("vector"), dims)).select("vec_id", whole(F.col("vector")).alias("v"), "asked")
+    rows = src.where(usable(F.col("vector"))).select("vec_id", whole(F.col("vector")).alias("v"), "asked")
     square = F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + x * x)
-    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("m"), F.count_if("asked").alias("asked")).first()
+    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("m"), F.count_if("asked").alias("asked"), F.max(F.size("v")).alias("dims")).first()
     if not facts["asked"]:
         return spark.createDataFrame([], RESULT)
+    dims = int(facts["dims"])
     m = float(facts["m"])
     # a bounded sample: SAMPLE rows in expectation; any routing objects give the right result
     share = min(1.0, SAMPLE / facts["n"])
     drawn = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1 << 31)) < F.lit(int(share * (1 << 31)))).select("v").collect()
-    sample = np.array([r["v"] for r in drawn], np.float64).reshape(-1, dims) if drawn else np.zeros((1, dims))
+    sample = _stacked([r["v"] for r in drawn], dims) if drawn else np.zeros((1, dims))
     tree = Tree(_routing(_lift(sample, m), PIVOTS), m, dims, k)
 
     placed = written(rows.mapInPandas(tree.place, "vec_id bigint, v array<bigint>, asked boolean, node int, up double"), "placed")

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import NON_WORD, hash_many, map_slices
+from lexgrid.llm.common import NON_WORD, hash_many, keep_where, map_slices
 
 HASH_BITS = 18
 SAMPLE_ROWS = 12_000
@@ -231,8 +231,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     chain = fit_chain(docs, labels, key, text)
     k = chain.names.index(category)
 
-    def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f[chain.probabilities(f[text].tolist())[:, k] < chain.thresholds[k]]
-
-    return map_slices(docs, keep, docs.schema)
+    return keep_where(docs, text, lambda texts: chain.probabilities(texts)[:, k] < chain.thresholds[k])

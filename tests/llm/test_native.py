@@ -53,6 +53,33 @@ def test_index_persists_between_batches(spark):
     assert "hashpartitioning" not in plan      # the buckets serve the join
 
 
+def test_index_keeps_its_settings_and_counts(spark):
+    texts = [f"text {i}" for i in range(50)]
+    index = DigestIndex(spark, buckets=4)
+    sizes = []
+    for _ in range(3):
+        sizes.append({r.group_size for r in index.dedup(docs(spark, texts)).collect()})
+    assert sizes == [{1}, {2}, {3}]
+    index.close()
+    again = DigestIndex(spark, index.path)
+    assert again.buckets == 4 and again.rows().count() == 50 and {r.n_rows for r in again.rows().collect()} == {3}
+    got = again.dedup(docs(spark, texts + ["new"], 100)).collect()
+    assert [r.doc_id for r in got if r.kept] == [150] and {r.keep_id for r in got if not r.kept} == set(range(50))
+    for wrong in ({"buckets": 7}, {"id_type": "string"}):
+        with pytest.raises(ValueError, match="the index in"):
+            DigestIndex(spark, index.path, **wrong)
+    plan = again.rows()._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan       # the buckets serve the counts
+
+
+def test_batches_with_copies_keep_one_of_each(spark):
+    index = DigestIndex(spark, buckets=3)
+    first = kept_rows(docs(spark, ["a", "a ", "b", "c"]), index=index)
+    assert sorted(r.doc_id for r in first.collect()) == [1, 2, 3]
+    second = kept_rows(docs(spark, ["b", "d", "d", "a"], 10), index=index)
+    assert sorted(r.doc_id for r in second.collect()) == [11]
+
+
 def test_exact_dedup_odd_rows(spark):
     rows = [(1, "t"), (1, "t"), (None, "t"), (None, "u"), (2, "t")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"digest": F.lit(1), "n_rows": F.lit(2), "_key": F.lit(3)})
@@ -61,15 +88,16 @@ def test_exact_dedup_odd_rows(spark):
     assert {r.group_size for r in got if r.keep_id == 1} == {4}
     assert DigestIndex(spark, buckets=2).dedup(df.limit(0)).count() == 0
     left = kept_rows(df.where("doc_id IS NULL OR doc_id = 2"))
-    assert left.columns == df.columns and {(r.doc_id, r.text) for r in left.collect()} == {(2, "t"), (None, "t"), (None, "u")}
+    assert left.columns == df.columns and {(r.doc_id, r.text) for r in left.collect()} == {(2, "t"), (None, "u")}
 
 
 def test_kept_rows_of_repeated_ids(spark):
     kind = "doc_id bigint, text string"
     rows = [(1, "t"), (1, "t"), (None, "t"), (None, "u"), (2, "t"), (3, "t"), (3, "only here"), (4, "full"), (4, "full"), (5, "a"), (5, "a b"), (5, "ab")]
     left = kept_rows(spark.createDataFrame(rows, kind))
-    assert sorted(((r.doc_id or 0), r.text) for r in left.collect()) == [(0, "t"), (0, "u"), (1, "t"), (3, "only here"), (4, "full"), (5, "a"), (5, "a b")]
+    assert sorted(((r.doc_id or 0), r.text) for r in left.collect()) == [(0, "u"), (1, "t"), (3, "only here"), (4, "full"), (5, "a"), (5, "a b")]
     assert [tuple(r) for r in kept_rows(spark.createDataFrame([(1, "t"), (1, "t"), (2, "t")], kind)).collect()] == [(1, "t")]
+    assert [tuple(r) for r in kept_rows(spark.createDataFrame([(None, "t"), (None, "t")], kind)).collect()] == [(None, "t")]
 
 
 def test_hot_digest_plan(spark):
