@@ -38,8 +38,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return kept_rows(docs, index=DigestIndex(spark, buckets=buckets))
+    index = DigestIndex(spark, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    kept = kept_rows(docs, index=index)
+    index.close()
+    return kept
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
