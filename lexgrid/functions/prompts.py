@@ -28,11 +28,6 @@ def prefix_prompt(text: Column | str, prefix: str) -> Column:
     return F.concat(F.lit(prefix), _col(text))
 
 
-def template_slots(template: str) -> list[str]:
-    """Slot names of a ``str.format``-style template, in order of appearance."""
-    return [name for _, name, _, _ in string.Formatter().parse(template) if name is not None]
-
-
 def render_template(template: str, slots: Mapping[str, Column | str] | None = None) -> Column:
     """Fill ``{name}`` slots with columns; ``{{``/``}}`` are literal braces.
 
@@ -147,7 +142,3 @@ def trim_block(text: Column | str, side: str = "both") -> Column:
     if side not in ("left", "right", "both"):
         raise ValueError("side must be left, right or both")
     return c
-
-
-def join_lines(lines: Sequence[Column | str]) -> Column:
-    return F.concat_ws("\n", *[_col(x) for x in lines])

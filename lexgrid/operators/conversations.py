@@ -20,10 +20,11 @@ from lexgrid.functions.prompts import apply_chat_template
 def assemble_conversations(turns: DataFrame, conv: str, turn: str, role: str, text: str,
                            open_markers: Mapping[str, str], close_markers: Mapping[str, str],
                            bos: str = "", out: str = "rendered") -> DataFrame:
-    """``groupBy(conv)`` -> ordered messages -> T6 rendering."""
-    msgs = F.sort_array(F.collect_list(F.struct(
-        F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"))))
-    grouped = turns.groupBy(conv).agg(msgs.alias("_m"), F.count(F.lit(1)).alias("turns"))
+    """``groupBy(conv)`` -> ordered messages -> T6 rendering. A turn without a conversation is one of its own."""
+    said = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"))
+    known, loose = turns.where(F.col(conv).isNotNull()), turns.where(F.col(conv).isNull())
+    grouped = known.groupBy(conv).agg(F.sort_array(F.collect_list(said)).alias("_m"), F.count(F.lit(1)).alias("turns")).unionByName(
+        loose.select(conv, F.array(said).alias("_m"), F.lit(1).cast("bigint").alias("turns")))
     return grouped.select(conv, apply_chat_template("_m", open_markers, close_markers, bos).alias(out),
                           "turns")
 

@@ -150,3 +150,28 @@ def brand_reduction(before: DataFrame, before_col: str, after: DataFrame, after_
     return tagged.agg(
         F.coalesce(agg(F.when(F.col("_before"), F.col("_v"))), F.lit(0)).alias("brands_before"),
         F.coalesce(agg(F.when(~F.col("_before"), F.col("_v"))), F.lit(0)).alias("brands_after"))
+
+
+class BrandCounts:
+    """B7 by runs: per run and tier, a sketch of its distinct brands in the folder ``path``.
+
+    A new run writes its own rows; the counts over all runs merge the sketches, so no old listing is read again. The
+    relative standard error of an estimate is ``ERROR`` (HyperLogLog with ``2 ** LG_K`` registers), at any number of runs.
+    """
+
+    LG_K = 14
+    ERROR = 1.04 / 2 ** (LG_K / 2)
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark, self.path = spark, path or scratch_path(spark, "brand-counts")
+
+    def add(self, run: str, df: DataFrame, brand: str, tier: str) -> None:
+        known = df.where(F.coalesce(F.col(brand), F.lit("")) != "")
+        known.groupBy(F.lit(run).alias("run"), F.col(tier).alias("tier")).agg(
+            F.hll_sketch_agg(brand, F.lit(self.LG_K)).alias("sketch"), F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(self.path)
+
+    def merged(self) -> DataFrame:
+        """``tier, runs, rows, brands``: over all runs, per tier and (``tier`` null) in all."""
+        kept = self.spark.read.parquet(self.path)
+        return kept.rollup("tier").agg(F.count_distinct("run").alias("runs"), F.sum("rows").alias("rows"),
+                                       F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("brands"))

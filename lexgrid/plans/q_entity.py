@@ -200,3 +200,18 @@ def variant_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     share = lambda part, whole: round(part / whole, 6) if whole else None
     return spark.createDataFrame([(same, linked, found, share(found, linked), share(found, same))],
                                  "true_pairs bigint, linked_pairs bigint, found_pairs bigint, precision double, recall double")
+
+
+@register("brand_counts_by_runs", f"""
+SELECT tier, count(DISTINCT CAST(id AS BIGINT) % 3) AS runs, count(*) AS rows, count(DISTINCT shop_name) AS exact, true AS within_bound
+FROM (SELECT *, {tier_sql()} AS tier FROM ({LISTINGS_SQL}) l) x WHERE shop_name <> '' GROUP BY ROLLUP (tier)
+""")
+def brand_counts_by_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct shop names per tier from the merged sketches of three runs, beside the exact counts; four standard errors bound the difference."""
+    lst = listings(spark, sf_dir).select("id", "shop_name", EN.trust_tier("laiyuan1_id", "brand_id").alias("tier"))
+    counts = R.BrandCounts(spark)
+    for run in range(3):
+        counts.add(f"run {run}", lst.where(F.col("id").cast("bigint") % 3 == run), "shop_name", "tier")
+    exact = lst.where("shop_name <> ''").rollup("tier").agg(F.count_distinct("shop_name").alias("exact"))
+    both = counts.merged().withColumnRenamed("tier", "t").join(exact, F.col("t").eqNullSafe(F.col("tier")))
+    return both.select("tier", "runs", "rows", "exact", (F.abs(F.col("brands") - F.col("exact")) <= 4 * R.BrandCounts.ERROR * F.col("exact") + 1).alias("within_bound"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
@@ -24,7 +25,7 @@ from lexgrid.plans.tables import LISTINGS_SQL, load, raw_listings
 from lexgrid.session import scratch_path
 from lexgrid.sources import files as IO
 from lexgrid.sources import workbook as WB
-from lexgrid.streaming.scoring import start_score_stream
+from lexgrid.streaming.scoring import read_keyed, scoring_plan, start_keyed_stream, start_score_stream
 
 
 def generated_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,3 +186,56 @@ def workbook_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = ", ".join(f"{c} string" for c in LISTING_COLUMNS)
     parsed = spark.read.format("workbook").schema(schema).load(path)
     return fill_missing(WB.null_tokens(parsed, LISTING_COLUMNS)).select(*LISTING_COLUMNS)
+
+
+_PLANTED = "CASE WHEN doc_id % 7 = 3 THEN 'abc' ELSE CAST(quality AS VARCHAR) END"
+
+
+@register("reject_rows", f"""
+WITH p AS (SELECT doc_id, CASE WHEN doc_id % 5 = 1 THEN NULL ELSE text END AS text, {_PLANTED} AS label FROM documents JOIN labels USING (doc_id)),
+r AS (SELECT doc_id, CASE WHEN label = 'abc' THEN 'bad label' WHEN text IS NULL THEN 'no text' ELSE 'ok' END AS reason, text FROM p)
+SELECT doc_id, reason, CASE WHEN reason = 'ok' THEN text END AS text, count(*) OVER (PARTITION BY reason) AS counted FROM r
+""")
+def reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + T1: labelled texts as CSV, some with a label that is no number and some without text; one pass writes the good rows
+    and the rejects and counts both."""
+    path, out = scratch_path(spark, "csv"), scratch_path(spark, "routed")
+    rows = load(spark, sf_dir, "documents").select("doc_id", "text").join(load(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    label = F.when(F.col("doc_id") % 7 == 3, F.lit("abc")).otherwise(F.col("quality").cast("string"))
+    IO.write_csv(rows.select("doc_id", F.when(F.col("doc_id") % 5 == 1, F.lit(None).cast("string")).otherwise(F.col("text")).alias("text"), label.alias("label")), path)
+    read = IO.read_labelled_csv(spark, path, "doc_id bigint, text string, label int")
+    counts = IO.route_rejects(read, {"bad label": F.col(IO.CORRUPT).isNotNull(), "no text": F.col("text").isNull()}, out)
+    counted = spark.createDataFrame(list(counts.items()), "reason string, counted bigint")
+    good = IO.accepted(spark, out).select("doc_id", F.lit(IO.GOOD).alias("reason"), "text")
+    bad = IO.rejected(spark, out).select("doc_id", "reason", F.lit(None).cast("string").alias("text"))
+    return good.unionByName(bad).join(F.broadcast(counted), "reason").select("doc_id", "reason", "text", "counted")
+
+
+@register("score_stream_recovery", f"""
+SELECT doc_id, pred, {_NAMES_SQL} AS pred_name, CAST(1 AS BIGINT) AS copies FROM ({ALL_SCORED_SQL}) s
+""")
+def score_stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I8: the scoring stream fails between the write of its first batch and its commit, is started again, and again for files that
+    came late; every row is there once."""
+    source, sink, state = (scratch_path(spark, f"stream-{x}") for x in ("source", "sink", "state"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    early, late = docs.where("doc_id % 4 < 3"), docs.where("doc_id % 4 = 3")
+    for part in range(3):
+        early.where(F.col("doc_id") % 4 == part).write.mode("append").parquet(source)
+
+    def start(after_write=None):
+        stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        plan = scoring_plan(stream, "doc_id", "text", SENTIMENT_PREFIX, models.length_logits, models.SENTIMENT_LABELS)
+        return start_keyed_stream(plan, sink, state, after_write)
+
+    def fail(batch_id: int) -> None:
+        raise RuntimeError(f"stopped after the write of batch {batch_id}")
+
+    try:
+        start(fail).awaitTermination()
+    except StreamingQueryException:
+        pass
+    start().awaitTermination()
+    late.write.mode("append").parquet(source)
+    start().awaitTermination()
+    return read_keyed(spark, sink).groupBy("doc_id", "pred", "pred_name").agg(F.count(F.lit(1)).alias("copies"))

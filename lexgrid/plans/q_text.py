@@ -156,6 +156,22 @@ def chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
                               generation_prompt=OPEN_MARKERS["assistant"]).alias("infer_text"))
 
 
+@register("messages_array", f"""
+SELECT id, {_chat_sql(True)} AS train_text, 3 AS turns, 'system,user,assistant' AS roles, brand_name AS answer,
+       {_chat_sql(False)} AS infer_text
+FROM ({LISTINGS_SQL}) l
+""")
+def messages_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 + T6 in array form: the message list as one column of structs, rendered from it, its roles and its answer read from it."""
+    df = listings(spark, sf_dir)
+    user = T.render_template(USER_TEMPLATE)
+    df = df.select("id", T.to_messages(F.lit(SYSTEM_TEXT), user, F.col("brand_name")).alias("messages"), T.to_messages(F.lit(SYSTEM_TEXT), user).alias("asked"))
+    return df.select(
+        "id", T.apply_chat_template("messages", OPEN_MARKERS, CLOSE_MARKERS, BOS).alias("train_text"), F.size("messages").alias("turns"),
+        F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"), F.element_at("messages", -1)["content"].alias("answer"),
+        T.apply_chat_template("asked", OPEN_MARKERS, CLOSE_MARKERS, BOS, generation_prompt=OPEN_MARKERS["assistant"]).alias("infer_text"))
+
+
 @register("strip_literal", f"""
 SELECT id, prompt || replace(brand_name || '{EOS}', '{EOS}', '') AS full_text FROM ({PROMPTS_SQL}) p
 """)

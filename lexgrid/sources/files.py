@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -81,6 +81,33 @@ def read_splits(spark: SparkSession, paths: Mapping[str, str], schema: StructTyp
     return out
 
 
+GOOD = "ok"
+
+
+def route_rejects(df: DataFrame, checks: Mapping[str, Column], path: str, reason_col: str = "reason") -> dict[str, int]:
+    """Write the rows in one pass, each into the folder of its reason below ``path``; count them by what the files say.
+
+    ``checks`` name what is wrong with a row, the first that holds is its reason; a row without any goes to ``ok``.
+    ``accepted`` and ``rejected`` read the two sides back; each reads its own folders only. Returns the counts by reason.
+    """
+    reason = F.lit(GOOD)
+    for name, wrong in reversed(checks.items()):
+        reason = F.when(F.coalesce(wrong, F.lit(False)), F.lit(name)).otherwise(reason)
+    df.withColumn(reason_col, reason).write.partitionBy(reason_col).parquet(path)
+    # no column is read for this: row counts and the folders' names are enough (an ``Observation`` would make the session
+    # one that models of Spark ML can't be used in)
+    found = {r[reason_col]: r["count"] for r in df.sparkSession.read.parquet(path).groupBy(reason_col).count().collect()}
+    return {n: found.get(n, 0) for n in [GOOD, *checks]}
+
+
+def accepted(spark: SparkSession, path: str, reason_col: str = "reason") -> DataFrame:
+    return spark.read.parquet(path).where(F.col(reason_col) == GOOD).drop(reason_col)
+
+
+def rejected(spark: SparkSession, path: str, reason_col: str = "reason") -> DataFrame:
+    return spark.read.parquet(path).where(F.col(reason_col) != GOOD)
+
+
 def save_prepared(df: DataFrame, path: str, split_col: str = "split") -> None:
     """K1: prepared rows as Parquet partitioned by split (later reads prune by split)."""
     df.write.mode("overwrite").partitionBy(split_col).parquet(path)

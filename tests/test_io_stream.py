@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import time
 
 import pytest
 
@@ -129,3 +130,56 @@ def test_workbook_rows_stream_out(tmp_path):
     with open(path, "rb") as f:
         rows = WB.picked_rows(f, path, ["b", "a"])
         assert next(rows) == [None, "0"] and sum(1 for _ in rows) == 2999
+
+
+def test_rejects_are_routed_and_counted(spark, tmp_path):
+    from pyspark.sql import functions as F
+    rows = [(i, None if i % 4 == 0 else "t", None if i % 6 == 0 else i) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, text string, label int")
+    counts = IO.route_rejects(df, {"no label": F.col("label").isNull(), "no text": F.col("text").isNull(), "never": F.col("id") < 0}, str(tmp_path / "r"))
+    assert counts == {"ok": 40, "no label": 10, "no text": 10, "never": 0}
+    assert sorted(r.id for r in IO.accepted(spark, str(tmp_path / "r")).collect()) == [i for i in range(60) if i % 4 and i % 6]
+    assert {(r.id, r.reason) for r in IO.rejected(spark, str(tmp_path / "r")).collect()} == {
+        (i, "no label" if i % 6 == 0 else "no text") for i in range(60) if i % 4 == 0 or i % 6 == 0}
+
+
+def test_keyed_stream_recovers(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+    from lexgrid.streaming.scoring import Progress, read_keyed, start_keyed_stream
+    source, sink, state = (str(tmp_path / x) for x in ("source", "sink", "state"))
+    for k in range(3):
+        spark.range(k * 10, k * 10 + 10).coalesce(1).write.mode("append").parquet(source)
+    progress = Progress()
+    spark.streams.addListener(progress)
+
+    def start(after=None):
+        return start_keyed_stream(spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(source), sink, state, after)
+
+    def fail(batch_id):
+        if batch_id == 1:
+            raise RuntimeError("between write and commit")
+
+    with pytest.raises(StreamingQueryException):
+        start(fail).awaitTermination()
+    assert read_keyed(spark, sink).count() == 20        # the second batch is written, not committed
+    start().awaitTermination()
+    spark.range(30, 35).coalesce(1).write.mode("append").parquet(source)
+    start().awaitTermination()
+    wait = time.time() + 20                             # progress comes on a thread of its own
+    while sum(n for _, _, n in progress.batches) < 35 and time.time() < wait:
+        time.sleep(0.2)
+    spark.streams.removeListener(progress)
+    assert sorted(r.id for r in read_keyed(spark, sink).collect()) == list(range(35))
+    assert sum(n for _, _, n in progress.batches) >= 35 and progress.failures == 1
+
+
+def test_brand_counts_merge(spark):
+    from lexgrid.operators.resolve import BrandCounts
+    counts = BrandCounts(spark)
+    for run in range(3):
+        counts.add(str(run), spark.range(run * 2000, run * 2000 + 4000).selectExpr("concat('b', id) AS b", "id % 2 AS tier"), "b", "tier")
+    got = {r.tier: (r.runs, r.rows, r.brands) for r in counts.merged().collect()}
+    for tier, exact in ((0, 4000), (1, 4000), (None, 8000)):
+        runs, rows, brands = got[tier]
+        assert runs == 3 and rows == (6000 if tier is not None else 12000)
+        assert abs(brands - exact) <= 4 * BrandCounts.ERROR * exact
