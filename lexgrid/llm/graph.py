@@ -1,50 +1,12 @@
-"""Connected components for the near-duplicate operators.
-
-Large-star and small-star steps in turn until every component is a star around
-its smallest node. The per-node minima are checkpointed before they are joined
-back, so both sides of each join are plain shuffles and a hub with a third of
-all edges is split by Spark's skew join; minima and distinct edges are partially
-aggregated before they move. All state lies in ``spark.checkpoint.dir``.
-"""
+"""Connected components for the near-duplicate operators (the library's own, under the names used here)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-MAX_ROUNDS = 64
-
-
-def _edges(df: DataFrame) -> DataFrame:
-    return df.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct()
-
-
-def _large_star(e: DataFrame) -> DataFrame:
-    both = e.select(F.col("hi").alias("at"), F.col("lo").alias("to")).unionByName(e.select(F.col("lo").alias("at"), F.col("hi").alias("to")))
-    low = both.groupBy("at").agg(F.min("to").alias("m")).select("at", F.least("at", "m").alias("m")).checkpoint()
-    return _edges(both.where("to > at").join(low, "at").select(F.col("to").alias("a"), F.col("m").alias("b"))).checkpoint()
-
-
-def _small_star(e: DataFrame) -> DataFrame:
-    low = e.groupBy("hi").agg(F.min("lo").alias("m")).checkpoint()
-    # a node and its smaller neighbours all move to the smallest of them
-    return _edges(e.join(low, "hi").select(F.explode(F.array(
-        F.struct(F.col("hi").alias("a"), F.col("m").alias("b")), F.struct(F.col("lo").alias("a"), F.col("m").alias("b")))).alias("p")
-        ).select("p.a", "p.b")).checkpoint()
-
 
-def _stars(e: DataFrame) -> bool:
-    ends = e.select(F.col("hi").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
-        e.select(F.col("lo").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-    return ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up + down > 1").isEmpty()
+from lexgrid.operators.components import connected_components
 
 
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """``node, component_id`` (smallest node reachable) of every node on an edge."""
-    e = _edges(edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))).checkpoint()
-    for _ in range(MAX_ROUNDS):
-        if _stars(e):
-            return e.select(F.col("hi").alias("node"), F.col("lo").alias("component_id")).unionByName(
-                e.select("lo", F.col("lo").alias("component_id")).distinct().withColumnRenamed("lo", "node"))
-        e = _small_star(_large_star(e))
-    raise RuntimeError(f"no stars after {MAX_ROUNDS} rounds")
+    return connected_components(edges, src, dst).withColumnRenamed("component", "component_id")
