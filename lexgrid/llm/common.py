@@ -41,13 +41,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage of ``df`` with a Parquet table in the shared checkpoint folder."""
+def written(df: DataFrame, name: str, spent: list[str] | None = None) -> DataFrame:
+    """Cut the lineage of ``df`` with a Parquet table in the shared checkpoint folder; its path is added to ``spent``."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if spent is not None:
+        spent.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, spent: list[str]) -> None:
+    """Delete tables of ``written`` that nothing reads any more: what was made from them is written itself."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while spent:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spent.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+
+
 # integers stay integers beside nulls (``pd.NA``): a float would change those above 2**53
 _EXACT = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
 

@@ -52,8 +52,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
     Jaccard ``threshold`` or more. No link is lost."""
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    sketches = written(map_slices(rows, _sketch(k, threshold), f"doc_id {kind}, size bigint, digest binary, need int, "
-                                                                  "cells array<bigint>"), "sketches")
+    spent: list[str] = []
+    cells = written(map_slices(rows, _sketch(k, threshold), f"doc_id {kind}, size bigint, digest binary, need int, "
+                                                               "cells array<bigint>"), "cells", spent)
+    sketches = written(cells.select("doc_id", "size", "digest"), "sketches")
     sets = written(sketches.where("size > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
         F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows")), "sets")
     copied, sets = sets.where("rows > 1").drop("rows"), sets.drop("rows")
@@ -62,7 +64,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
     alike = maybe_in(sketches.select("doc_id", "digest").where("doc_id IS NOT NULL"), "digest", copied.select("digest"), "digest").join(
         copied, "digest").groupBy(name.alias("name")).agg(F.first(F.col("doc_id") == F.col("node")).alias("stays"), F.count(F.lit(1)).alias("n"))
     alike = written(alike.where("NOT stays OR n > 1"), "copies")
-    whole = sketches.where("size > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "size", "need", "cells", name.alias("_name"))
+    whole = cells.where("size > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "size", "need", "cells", name.alias("_name"))
     keys = named_once(whole, "_name", alike.select("name", "stays")).select(
         "node", "size", "need", F.explode("cells").alias("cell"))
 
@@ -70,7 +72,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fracti
         return map_slices(maybe_in(rows, "doc_id", members, "node").join(members, F.col("doc_id") == F.col("node")).select(
             "node", "grp", "text"), _tokens(k), f"node {kind}, grp bigint, tokens binary")
 
-    found = written(component_ids(sets, linked_forest(keys, tokens_of, threshold)), "set-components")
+    found = written(component_ids(sets, linked_forest(keys, tokens_of, threshold, spent)), "set-components")
     return sketches.join(found.select(F.col("digest").alias("_d"), "component_id"), F.col("digest") == F.col("_d"), "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 

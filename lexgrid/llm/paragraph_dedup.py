@@ -218,7 +218,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         return map_slices(texts.join(wanted, ["doc_id", "version"]).select("text", "wanted"), _paragraph_tokens,
                           "node binary, grp bigint, tokens binary", 32)
 
-    linked = components(written(linked_forest(keys, tokens_of, SIMILAR), "paragraph-links"))
+    linked = components(linked_forest(keys, tokens_of, SIMILAR))
     # a paragraph of one document without a link is a cluster of that document alone
     named = written(distinct.select("node", "doc_id", "last").join(linked, "node", "left").where("component_id IS NOT NULL OR doc_id < last").select(
         "node", F.coalesce("component_id", "node").alias("component_id")), "paragraph-components")

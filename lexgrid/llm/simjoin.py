@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import map_slices, maybe_in, mix, written
+from lexgrid.llm.common import map_slices, maybe_in, mix, remove, written
 from lexgrid.llm.graph import components
 
 SPARE, SPARE_SHARE = 2, 0.1  # S = SPARE + SPARE_SHARE * H
@@ -146,31 +146,35 @@ def _links(a: list[np.ndarray], b: list[np.ndarray] | None, t: Fraction) -> tupl
     return forest, links
 
 
-def linked_forest(keys: DataFrame, tokens_of: Callable[[DataFrame], DataFrame], t: Fraction) -> DataFrame:
-    """Forest of links ``src, dst`` between sets.
+def linked_forest(keys: DataFrame, tokens_of: Callable[[DataFrame], DataFrame], t: Fraction, spent: list[str] | None = None) -> DataFrame:
+    """Forest of links ``src, dst`` between sets. ``spent``: tables that only ``keys`` reads; they are deleted, and
+    so are this function's own, as soon as what is made from them is written.
 
     ``keys``: ``node, size, need, cell``, distinct by node and cell; a set shares ``need`` of its
     cells at least with any set linked to it. ``tokens_of`` takes ``node, grp`` (some of
     all nodes) and gives ``node, grp, tokens binary`` (sorted distinct 64-bit hashes).
     Node ids are unique and not null.
     """
-    company = keys.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").checkpoint()
-    shared = written(maybe_in(keys, "cell", company, "cell").join(company, "cell"), "shared-cells")
+    spark, cells, tables = keys.sparkSession, [], []
+    company = written(keys.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "company", cells)
+    shared = written(maybe_in(keys, "cell", company, "cell").join(company, "cell"), "shared-cells", tables)
+    remove(spark, cells)
+    remove(spark, spent or [])
     # the cell with most company brings the near copies of one text together
     homes = written(shared.groupBy("node").agg(
         F.count(F.lit(1)).alias("k"), F.first("size").alias("size"), F.first("need").alias("need"),
-        F.max(F.struct("n", "cell")).alias("h")).where("k >= need").select("node", "size", "need", F.col("h.cell").alias("home")), "homes")
+        F.max(F.struct("n", "cell")).alias("h")).where("k >= need").select("node", "size", "need", F.col("h.cell").alias("home")), "homes", tables)
     rooms = homes.groupBy("home").agg(_parts(), F.min("need").alias("need"), F.count(F.lit(1)).alias("rows")).checkpoint()
     # the matrix: which homes hold a cell; pairs of homes with as many common cells as their members need
     matrix = shared.select("node", "cell").join(homes.select("node", "home"), "node").select("cell", "home").distinct()
-    matrix = written(matrix.join(rooms, "home").select("cell", "home", "parts", "need"), "matrix")
+    matrix = written(matrix.join(rooms, "home").select("cell", "home", "parts", "need"), "matrix", tables)
     several = matrix.groupBy("cell").agg(F.count(F.lit(1)).alias("g")).where("g > 1").select("cell").checkpoint()
     across = matrix.join(several, "cell")
     side = lambda x: F.struct(f"{x}.home", f"{x}.parts", f"{x}.need")
     met = written(across.alias("x").join(across.alias("y"), F.expr("x.cell = y.cell AND x.home < y.home")).groupBy(
         side("x").alias("x"), side("y").alias("y")).agg(F.count(F.lit(1)).alias("k")).where(
             "k >= greatest(x.need, y.need)").select("x.home", "x.parts", F.col("y.home").alias("home2"), F.col("y.parts").alias("parts2")),
-        "home-pairs")
+        "home-pairs", tables)
 
     # first pass: every group with itself and with the first group of its home, and the first groups of
     # homes that meet: as many pairs as groups and pairs of homes
@@ -180,7 +184,7 @@ def linked_forest(keys: DataFrame, tokens_of: Callable[[DataFrame], DataFrame],
         grp("home", "p"), grp("home", F.lit(0))))).alias("g2"))
     first = first.unionByName(met.select(grp("home", F.lit(0)).alias("g1"), grp("home2", F.lit(0)).alias("g2")))
     seats = homes.join(rooms.select("home", "parts"), "home").select("node", grp("home", _seat()).alias("grp"))
-    near = written(_compared(seats, first, tokens_of, t, "first"), "first-links")
+    near = _compared(seats, first, tokens_of, t, "first")
 
     # second pass, for what the first didn't look at: members of a home that are connected already need no
     # look at each other, so large classes get groups of their own; the rest of the home is one kind
@@ -192,7 +196,7 @@ def linked_forest(keys: DataFrame, tokens_of: Callable[[DataFrame], DataFrame],
     large = classes.where("class IS NOT NULL").groupBy("home", "class").agg(F.count(F.lit(1)).alias("n")).where(
         F.col("n") > GROUP_ROWS).select(F.col("home").alias("its_home"), F.col("class").alias("kind"))
     sorted_out = written(classes.join(large, F.expr("home = its_home AND class = kind"), "left").select(
-        "node", "size", "home", F.coalesce("kind", F.lit(0).cast("bigint")).alias("kind")), "kinds")
+        "node", "size", "home", F.coalesce("kind", F.lit(0).cast("bigint")).alias("kind")), "kinds", tables)
     halls = sorted_out.groupBy("home", "kind").agg(_parts()).checkpoint()
     grp2 = lambda home, kind, part: F.xxhash64(home, kind, part)
     seats = sorted_out.join(halls, ["home", "kind"]).select("node", grp2("home", "kind", _seat()).alias("grp"))
@@ -202,7 +206,9 @@ def linked_forest(keys: DataFrame, tokens_of: Callable[[DataFrame], DataFrame],
     rest = rest.withColumn("p1", F.explode(F.sequence(F.lit(0), F.col("parts1") - 1))).withColumn("p2", F.explode(F.sequence(F.when(
         (F.col("home") == F.col("home2")) & (F.col("kind1") == F.col("kind2")), F.col("p1")).otherwise(0), F.col("parts2") - 1)))
     rest = rest.select(grp2("home", "kind1", "p1").alias("g1"), grp2("home2", "kind2", "p2").alias("g2"))
-    return near.unionByName(_compared(seats, rest, tokens_of, t, "second"))
+    far = _compared(seats, rest, tokens_of, t, "second")
+    remove(spark, tables)
+    return near.unionByName(far)
 
 
 def _parts():
@@ -215,18 +221,21 @@ def _seat():
 
 
 def _compared(seats: DataFrame, pairs: DataFrame, tokens_of: Callable[[DataFrame], DataFrame], t: Fraction, name: str) -> DataFrame:
-    """Links ``src, dst`` between the members (``node, grp``) of pairs of groups ``g1, g2``."""
-    seats, pairs = written(seats, f"{name}-members"), written(pairs, f"{name}-pairs")
+    """Links ``src, dst`` between the members (``node, grp``) of pairs of groups ``g1, g2``, as a written table."""
+    tables: list[str] = []
+    seats, pairs = written(seats, f"{name}-members", tables), written(pairs, f"{name}-pairs", tables)
     needed = pairs.select(F.explode(F.array("g1", "g2")).alias("grp")).distinct()
     tokens = tokens_of(seats.join(needed, "grp", "left_semi"))
     node = tokens.schema["node"].dataType.simpleString()
-    groups = written(tokens.groupBy("grp").agg(F.collect_list(F.struct("node", "tokens")).alias("sets")), f"{name}-groups")
+    groups = written(tokens.groupBy("grp").agg(F.collect_list(F.struct("node", "tokens")).alias("sets")), f"{name}-groups", tables)
     first = groups.select(F.col("grp").alias("g1"), F.col("sets").alias("s1"))
     second = groups.select(F.col("grp").alias("g2"), F.col("sets").alias("s2"))
     # a group alone with itself is sent once
     alone = pairs.where("g1 = g2").join(first, "g1").select("s1", F.lit(None).cast(second.schema["s2"].dataType).alias("s2"))
     both = pairs.where("g1 <> g2").join(first, "g1").join(second, "g2").select("s1", "s2")
-    return map_slices(both.unionByName(alone), _compare(t), f"src {node}, dst {node}", 16)
+    links = written(map_slices(both.unionByName(alone), _compare(t), f"src {node}, dst {node}", 16), f"{name}-links")
+    remove(pairs.sparkSession, tables)
+    return links
 
 
 def _compare(t: Fraction):
