@@ -37,10 +37,10 @@ SELECT doc_id, label FROM (
 _FITTED: dict[tuple[str, str], PipelineModel] = {}
 
 
-def fitted(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    """The model of the labelled documents, fitted once per application and folder."""
+def fitted(spark: SparkSession, sf_dir: str, anew: bool = False) -> PipelineModel:
+    """The model of the labelled documents, fitted once per application and folder, or ``anew``."""
     at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _FITTED:
+    if anew or at not in _FITTED:
         train, _ = split_labelled(spark, sf_dir)
         _FITTED[at] = MC.fit_text_classifier(train, "text", "label", 0.01, MAX_ITER)
     return _FITTED[at]
@@ -49,7 +49,7 @@ def fitted(spark: SparkSession, sf_dir: str) -> PipelineModel:
 @register("fit_text_classifier")
 def fit_text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1: fit on the 80 % split of labelled documents, report on the 20 % hold-out."""
-    model = fitted(spark, sf_dir)
+    model = fitted(spark, sf_dir, anew=True)
     iterations, converged = MC.convergence(model, MAX_ITER)
     return MC.evaluate(model, split_labelled(spark, sf_dir)[1], "label").withColumns(
         {"iterations": F.lit(iterations), "converged": F.lit(converged)})

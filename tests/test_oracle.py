@@ -24,10 +24,15 @@ def test_entry_runs(spark):
     assert df.columns == ["lang", "precision", "recall", "f1", "accuracy", "rows"]
 
 
+# models can't beat the commonest class on the 18 held-out rows of the smallest tables
+LARGER, LARGER_DIR = {"classifier_holdout", "training_log_checks"}, "/root/testdata/sf0.01"
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_duckdb(spark, con, small_dir, name):
-    df = QUERIES[name](spark, small_dir)
-    diff = compare(df, con, ORACLE[name])
+    at = LARGER_DIR if name in LARGER else small_dir
+    df = QUERIES[name](spark, at)
+    diff = compare(df, duckdb_views(at) if name in LARGER else con, ORACLE[name])
     assert diff is None, diff
     # Python only ever runs Arrow-batched (no row-at-a-time UDF)
     plan = df._jdf.queryExecution().executedPlan().toString()
