@@ -113,3 +113,30 @@ def test_templates_that_look_back(monkeypatch, name, template):
     got = chat.locate(turns, template)
     monkeypatch.setattr(chat, "WHOLE", 10**9)
     assert got == chat.locate(turns, template)
+
+
+def test_no_length_hides_a_rewrite():
+    """Windows can't see that the 50th prefix alone is rendered otherwise; the count must not depend on the length."""
+    def once(turns):
+        return ("#" if len(turns) == 50 else "") + chat.inst_template(turns)
+
+    turns = [("user" if i % 2 else "assistant", f"turn {i}") for i in range(80)]
+    for n, rewrites in ((49, 0), (50, 1), (51, 2), (80, 2)):
+        out, spans, got = chat.locate(turns[:n], once)
+        assert out == once(turns[:n]) and got == rewrites and [out[a:b] for a, b in spans] == [t for _, t in turns[:n]]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 40, 150])
+def test_reach_is_the_templates_word(n):
+    plain = lambda turns: "".join(("same " if i and turns[i - 1][0] == r else "other ") + t + ";" for i, (r, t) in enumerate(turns))
+    rng = random.Random(n)
+    turns = [(rng.choice("ab"), "x" * rng.randrange(4) + str(i)) for i in range(n)]
+    calls = []
+
+    def counted(turns):
+        calls.append(len(turns))
+        return plain(turns)
+
+    assert chat.locate(turns, chat.looks_back(1)(counted)) == chat.locate(turns, plain)
+    assert sum(calls) <= 7 * n              # windows of two turns, at any length
+    assert chat.locate(turns, chat.looks_back(0)(lambda turns: plain(turns))) == chat.locate(turns, plain)     # its word doesn't hold
