@@ -8,8 +8,8 @@ Two tokenisation routes:
 
 ``encode`` and ``decode`` look values up without a row per token in any exchange. Rows are dealt into
 groups of about ``GROUP_BYTES`` (one exchange, a row per document); each group's distinct values, which a
-group has few of, are joined with the vocabulary; and the group's rows are translated in one Arrow pass with the
-group's own small dictionary. Neither the vocabulary nor a hot token ever has to fit anywhere whole.
+group has few of, are taken in one Arrow pass and joined with the vocabulary; and the group's rows are translated in another with the
+group's own small dictionary. Both passes read all columns of the same exchange, so what comes before it is worked out once. Neither the vocabulary nor a hot token ever has to fit anywhere whole.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lexgrid.operators.ranking import sorted_positions
 
@@ -68,15 +68,26 @@ def tokenise_with(df: DataFrame, text: str, make_tokenizer: Callable[[], Callabl
     return df.withColumn(out, encode_batches(F.col(text)))
 
 
+def _counted(out):
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for b in batches:
+            found = pc.value_counts(pc.drop_null(b.column(0).flatten()))
+            yield pa.RecordBatch.from_arrays([found.field(0).cast(out.types[0]), found.field(1)], schema=out)
+    return run
+
+
 def build_vocab(df: DataFrame, tokens: str, min_count: int = 1,
                 specials: tuple[str, ...] = SPECIALS) -> DataFrame:
     """``token, freq, id`` with ids by (freq desc, token), after the specials.
 
-    Counting is a partial aggregation; the ids come from an exact sorted
+    Batches count their own tokens, and a partial aggregation adds these up; the ids come from an exact sorted
     position (range-partitioned sort + checkpoint), never a one-partition window.
     """
-    counts = (df.select(F.explode(tokens).alias("token")).where(F.col("token").isNotNull())
-              .groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    kind = StructType.fromDDL(f"token {df.schema[tokens].dataType.elementType.simpleString()}, n bigint")
+    counts = (df.select(tokens).mapInArrow(_counted(to_arrow_schema(kind)), kind)
+              .groupBy("token").agg(F.sum("n").alias("freq"))
               .where(F.col("freq") >= min_count))
     ranked = sorted_positions(counts, [F.col("freq").desc(), F.col("token").asc()], "_pos")
     return ranked.select("token", "freq", (F.col("_pos") - 1 + len(specials)).alias("id"))
@@ -98,7 +109,18 @@ def _looked_up(df: DataFrame, values: str, table: DataFrame, out: str, kind: str
     """
     n = _groups(df)
     dealt = df.withColumn("_group", F.pmod(F.xxhash64(*df.columns), F.lit(n))).repartition(n, "_group")
-    own = dealt.select(F.col("_group").alias("_page"), F.explode(F.array_distinct(values)).alias("value")).distinct()
+    page_kind = StructType([*StructType.fromDDL("_page bigint").fields, StructField("value", df.schema[values].dataType.elementType)])
+    page_schema = to_arrow_schema(page_kind)
+
+    def distinct_values(key, rows):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        given = pa.concat_arrays(rows.column(values).chunks)
+        own = pc.unique(given.flatten()).cast(page_schema.types[1])
+        return pa.table([pa.repeat(key[0].cast(pa.int64()), len(own)), own], schema=page_schema)
+
+    # the whole rows go in, so that the exchange is the one that ``translate`` reads
+    own = dealt.groupBy("_group").applyInArrow(distinct_values, page_kind)
     pages = own.join(table, "value").select("_page", "value", "found")
     schema = StructType([*[f for f in df.schema.fields if f.name != out], *StructType.fromDDL(f"`{out}` {kind}").fields])
     target = to_arrow_schema(schema)

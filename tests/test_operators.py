@@ -400,3 +400,26 @@ def test_ordered_batch_scoring_matches_grouped(spark):
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "8")
         assert got == want
+
+
+def test_lookup_works_its_rows_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def tokens(text):
+        seen.add(1)
+        return text.split()
+
+    rows = [(i, f"a b{i % 5} c{i} a") for i in range(200)]
+    vocab = spark.createDataFrame([("a", 2), ("b0", 3), ("c7", 4)], "token string, id bigint")
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").select("doc_id", tokens("text").alias("tokens"))
+    got = {r.doc_id: r.ids for r in TK.encode(df, "tokens", vocab, "doc_id").collect()}
+    assert len(got) == 200 and got[0] == [2, 3, 1, 2] and got[7] == [2, 1, 4, 2]
+    assert seen.value == 200
+
+
+def test_vocabulary_of_odd_tokens(spark):
+    df = spark.createDataFrame([(["x", None, "x", "é"],), ([],), (None,), (["é", "", "x"],)], "tokens array<string>")
+    vocab = TK.build_vocab(df, "tokens")
+    assert vocab.dtypes == [("token", "string"), ("freq", "bigint"), ("id", "bigint")]
+    assert sorted(tuple(r) for r in vocab.collect()) == [("", 1, 4), ("x", 3, 2), ("é", 2, 3)]
