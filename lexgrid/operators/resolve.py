@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lexgrid.functions.entity import normalise_name, trust_tier
 from lexgrid.operators.components import connected_components, with_singletons
 from lexgrid.operators.spelling import (DEFAULT_K, DEFAULT_MIN_LEN, NameStatistics, SpellingIndex, distinct_names,
-                                        variant_links)
+                                        links_between)
 from lexgrid.session import scratch_path
 
 GOLD_TIER = 0
@@ -25,10 +25,9 @@ GOLD_TIER = 0
 def name_clusters(names: DataFrame, name: str, k: int = DEFAULT_K, min_len: int = DEFAULT_MIN_LEN,
                   statistics: NameStatistics | None = None) -> DataFrame:
     """B3 + B4: ``name, cluster`` (cluster = smallest name of its component)."""
-    links = variant_links(names, name, k, min_len, statistics)
-    comps = connected_components(links, "src", "dst")
-    nodes = names.select(F.col(name).alias("name")).where(F.col("name").isNotNull())
-    return with_singletons(nodes, "name", comps) \
+    named = distinct_names(names, name)
+    comps = connected_components(links_between(named, k, min_len, statistics), "src", "dst")
+    return with_singletons(named, "name", comps) \
         .select(F.col("node").alias("name"), F.col("component").alias("cluster"))
 
 
@@ -45,7 +44,7 @@ def canonical_names(df: DataFrame, cluster: str, tier: str, key: str, value: str
 
 
 def blank_to_null(name: Column | str) -> Column:
-    return F.when(normalise_name(name) != "", normalise_name(name))
+    return F.nullif(normalise_name(name), F.lit(""))
 
 
 def staged_listings(listings: DataFrame, key: str, shop_name: str, brand: str, flag: str, brand_id: str, gold: str | None) -> DataFrame:

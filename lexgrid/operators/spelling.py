@@ -36,6 +36,7 @@ from lexgrid.session import scratch_path
 DEFAULT_K = 1
 DEFAULT_MIN_LEN = 2
 STEM = 4
+TOGETHER = 1 << 18
 PRIOR = 8                   # names without any of the bigrams at hand that are counted from the start
 HAN = "^[^ ]*[\\x{4E00}-\\x{9FFF}][^ ]*$"
 NODE, SIGNATURE = ["n1", "n2"], ["s1", "s2"]
@@ -51,49 +52,85 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _cells(points: np.ndarray, place: np.ndarray, seed: int) -> np.ndarray:
+    return _mix(_mix(points.astype(np.uint64) + np.uint64(seed)) ^ (place.astype(np.uint64) * np.uint64(seed)))
+
+
 def _running(points: np.ndarray, shift: int, seed: int) -> np.ndarray:
-    """Running xor over characters and their places, ``shift`` places further left; entry i covers the first i."""
-    place = np.arange(len(points), dtype=np.uint64) - np.uint64(shift)
-    cells = _mix(_mix(points.astype(np.uint64) + np.uint64(seed)) ^ (place * np.uint64(seed)))
-    return np.r_[np.uint64(0), np.bitwise_xor.accumulate(cells)] if len(cells) else np.zeros(1, np.uint64)
+    """Per row (a name), the running xor over characters and their places, ``shift`` places further left; entry i covers the first i."""
+    place = np.arange(points.shape[1], dtype=np.uint64) - np.uint64(shift)
+    cells = _cells(points, place, seed)
+    return np.concatenate([np.zeros((len(points), 1), np.uint64), np.bitwise_xor.accumulate(cells, axis=1)], 1)
 
 
 def _variants(points: np.ndarray, k: int, seed: int) -> list[np.ndarray]:
-    """Hashes of the name with exactly 0, 1, ... ``k`` characters deleted (in the order of the deleted places)."""
-    n = len(points)
-    with np.errstate(over="ignore"):
-        total = [_running(points, m, seed) for m in range(k + 1)]
-    out = [total[0][n:n + 1]]
-    held, last = np.zeros(1, np.uint64), np.full(1, -1)           # what stands before the last deletion, and its place
+    """Per row, hashes of the name with exactly 0, 1, ... ``k`` characters deleted (in the order of the deleted places)."""
+    n = points.shape[1]
+    total = [_running(points, m, seed) for m in range(k + 1)]
+    out = [total[0][:, n:]]
+    held, last = np.zeros((len(points), 1), np.uint64), np.full(1, -1)      # what stands before the last deletion, and its place
     for m in range(1, min(k, n) + 1):
         room = n - 1 - last
         at = np.repeat(last + 1, room) + np.arange(room.sum()) - np.repeat(np.cumsum(room) - room, room)
-        held = np.repeat(held, room) ^ total[m - 1][at] ^ total[m - 1][np.repeat(last + 1, room)]
+        held = np.repeat(held, room, axis=1) ^ total[m - 1][:, at] ^ total[m - 1][:, np.repeat(last + 1, room)]
         last = at
-        out.append(held ^ total[m][n] ^ total[m][at + 1])
+        out.append(held ^ total[m][:, n:] ^ total[m][:, at + 1])
     return out
 
 
-def name_signatures(name: str, k: int, min_len: int, weights: list[int] | None, bound: int) -> np.ndarray:
-    """Rows of two 64-bit hashes: the distinct signatures of one name (``weights``: of its bigrams, for its stems)."""
-    points = np.frombuffer(name.encode("utf-32-le", "surrogatepass"), np.uint32)
-    digits = points[(points >= 48) & (points <= 57)]
+def _alike_long(names: list[str], k: int, min_len: int, weights: list[list[int] | None], bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """``many_signatures`` of names of one length."""
+    points = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(names), -1)
+    n = points.shape[1]
+    digit = (points >= 48) & (points <= 57)
+    length = np.arange(2, n + 1)
+    told = np.array([w if w else [-1] * len(length) for w in weights], np.int64).reshape(len(names), -1)
+    with_stems = np.array([bool(w) for w in weights])[:, None]
+    good = with_stems & (length >= max(STEM, -(-n // 2))) & (np.cumsum(told, 1) >= bound)
     columns = []
     for seed in _SEEDS:
         with np.errstate(over="ignore"):
-            own = _mix(_running(digits, 0, seed ^ 0xFF)[-1:] + np.uint64(len(digits)))
-            found = [v for m, v in enumerate(_variants(points, k, seed)) if m == 0 or len(points) - m >= min_len]
-            if weights:
-                length = np.arange(2, len(points) + 1)
-                good = (length >= max(STEM, -(-len(points) // 2))) & (np.cumsum(weights) >= bound)
-                found.append(_running(points, 0, seed)[length[good]] ^ _STEM_TAG)
-            columns.append(_mix(np.concatenate(found) ^ own))
-    return np.unique(np.stack(columns, 1), axis=0).view(np.int64)
+            cells = np.where(digit, _cells(points, np.cumsum(digit, 1) - 1, seed ^ 0xFF), np.uint64(0))
+            own = _mix(np.bitwise_xor.reduce(cells, axis=1) + digit.sum(1).astype(np.uint64))
+            found = [v for m, v in enumerate(_variants(points, k, seed)) if m == 0 or n - m >= min_len]
+            found.append(_running(points, 0, seed)[:, 2:] ^ _STEM_TAG)
+            columns.append(_mix(np.concatenate(found, 1) ^ own[:, None]))
+    kept = np.ones(columns[0].shape, bool)
+    kept[:, kept.shape[1] - good.shape[1]:] = good
+    row, one, two = np.nonzero(kept)[0], columns[0][kept], columns[1][kept]
+    order = np.lexsort((two, one, row))
+    row, one, two = row[order], one[order], two[order]
+    new = np.r_[True, (row[1:] != row[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
+    return row[new], np.stack([one[new], two[new]], 1).view(np.int64)
+
+
+def many_signatures(names: list[str], k: int, min_len: int, weights: list[list[int] | None], bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which name, and rows of two 64-bit hashes: the distinct signatures of each name (``weights``: of its bigrams, for
+    its stems). Names of one length are worked out together, about ``TOGETHER`` signatures at a time."""
+    order = sorted(range(len(names)), key=lambda i: len(names[i]))
+    at, who, rows = 0, [np.empty(0, np.int64)], [np.empty((0, 2), np.int64)]
+    while at < len(order):
+        n = len(names[order[at]])
+        most, stop = max(1, TOGETHER // (n + sum(math.comb(n, m) for m in range(k + 1)))), at + 1
+        while stop < len(order) and stop - at < most and len(names[order[stop]]) == n:
+            stop += 1
+        part = order[at:stop]
+        row, found = _alike_long([names[i] for i in part], k, min_len, [weights[i] for i in part], bound)
+        who.append(np.array(part, np.int64)[row])
+        rows.append(found)
+        at = stop
+    return np.concatenate(who), np.concatenate(rows)
+
+
+def name_signatures(name: str, k: int, min_len: int, weights: list[int] | None, bound: int) -> np.ndarray:
+    """Rows of two 64-bit hashes: the distinct signatures of one name (``weights``: of its bigrams, for its stems)."""
+    return many_signatures([name], k, min_len, [weights], bound)[1]
 
 
 def distinct_names(names: DataFrame, name: str) -> DataFrame:
-    """``n1, n2, name``: the distinct names, not null, and a 128-bit hash to move them by."""
-    one = names.select(F.col(name).alias("name")).where(F.col("name").isNotNull()).distinct()
+    """``n1, n2, name``: the distinct names, not null, and a 128-bit hash to move them by. They are read many times, so
+    ``names`` is worked out here, once (a filter in front would be pushed down and work the names out again)."""
+    one = names.select(F.col(name).alias("name")).distinct().checkpoint().where(F.col("name").isNotNull())
     return one.select(F.xxhash64("name").alias("n1"), F.xxhash64(F.reverse("name"), F.length("name")).alias("n2"), "name")
 
 
@@ -124,12 +161,8 @@ def _signature_rows(k: int, min_len: int, bound: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n1, n2 = (b.column(c).to_numpy() for c in NODE)
-            found = [name_signatures(name, k, min_len, weights, bound) for name, weights in zip(
-                b.column("name").to_pylist(), b.column("weights").to_pylist())]
-            many = [len(f) for f in found]
-            rows = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.repeat(n1, many), np.repeat(n2, many), rows[:, 0], rows[:, 1])],
-                                             names=NODE + SIGNATURE)
+            who, rows = many_signatures(b.column("name").to_pylist(), k, min_len, b.column("weights").to_pylist(), bound)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (n1[who], n2[who], rows[:, 0], rows[:, 1])], names=NODE + SIGNATURE)
     return run
 
 
@@ -151,7 +184,11 @@ def _with_company(sigs: DataFrame) -> DataFrame:
 def variant_links(names: DataFrame, name: str, k: int = DEFAULT_K, min_len: int = DEFAULT_MIN_LEN,
                   statistics: NameStatistics | None = None) -> DataFrame:
     """Star edges ``src -> dst`` (dst = smallest name sharing a signature)."""
-    named = distinct_names(names, name)
+    return links_between(distinct_names(names, name), k, min_len, statistics)
+
+
+def links_between(named: DataFrame, k: int = DEFAULT_K, min_len: int = DEFAULT_MIN_LEN, statistics: NameStatistics | None = None) -> DataFrame:
+    """``variant_links`` of ``distinct_names``."""
     sigs = signatures(named, k, min_len, statistics or NameStatistics.of(named)).checkpoint()
     shared = _with_company(sigs).join(named, NODE).select("name", *SIGNATURE).checkpoint()
     rep = shared.groupBy(*SIGNATURE).agg(F.min("name").alias("rep"))

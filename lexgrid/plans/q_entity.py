@@ -194,7 +194,8 @@ def variant_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth = F.when(F.col("n") % FAMILY == 0, F.concat(F.lit("f"), F.floor(F.col("n") / (2 * FAMILY)))).otherwise(F.concat(F.lit("p"), "n"))
     planted = lst.where((F.col("n") % FAMILY == 0) | (F.col("n") % PLACE == 0)).join(clusters, "name").select("cluster", truth.alias("truth"))
     # pairs counted from group sizes: none is made
-    pairs = lambda *by: planted.groupBy(*by).agg(F.count(F.lit(1)).alias("m")).agg(
+    sizes = planted.groupBy("truth", "cluster").agg(F.count(F.lit(1)).alias("m")).checkpoint()
+    pairs = lambda *by: sizes.groupBy(*by).agg(F.sum("m").alias("m")).agg(
         F.coalesce(F.sum(F.col("m") * (F.col("m") - 1) / 2), F.lit(0)).cast("bigint")).first()[0]
     same, linked, found = pairs("truth"), pairs("cluster"), pairs("truth", "cluster")
     share = lambda part, whole: round(part / whole, 6) if whole else None

@@ -423,3 +423,28 @@ def test_vocabulary_of_odd_tokens(spark):
     vocab = TK.build_vocab(df, "tokens")
     assert vocab.dtypes == [("token", "string"), ("freq", "bigint"), ("id", "bigint")]
     assert sorted(tuple(r) for r in vocab.collect()) == [("", 1, 4), ("x", 3, 2), ("é", 2, 3)]
+
+
+def test_clusters_work_their_names_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def shown(name):
+        seen.add(1)
+        return name
+
+    rows = [("red fox",), ("red fix",), ("blue",), (None,), ("北京大学云山",), ("北京大学云海",), ("red fox",)]
+    names = spark.createDataFrame(rows, "raw string").select(shown("raw").alias("name"))
+    got = {r.name: r.cluster for r in name_clusters(names, "name").collect()}
+    assert seen.value == len(rows)
+    assert set(got) == {r[0] for r in rows if r[0]} and got["red fox"] == got["red fix"] == "red fix" and got["blue"] == "blue"
+
+
+def test_signatures_of_many_names_are_those_of_each():
+    rng = random.Random(12)
+    names = ["".join(rng.choice("ab1é云山 9") for _ in range(rng.randrange(12))) for _ in range(300)]
+    weights = [[rng.randrange(4000) for _ in range(len(n) - 1)] if len(n) >= 4 and i % 2 else None for i, n in enumerate(names)]
+    for k in (0, 1, 2):
+        who, rows = SP.many_signatures(names, k, 2, weights, 9000)
+        for i, n in enumerate(names):
+            assert rows[who == i].tolist() == SP.name_signatures(n, k, 2, weights[i], 9000).tolist()
