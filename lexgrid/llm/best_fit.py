@@ -6,10 +6,9 @@ every later length finds a gap. Long pieces are placed first, and a new
 sequence is opened only where no open one has room.
 
 Pieces of one length are alike, so the rule needs their histogram only (``window``
-numbers at most, whatever the input): the driver plans on it, ``n / DECISIONS`` pieces
-of a length at a time where there are more than ``DECISIONS``. The plan is a table
-of rank intervals per length, whose size depends on ``window`` and ``DECISIONS``, and every
-piece finds its place by its rank in its length, in one Arrow pass.
+numbers at most, whatever the input), and all that counts of a length is how many of its pieces go into each gap. The driver
+works that out for one piece at a time, or for many at once with the same numbers (``_flows``). The plan is a table
+of rank intervals per length, and every piece finds its place by its rank in its length, in one Arrow pass.
 
 1. One Arrow pass tokenises each text. Documents over ``window`` ids are cut into
    whole windows after a first, shorter piece; whole windows are sequences of
@@ -40,7 +39,7 @@ from lexgrid.llm.packing import _encoder
 
 WINDOW = 1024
 END_ID = 2
-DECISIONS = 1 << 17
+DECISIONS = 256             # pieces of a length that are decided one at a time
 
 _CUT = "doc_tokens bigint, part int, first_full bigint, tail int, place bigint, crcs array<bigint>"
 
@@ -49,57 +48,128 @@ def _typed(keys: list[StructField], ddl: str) -> StructType:
     return StructType([*keys, *StructType.fromDDL(ddl).fields])
 
 
+NEVER = np.iinfo(np.int64).min
+
+
+def _gains(counts: np.ndarray, size: int) -> np.ndarray:
+    """By gap, from ``size`` on: 2 more than the sum of squares falls by when a piece of ``size`` goes there (``NEVER``
+    where no sequence is open)."""
+    gains = 2 * (counts[size:] - counts[:len(counts) - size])
+    gains[0] = 2 * counts[size] + 1                             # a full sequence is no open one
+    gains[counts[size:] == 0] = NEVER
+    return gains
+
+
+def _settled(counts: np.ndarray, size: int, level: int, most: int) -> np.ndarray | None:
+    """Pieces per gap until no gain is ``level`` or more; None if that takes more than ``most``. ``counts`` is changed."""
+    flows = np.zeros(len(counts) - size, np.int64)
+    while True:
+        gains = np.maximum(_gains(counts, size), level - 8)
+        many = np.maximum((gains - level) // 4 + 1, 0)          # a piece takes 4 off the gain of its gap,
+        many[0] = max((gains[0] - level) // 2 + 1, 0)           # 2 off that of the last one before a full sequence
+        many = np.minimum(many, counts[size:])
+        if not many.any():
+            return flows
+        flows += many
+        if flows.sum() > most:
+            return None
+        counts[size:] -= many
+        counts[:len(many)] += many
+        counts[0] = 0
+
+
+def _flows(counts: np.ndarray, size: int, pieces: int, single: int) -> tuple[np.ndarray, int]:
+    """How many of ``pieces`` pieces of ``size`` go into each gap from ``size`` on, and how many are left when no sequence has room.
+
+    One at a time, a piece goes where the gain is largest (the smallest gap of these). A piece lowers the gain of its
+    gap and raises those of the gaps ``size`` above and below, and closes no gap but its own: a choice that is open at some level
+    stays open until it is taken. So gaps whose gain is that level or more take pieces until none is, in whichever order: the counts
+    come out alike (such systems are abelian, like sandpiles). Whole levels are settled at once as long as the pieces last,
+    and what remains of the last level goes one at a time.
+    """
+    counts, flows, left = counts.copy(), np.zeros(len(counts) - size, np.int64), pieces
+    while left > single:
+        top = int(_gains(counts, size).max(initial=NEVER))
+        if top == NEVER:
+            return flows, left
+        # the lowest level that the pieces reach, tried from steps that double
+        step, done = 1, None
+        while done is None or done[0][size:].any():
+            trial = counts.copy()
+            found = _settled(trial, size, top - step + 1, left)
+            if found is None:
+                break
+            done = trial, found
+            step *= 2
+        if done is None:
+            break
+        counts = done[0]
+        flows += done[1]
+        left -= int(done[1].sum())
+    while left:
+        gains = _gains(counts, size)
+        at = int(gains.argmax()) if len(gains) else 0
+        if not len(gains) or gains[at] == NEVER:
+            break
+        counts[size + at] -= 1
+        counts[at] += at > 0
+        flows[at] += 1
+        left -= 1
+    return flows, left
+
+
 def sum_of_squares(histogram: dict[int, int], window: int = WINDOW, decisions: int = DECISIONS) -> np.ndarray:
     """The plan: rows ``size, lo, hi, sequence, offset``, sorted by size and lo.
 
-    Pieces of ``size`` with rank ``lo <= r < hi`` go to sequence ``sequence + r - lo`` at ``offset``.
+    Pieces of ``size`` with rank ``lo <= r < hi`` go to sequence ``sequence + r - lo`` at ``offset``. ``decisions``
+    (pieces of a length that are decided one at a time) does not change the plan.
     """
-    unit = max(1, -(-sum(histogram.values()) // decisions))
-    open_of = np.zeros(window + 1, np.int64)                    # open sequences by residual gap
-    runs: dict[int, list[list[int]]] = {}                       # gap -> runs [first sequence, how many]
+    counts = np.zeros(window, np.int64)                         # open sequences by residual gap
+    runs: list[list[list[int]]] = [[] for _ in range(window + 1)]       # by gap: runs [first sequence, how many]
     rows: list[list[int]] = []
     fresh = 0
-    for size in sorted((s for s, n in histogram.items() if n > 0), reverse=True):
-        rank, total = 0, int(histogram[size])
-        while rank < total:
-            step = min(unit, total - rank)
-            fits = open_of[size:window]
-            # moving ``step`` sequences from gap g to g - size changes the sum of squares by ``step`` times:
-            change = 2 * (np.r_[0, open_of[1:window - size]] - fits) + 2 * step
-            if len(change):
-                change[0] = step - 2 * fits[0]                  # a full sequence is no open one
-                change[fits == 0] = np.iinfo(np.int64).max
-            best = int(change.argmin()) if len(change) else 0
-            if len(change) and fits[best]:
-                gap, take = size + best, min(step, int(fits[best]))
-                source = runs[gap]
-            else:
-                gap, take, source = window, step, [[fresh, step]]
-                fresh += step
-            open_of[gap] -= take if gap < window else 0
-            left = take
-            while left:
-                run = source[-1]
-                k = min(left, run[1])
-                at = run[0] + run[1] - k
-                if (rows and rows[-1][0] == size and rows[-1][2] == rank and rows[-1][4] == window - gap
-                        and rows[-1][3] + rows[-1][2] - rows[-1][1] == at):
-                    rows[-1][2] += k
-                else:
-                    rows.append([size, rank, rank + k, at, window - gap])
-                run[1] -= k
-                if not run[1]:
-                    source.pop()
-                rank += k
-                left -= k
-                if gap > size:
-                    into = runs.setdefault(gap - size, [])
-                    if into and into[-1][0] + into[-1][1] == at:
-                        into[-1][1] += k
-                    else:
-                        into.append([at, k])
+
+    def move(size: int, rank: int, gap: int, n: int) -> None:
+        """The next ``n`` pieces of ``size``, from ``rank`` on, into sequences with ``gap``."""
+        while n:
+            run = runs[gap][-1]
+            k = min(n, run[1])
+            at = run[0] + run[1] - k
+            rows.append([size, rank, rank + k, at, window - gap])
+            run[1] -= k
+            if not run[1]:
+                runs[gap].pop()
+            into = runs[gap - size]
             if gap > size:
-                open_of[gap - size] += take
+                if into and into[-1][0] + into[-1][1] == at:
+                    into[-1][1] += k
+                elif into and at + k == into[-1][0]:
+                    into[-1][0], into[-1][1] = at, into[-1][1] + k
+                else:
+                    into.append([at, k])
+            rank, n = rank + k, n - k
+
+    for size in sorted((s for s, n in histogram.items() if n > 0), reverse=True):
+        flows, left = _flows(counts, size, int(histogram[size]), decisions)
+        rank = 0
+        for at in np.flatnonzero(flows)[::-1].tolist():         # wide gaps first: they fill narrower ones
+            move(size, rank, size + at, int(flows[at]))
+            rank += int(flows[at])
+        counts[size:] -= flows
+        counts[:len(flows)] += flows
+        counts[0] = 0
+        # no sequence has room: new ones are filled one after the other
+        each = window // size
+        full, rest = divmod(left, each)
+        for n, many in ((full, each), (1 if rest else 0, rest)):
+            if n:
+                runs[window].append([fresh, n])
+                fresh += n
+                for i in range(many):
+                    move(size, rank, window - i * size, n)
+                    rank += n
+                if many * size < window:
+                    counts[window - many * size] += n
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 

@@ -291,6 +291,32 @@ def test_sum_of_squares_fills(decisions):
     assert len(sum_of_squares({}, 256)) == 0
 
 
+def gaps_of(plan, window):
+    used = np.zeros(int((plan[:, 3] + plan[:, 2] - plan[:, 1]).max(initial=0)), int)
+    for size, lo, hi, sequence, _ in plan.tolist():
+        used[sequence:sequence + hi - lo] += size
+    return np.bincount(window - used, minlength=window).tolist()
+
+
+def test_sum_of_squares_at_any_number_of_pieces():
+    """Pieces decided together are packed as one at a time, however many there are."""
+    rng = random.Random(9)
+    for most in (3, 40, 700):
+        for window in (5, 24, 61):
+            histogram = {s: rng.randrange(most) for s in range(1, window)}
+            plans = [sum_of_squares(histogram, window, decisions) for decisions in (0, 20, 1 << 40)]
+            assert gaps_of(plans[0], window) == gaps_of(plans[1], window) == gaps_of(plans[2], window)
+            assert plans[0].tolist() == plans[2].tolist()
+            check_places(histogram, window, places(plans[0]))
+
+
+def test_plan_does_not_grow_with_the_pieces():
+    histogram = {s: 1 + s * 7919 % 23 for s in range(1, 256)}
+    small, large = (sum_of_squares({s: n * k for s, n in histogram.items()}, 256) for k in (20, 2000))
+    assert len(large) < 2 * len(small)
+    assert abs(sum(gaps_of(large, 256)) / 100 - sum(gaps_of(small, 256))) < 3
+
+
 def test_best_fit_round_trip(spark):
     from tokenizers import Tokenizer
     rng = random.Random(4)
