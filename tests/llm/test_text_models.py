@@ -206,6 +206,55 @@ def test_bare_findings_hide_what_the_rules_go_by():
     assert all(k != "access" for *_, k in secret_scan.bare_findings(text, hidden=("access",)))
 
 
+def test_fit_uses_every_finding(spark, monkeypatch):
+    # far more unhit words than secrets, over many shares: no finding is left out, and the rare ones stand in every share
+    rng = random.Random(12)
+    words = ["".join(rng.choice(["tion", "ing", "the", "er", "an", "re", "ness", "un"]) for _ in range(6)) + f"{i}x" for i in range(6000)]
+    rows = [(" ", w, " ", 0) for w in dict.fromkeys(words)] + [(b, t, a, 1) for b, t, a, y in findings(rng, 160) if y]
+    assert secret_scan.findings(docs(spark, words)).count() == len(words) > 4000
+    monkeypatch.setattr(secret_scan, "SHARE", 500)
+    monkeypatch.setattr(secret_scan, "LEAST", 60)
+    monkeypatch.setattr(secret_scan, "STEPS", 20)
+    seen = {"fit": 0, "held": 0}
+    fit, platt, kth = secret_scan._fit_weights, secret_scan._platt, secret_scan._kth_highest
+
+    def fitted(table, counts):
+        seen["fit"] = table.count()
+        assert sum(counts.values()) == seen["fit"]
+        return fit(table, counts)
+
+    def calibrated(scores, counts):
+        seen["held"] = scores.count()
+        got = platt(scores, counts)
+        s, y = (np.array(x, float) for x in zip(*scores.collect()))
+        target = np.where(y == 1, (counts[1] + 1) / (counts[1] + 2), 1 / (counts[0] + 2))
+        loss = lambda a, b: (np.logaddexp(0, a * s + b) - target * (a * s + b)).sum()
+        assert all(loss(*got) <= loss(got[0] + da, got[1] + db) + 1e-6 for da in (-.01, 0, .01) for db in (-.01, 0, .01))
+        return got
+
+    def highest(values, k):
+        got = kth(values, k)
+        assert got == sorted((r.s for r in values.collect()), reverse=True)[k - 1]
+        return got
+
+    for name, fn in (("_fit_weights", fitted), ("_platt", calibrated), ("_kth_highest", highest)):
+        monkeypatch.setattr(secret_scan, name, fn)
+    table = spark.createDataFrame(rows, "before string, token string, after string, label int")
+    net = secret_scan.fit_network(table)
+    assert seen["fit"] + seen["held"] // 3 == len(rows)
+    again = secret_scan.fit_network(table.repartition(7))       # however the rows lie
+    assert np.allclose(secret_scan._packed(net.w), secret_scan._packed(again.w), atol=1e-6)
+    held = findings(random.Random(13), 200)
+    found = net.probability([secret_scan._codes(b + t + a, len(b), len(b) + len(t)) for b, t, a, _ in held]) >= net.threshold
+    assert np.mean(found[1::2]) >= 0.9 and np.mean(found[::2]) <= 0.05
+
+
+def test_kth_highest(spark):
+    values = [0.5, 0.5, -3.0, 1e300, 7.25, 0.5, -1e-9]
+    df = spark.createDataFrame([(x,) for x in values], "s double")
+    assert [secret_scan._kth_highest(df, k) for k in range(1, 8)] == sorted(values, reverse=True)
+
+
 # chat
 
 def test_escape_round_trip():
