@@ -235,13 +235,14 @@ def test_fit_uses_every_finding(spark, monkeypatch):
     def highest(values, k):
         got = kth(values, k)
         assert got == sorted((r.s for r in values.collect()), reverse=True)[k - 1]
+        seen["secrets"], seen["k"] = values.count(), k
         return got
 
     for name, fn in (("_fit_weights", fitted), ("_platt", calibrated), ("_kth_highest", highest)):
         monkeypatch.setattr(secret_scan, name, fn)
     table = spark.createDataFrame(rows, "before string, token string, after string, label int")
     net = secret_scan.fit_network(table)
-    assert seen["fit"] + seen["held"] // 3 == len(rows)
+    assert seen["fit"] + seen["held"] // 3 == len(rows) and seen["k"] == -(-98 * seen["secrets"] // 100)
     again = secret_scan.fit_network(table.repartition(7))       # however the rows lie
     assert np.allclose(secret_scan._packed(net.w), secret_scan._packed(again.w), atol=1e-6)
     held = findings(random.Random(13), 200)
@@ -249,6 +250,21 @@ def test_fit_uses_every_finding(spark, monkeypatch):
     assert np.mean(found[1::2]) >= 0.9 and np.mean(found[::2]) <= 0.05
 
 
+def test_threshold_of_scores_that_fall(spark, monkeypatch):
+    # a curve that falls with the score: the lowest probability of the secrets that are kept belongs to a high score
+    monkeypatch.setattr(secret_scan, "STEPS", 1)
+    scale = {}
+
+    def falling(scores, counts):
+        scale["s"] = sorted(-r.s for r in scores.where("label = 1").collect())[::-1]
+        return -1.0, 0.0
+
+    monkeypatch.setattr(secret_scan, "_platt", falling)
+    net = secret_scan.fit_network(spark.createDataFrame(findings(random.Random(4), 80), "before string, token string, after string, label int"))
+    kept = scale["s"][int(np.ceil(0.98 * len(scale["s"]))) - 1]
+    assert abs(net.threshold - 1 / (1 + np.exp(-np.clip(kept, -30, 30)))) < 1e-12
+
+
 def test_kth_highest(spark):
     values = [0.5, 0.5, -3.0, 1e300, 7.25, 0.5, -1e-9]
     df = spark.createDataFrame([(x,) for x in values], "s double")
