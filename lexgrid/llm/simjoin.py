@@ -11,6 +11,9 @@ The work on a pair of groups is:
   stay (a group without any is never opened);
 * what is left is compared exactly, on whole token sets.
 
+A group is compared with itself where its sets meet. One that others are compared with is packed (its
+tokens once, its sets as places among them), and the lighter group of a pair travels to the other.
+
 Pairs of documents are never emitted: a pair of groups gives a spanning
 forest of its links, and connected components join the forests. What a first pass, linear in
 the groups, has connected is not compared again, so n near copies of one text cost
@@ -41,7 +44,9 @@ from lexgrid.llm.graph import components
 
 SPARE, SPARE_SHARE = 2, 0.1  # S = SPARE + SPARE_SHARE * H
 GROUP_ROWS = 48             # members of a group, on average at most
+FAR = 10                    # as many times more in the second pass, where all groups of a home meet: fewer of them travel
 GROUP_TOKENS = 60_000       # tokens of a group, on average at most (but for single larger sets)
+PAIRS = 64                  # pairs of groups that a task hands to Python at a time
 _STEP = 0xD6E8FEB86659FD93
 
 
@@ -164,11 +169,11 @@ def linked_forest(keys: DataFrame, tokens_of: Callable[[DataFrame], DataFrame],
     homes = written(shared.groupBy("node").agg(
         F.count(F.lit(1)).alias("k"), F.first("size").alias("size"), F.first("need").alias("need"),
         F.max(F.struct("n", "cell")).alias("h")).where("k >= need").select("node", "size", "need", F.col("h.cell").alias("home")), "homes", tables)
-    rooms = homes.groupBy("home").agg(_parts(), F.min("need").alias("need"), F.count(F.lit(1)).alias("rows")).checkpoint()
+    rooms = written(homes.groupBy("home").agg(_parts(), F.min("need").alias("need"), F.count(F.lit(1)).alias("rows")), "rooms", tables)
     # the matrix: which homes hold a cell; pairs of homes with as many common cells as their members need
     matrix = shared.select("node", "cell").join(homes.select("node", "home"), "node").select("cell", "home").distinct()
     matrix = written(matrix.join(rooms, "home").select("cell", "home", "parts", "need"), "matrix", tables)
-    several = matrix.groupBy("cell").agg(F.count(F.lit(1)).alias("g")).where("g > 1").select("cell").checkpoint()
+    several = written(matrix.groupBy("cell").agg(F.count(F.lit(1)).alias("g")).where("g > 1").select("cell"), "several", tables)
     across = matrix.join(several, "cell")
     side = lambda x: F.struct(f"{x}.home", f"{x}.parts", f"{x}.need")
     met = written(across.alias("x").join(across.alias("y"), F.expr("x.cell = y.cell AND x.home < y.home")).groupBy(
@@ -197,7 +202,7 @@ def linked_forest(keys: DataFrame, tokens_of: Callable[[DataFrame], DataFrame],
         F.col("n") > GROUP_ROWS).select(F.col("home").alias("its_home"), F.col("class").alias("kind"))
     sorted_out = written(classes.join(large, F.expr("home = its_home AND class = kind"), "left").select(
         "node", "size", "home", F.coalesce("kind", F.lit(0).cast("bigint")).alias("kind")), "kinds", tables)
-    halls = sorted_out.groupBy("home", "kind").agg(_parts()).checkpoint()
+    halls = written(sorted_out.groupBy("home", "kind").agg(_parts(FAR)), "halls", tables)
     grp2 = lambda home, kind, part: F.xxhash64(home, kind, part)
     seats = sorted_out.join(halls, ["home", "kind"]).select("node", grp2("home", "kind", _seat()).alias("grp"))
     rest = wide.join(halls.withColumnsRenamed({"kind": "kind1", "parts": "parts1"}), "home").join(
@@ -211,9 +216,9 @@ def linked_forest(keys: DataFrame, tokens_of: Callable[[DataFrame], DataFrame],
     return near.unionByName(far)
 
 
-def _parts():
+def _parts(times: int = 1):
     """Number of groups for some members (``size``)."""
-    return F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / GROUP_ROWS), F.ceil(F.sum("size") / GROUP_TOKENS)).cast("int").alias("parts")
+    return F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / (times * GROUP_ROWS)), F.ceil(F.sum("size") / GROUP_TOKENS)).cast("int").alias("parts")
 
 
 def _seat():
@@ -224,34 +229,71 @@ def _compared(seats: DataFrame, pairs: DataFrame, tokens_of: Callable[[DataFrame
     """Links ``src, dst`` between the members (``node, grp``) of pairs of groups ``g1, g2``, as a written table."""
     tables: list[str] = []
     seats, pairs = written(seats, f"{name}-members", tables), written(pairs, f"{name}-pairs", tables)
-    needed = pairs.select(F.explode(F.array("g1", "g2")).alias("grp")).distinct()
-    tokens = tokens_of(seats.join(needed, "grp", "left_semi"))
+    roles = written(pairs.select(F.explode(F.array("g1", "g2")).alias("grp"), (F.col("g1") == F.col("g2")).alias("own")).groupBy("grp").agg(
+        F.max("own").alias("own"), F.max(~F.col("own")).alias("others")), f"{name}-roles", tables)
+    tokens = tokens_of(seats.join(roles.select("grp"), "grp", "left_semi"))
     node = tokens.schema["node"].dataType.simpleString()
-    groups = written(tokens.groupBy("grp").agg(F.collect_list(F.struct("node", "tokens")).alias("sets")), f"{name}-groups", tables)
-    first = groups.select(F.col("grp").alias("g1"), F.col("sets").alias("s1"))
-    second = groups.select(F.col("grp").alias("g2"), F.col("sets").alias("s2"))
-    # a group alone with itself is sent once
-    alone = pairs.where("g1 = g2").join(first, "g1").select("s1", F.lit(None).cast(second.schema["s2"].dataType).alias("s2"))
-    both = pairs.where("g1 <> g2").join(first, "g1").join(second, "g2").select("s1", "s2")
-    links = written(map_slices(both.unionByName(alone), _compare(t), f"src {node}, dst {node}", 16), f"{name}-links")
+    # a group is compared with itself where its sets meet; only groups that others are compared with travel on, packed
+    sets = tokens.groupBy("grp").agg(F.collect_list(F.struct("node", "tokens")).alias("sets")).join(roles, "grp")
+    groups = written(map_slices(sets, _grouped(t), f"grp bigint, links array<struct<src:{node},dst:{node}>>, weight bigint, packed {_PACKED.format(node)}", 16),
+                     f"{name}-groups", tables)
+    packed = groups.where("packed IS NOT NULL")
+    # the lighter group of a pair travels to the other: one that many light ones meet stays where it is
+    weigh = lambda g, w: packed.select(F.col("grp").alias(g), F.col("weight").alias(w))
+    weighed = pairs.where("g1 <> g2").join(weigh("g1", "w1"), "g1").join(weigh("g2", "w2"), "g2")
+    towards = written(weighed.select(F.expr("IF(w1 <= w2, g1, g2)").alias("g1"), F.expr("IF(w1 <= w2, g2, g1)").alias("g2")), f"{name}-ways", tables)
+    both = towards.join(packed.select(F.col("grp").alias("g1"), F.col("packed").alias("s1")), "g1").join(
+        packed.select(F.col("grp").alias("g2"), F.col("packed").alias("s2")), "g2").select("g2", "s1", "s2")
+    across = map_slices(both, _compare(t), f"src {node}, dst {node}", 16)
+    inside = groups.select(F.explode("links").alias("l")).select("l.src", "l.dst")
+    links = written(across.unionByName(inside), f"{name}-links", batch=PAIRS)
     remove(pairs.sparkSession, tables)
     return links
 
 
-def _compare(t: Fraction):
-    def sets(rows) -> tuple[list, list[np.ndarray]]:
-        return [r["node"] for r in rows], [np.frombuffer(r["tokens"], np.uint64) for r in rows]
+# sets of a group: its tokens once, sorted, and the places of each set's tokens among them, set after set
+_PACKED = "struct<nodes:array<{0}>,tokens:binary,sizes:binary,places:binary>"
+
+
+def _pack(nodes: list, sets: list[np.ndarray]) -> dict:
+    every, places = np.unique(np.concatenate(sets), return_inverse=True)
+    return {"nodes": nodes, "tokens": every.tobytes(), "sizes": np.array([len(x) for x in sets], np.int32).tobytes(),
+            "places": places.astype(_place(len(every))).tobytes()}
+
+
+def _place(n: int) -> type:
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
+def _unpack(packed: dict) -> tuple[list, list[np.ndarray]]:
+    every = np.frombuffer(packed["tokens"], np.uint64)
+    tokens = every[np.frombuffer(packed["places"], _place(len(every)))]
+    return list(packed["nodes"]), np.split(tokens, np.cumsum(np.frombuffer(packed["sizes"], np.int32))[:-1])
 
+
+def _grouped(t: Fraction):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for grp, found, own, others in zip(f["grp"], f["sets"], f["own"], f["others"]):
+                nodes, sets = [r["node"] for r in found], [np.frombuffer(r["tokens"], np.uint64) for r in found]
+                links = [{"src": nodes[i], "dst": nodes[j]} for i, j in _links(sets, None, t)[0]] if own else []
+                packed = _pack(nodes, sets) if others else None
+                rows.append((grp, links, len(packed["tokens"]) + len(packed["places"]) if others else 0, packed))
+            yield pd.DataFrame(rows, columns=["grp", "links", "weight", "packed"])
+    return run
+
+
+def _compare(t: Fraction):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, other, b = None, [], []
         for f in frames:
             out = []
-            for s1, s2 in zip(f["s1"], f["s2"]):
-                ids, a = sets(s1)
-                if s2 is None:
-                    out += [(ids[i], ids[j]) for i, j in _links(a, None, t)[0]]
-                else:
-                    other, b = sets(s2)
-                    out += [(ids[i], other[j]) for i, j in _links(a, b, t)[0]]
+            for g2, s1, s2 in zip(f["g2"], f["s1"], f["s2"]):
+                if g2 != at:        # pairs of one group come one after the other
+                    at, (other, b) = g2, _unpack(s2)
+                ids, a = _unpack(s1)
+                out += [(ids[i], other[j]) for i, j in _links(a, b, t)[0]]
             yield pd.DataFrame(out, columns=["src", "dst"])
     return run
 

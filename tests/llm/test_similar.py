@@ -5,11 +5,12 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lexgrid.llm import simjoin, topk_mtree
-from lexgrid.llm.common import hash_many, hash_words, maybe_in, shingles, without_keys
+from lexgrid.llm import jaccard_join, simjoin, topk_mtree
+from lexgrid.llm.common import hash_many, hash_words, maybe_in, shingles, without_keys, written
 from lexgrid.llm.graph import components
 from lexgrid.llm.jaccard_join import jaccard_components, one_per_component
 from lexgrid.llm.paragraph_dedup import merge, repeat_report, signatures, without_repeats
@@ -88,6 +89,69 @@ def test_second_pass(spark, monkeypatch):
     assert len({c for _, c in got.values()}) < len(texts) - 60
 
 
+def test_cells_are_not_stored(spark, monkeypatch):
+    """Cells are many times the ids: no table that the join writes before the first filter holds them."""
+    made = []
+    for module in (jaccard_join, simjoin):
+        keep = module.written
+        monkeypatch.setattr(module, "written", lambda df, name, *a, keep=keep, **b: made.append((name, keep(df, name, *a, **b))) or made[-1][1])
+    texts = dict(enumerate([" ".join(f"t{i}x{j}" for j in range(200)) for i in range(30)] + ["a b c d e f"] * 3))
+    df = spark.createDataFrame([(i, x) for i, x in texts.items()], "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df, 5, Fraction(4, 5)).collect()}
+    assert got == brute_components(texts, 5, Fraction(4, 5))
+    assert made and not [name for name, df in made if any(kind.startswith("array") for _, kind in df.dtypes) and not name.endswith("groups")]
+
+
+def test_jaccard_rows_of_one_id(spark):
+    """Ids of several rows, copies among them: every set of a kept text is linked, rows of copies add nothing."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, b + " end"), (4, a), (4, a), (5, c), (6, c + " end"), (6, c), (7, c), (None, a), (8, None)]
+    got = {tuple(r) for r in jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"), 5, Fraction(4, 5)).collect()}
+    assert got == {(1, 36, 1), (2, 36, 1), (2, 36, 2), (3, 37, 2), (4, 36, 1), (5, 36, 5), (6, 37, 5), (6, 36, 5), (7, 36, 5), (None, 36, None), (8, 0, 8)}
+
+
+def test_the_lighter_group_travels(spark, monkeypatch):
+    """A heavy group that many light ones meet stays where it is; each group is read as one that meets itself, too."""
+    rng, ways = np.random.default_rng(3), []
+    keep = simjoin.written
+
+    def seen(df, name, *a, **b):
+        out = keep(df, name, *a, **b)
+        if name == "t-ways":
+            ways.extend(out.collect())
+        return out
+
+    monkeypatch.setattr(simjoin, "written", seen)
+    base = rng.integers(1, 2**63, 70_000, dtype=np.uint64)
+    heavy = {i: np.unique(base[i * 1000:(i + 1) * 1000]) for i in range(70)}          # more tokens than 16 bits count
+    light = {100 + i: np.unique(np.r_[heavy[i][:950], rng.integers(1, 2**63, 20, dtype=np.uint64)]) for i in range(20)}
+    light[200] = light[119]
+    sets = {**heavy, **light}
+    seats = spark.createDataFrame([(n, 500 if n < 100 else 119 if n == 200 else n) for n in sets], "node bigint, grp bigint")
+    pairs = spark.createDataFrame([(500, g) if g % 2 else (g, 500) for g in range(100, 120)] + [(119, 119)], "g1 bigint, g2 bigint")
+    tokens = spark.createDataFrame([(n, bytearray(x.tobytes())) for n, x in sets.items()], "node bigint, tokens binary")
+    found = simjoin._compared(seats, pairs, lambda m: m.join(tokens, "node").select("node", "grp", "tokens"), Fraction(4, 5), "t")
+    assert sorted(map(tuple, ways)) == [(g, 500) for g in range(100, 120)]
+    by = {r.node: r.component_id for r in components(found).collect()}
+    assert by == {**{n: n for n in range(20)}, **{100 + n: n for n in range(20)}, 200: 19}
+
+
+def test_settings_of_a_write_are_put_back(spark):
+    """Shuffle files go with the write that made them; the session keeps its own settings."""
+    names = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = [spark.conf.get(x) for x in names]
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    out = written(spark.range(100).repartition(1).mapInArrow(sizes, "n bigint"), "small-batches", batch=7)
+    assert max(r.n for r in out.collect()) == 7
+    with pytest.raises(Exception, match="no such thing"):
+        written(spark.range(1).select(F.raise_error(F.lit("no such thing"))), "broken", batch=7)
+    assert [spark.conf.get(x) for x in names] == before
+
+
 def test_jaccard_odd_rows(spark):
     rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (2, "a B  c"), (3, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit(7) for c in ("node", "cell", "grp", "size", "_hit", "_page")})
