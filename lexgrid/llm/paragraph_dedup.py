@@ -38,9 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import CHUNK, SLICE, fresh, hash_words, map_batches, map_slices, maybe_in, mix, named_once, shingles, written
+from lexgrid.llm.common import (CHUNK, SLICE, fresh, hash_words, map_batches, map_slices, maybe_in, mix, named_once, remove, shingles,
+                                write, written)
 from lexgrid.llm.graph import components
 from lexgrid.llm.simjoin import linked_forest
+from lexgrid.session import scratch_path
 
 SHINGLE = 5
 SIMILAR = Fraction(4, 5)
@@ -122,7 +124,9 @@ def _paragraphs(newlines: np.ndarray, starts: np.ndarray, doc: np.ndarray) -> tu
     return a[long], b[long]
 
 
-_UNITS = ("doc_id {0}, version bigint, hashes array<bigint>, starts array<int>, lengths array<int>, "
+# a row per text and part: its windows, its paragraphs, and the bands of these. Each part is written apart and goes when it is spent
+WINDOWS, PLACES, BANDED = 0, 1, 2
+_UNITS = ("part int, doc_id {0}, version bigint, hashes array<bigint>, starts array<int>, lengths array<int>, "
           "paragraphs array<struct<node:binary,size:int,start:int,end:int,bands:array<bigint>>>")
 
 
@@ -138,7 +142,7 @@ def _units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             raws.append(raw)
             size += len(raw) + 1
         rows += _units_of(keys, raws)
-        yield pd.DataFrame(rows, columns=["doc_id", "version", "hashes", "starts", "lengths", "paragraphs"])
+        yield pd.DataFrame(rows, columns=["part", "doc_id", "version", "hashes", "starts", "lengths", "paragraphs"])
 
 
 def _units_of(keys: list, raws: list[bytes]) -> list[tuple]:
@@ -163,8 +167,13 @@ def _units_of(keys: list, raws: list[bytes]) -> list[tuple]:
         n = b - a
         paragraphs[d].append({"node": hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest(), "size": n, "start": int(first[a]),
                               "end": int(last[b - 1]), "bands": k if n - SHINGLE + 1 > ALIKE else k[:1]})
-    return [(*key, hashes[x:y], first[at[x:y]], last[at[x:y] + WINDOW - 1] - first[at[x:y]], own)
-            for key, x, y, own in zip(keys, cuts[:-1], cuts[1:], paragraphs) if x < y or own]
+    out = [(WINDOWS, *key, hashes[x:y], first[at[x:y]], last[at[x:y] + WINDOW - 1] - first[at[x:y]], None)
+           for key, x, y in zip(keys, cuts[:-1], cuts[1:]) if x < y]
+    for key, own in zip(keys, paragraphs):
+        if own:
+            out.append((PLACES, *key, None, None, None, [{**p, "size": None, "bands": None} for p in own]))
+            out.append((BANDED, *key, None, None, None, own))
+    return out
 
 
 def _paragraph_tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,17 +197,22 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     rows = rows.withColumn("version", F.xxhash64("text"))     # rows may repeat an id with other texts
-    units = written(map_slices(rows, _units, _UNITS.format(kind)), "units")
+    units = map_slices(rows, _units, _UNITS.format(kind))
+    path = scratch_path(docs.sparkSession, "units")
+    write(units, path, "part")
+    part = lambda n: docs.sparkSession.read.schema(units.schema).parquet(path).where(F.col("part") == n)
 
-    windows = units.select("doc_id", F.explode(F.arrays_zip("hashes", "starts", "lengths")).alias("w")).select(
+    windows = part(WINDOWS).select("doc_id", F.explode(F.arrays_zip("hashes", "starts", "lengths")).alias("w")).select(
         "doc_id", F.col("w.hashes").alias("hash"), F.col("w.starts").alias("start"), (F.col("w.starts") + F.col("w.lengths")).alias("end"))
     # counts move, windows don't: a window leaves its task only if its hash has company
-    company = windows.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("hash").checkpoint()
+    company = written(windows.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("hash"), "window-company")
     shared = written(maybe_in(windows, "hash", company, "hash").join(company, "hash"), "shared-windows")
+    remove(docs.sparkSession, [f"{path}/part={WINDOWS}"])
     spans = shared.join(written(_clusters(shared, "hash"), "window-clusters"), "hash").select(
         "doc_id", "start", "end", "first_doc", "first_end")
 
-    paragraphs = units.select("doc_id", "version", F.explode("paragraphs").alias("p")).select("doc_id", "version", "p.node", "p.size", "p.start", "p.end", "p.bands")
+    every = lambda n: part(n).select("doc_id", "version", F.explode("paragraphs").alias("p")).select("doc_id", "version", "p.*")
+    paragraphs = every(PLACES)
     # equal paragraphs: the first place stands for all; bands don't move, but for the places that are the first ones
     place = F.struct("doc_id", "start", "end", "version")
     distinct = written(paragraphs.groupBy("node").agg(F.min(place).alias("p"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("rows")).select(
@@ -207,18 +221,18 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     copied = distinct.where("rows > 1").select(F.col("node").alias("_node"), place.alias("p"))
     copies = maybe_in(paragraphs.select("node", place.alias("at"), name.alias("name")), "node", copied, "_node").join(copied, F.col("node") == F.col("_node"))
     copies = written(copies.groupBy("name").agg(F.first(F.col("at") == F.col("p")).alias("stays"), F.count(F.lit(1)).alias("n")).where("NOT stays OR n > 1"), "copies")
-    whole = paragraphs.select("node", "size", "bands", name.alias("_name"))
+    whole = every(BANDED).select("node", "size", "bands", name.alias("_name"))
     keys = named_once(whole, "_name", copies.select("name", "stays")).select(
         "node", F.col("size").cast("bigint").alias("size"), F.lit(1).alias("need"), F.explode(F.array_distinct("bands")).alias("cell"))
 
     def tokens_of(members: DataFrame) -> DataFrame:
-        wanted = members.join(distinct.select("node", "doc_id", "version", "start", "end"), "node").groupBy("doc_id", "version").agg(
-            F.collect_list(F.struct("node", "grp", "start", "end")).alias("wanted")).checkpoint()
+        wanted = written(members.join(distinct.select("node", "doc_id", "version", "start", "end"), "node").groupBy("doc_id", "version").agg(
+            F.collect_list(F.struct("node", "grp", "start", "end")).alias("wanted")), "wanted")
         texts = maybe_in(rows, "version", wanted, "version").dropDuplicates(["doc_id", "version"])
         return map_slices(texts.join(wanted, ["doc_id", "version"]).select("text", "wanted"), _paragraph_tokens,
                           "node binary, grp bigint, tokens binary", 32)
 
-    linked = components(linked_forest(keys, tokens_of, SIMILAR))
+    linked = components(linked_forest(keys, tokens_of, SIMILAR, [f"{path}/part={BANDED}"]))
     # a paragraph of one document without a link is a cluster of that document alone
     named = written(distinct.select("node", "doc_id", "last").join(linked, "node", "left").where("component_id IS NOT NULL OR doc_id < last").select(
         "node", F.coalesce("component_id", "node").alias("component_id")), "paragraph-components")

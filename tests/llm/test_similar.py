@@ -1,5 +1,7 @@
 """Jaccard join, paragraph deduplication, top-k search: against brute force."""
 
+import glob
+import os
 import random
 import re
 from fractions import Fraction
@@ -15,6 +17,7 @@ from lexgrid.llm.graph import components
 from lexgrid.llm.jaccard_join import jaccard_components, one_per_component
 from lexgrid.llm.paragraph_dedup import merge, repeat_report, signatures, without_repeats
 from lexgrid.llm.simjoin import pigeonhole_cells
+from lexgrid.session import checkpoint_root
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -250,6 +253,18 @@ def test_paragraph_dedup(spark):
     assert repeat_report(df.limit(0)).count() == 0
 
 
+def test_spent_units_go(spark):
+    """Windows go when the shared ones are written, bands when the cells that are shared are; places stay for the result."""
+    line = " ".join(f"w{i}" for i in range(60))
+    own = [f"{line}\n\n" + " ".join(f"d{d}x{i}" for i in range(9)) for d in range(4)]
+    root = checkpoint_root(spark).removeprefix("file://")
+    before = set(glob.glob(f"{root}/units-*"))
+    got = repeat_report(spark.createDataFrame(enumerate(own), "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.repeats for r in got} == {d: f"0:{len(line)}" for d in range(4)}
+    (units,) = set(glob.glob(f"{root}/units-*")) - before
+    assert [os.path.basename(x) for x in glob.glob(f"{units}/part=*")] == ["part=1"]
+
+
 def test_paragraph_dedup_hot_paragraph(spark):
     rng = random.Random(3)
     hot = " ".join(prose(rng, 60))
