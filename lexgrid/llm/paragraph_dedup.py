@@ -274,9 +274,9 @@ def repeat_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     and ``removals``: merged spans ``start:end``, all and the removed ones.
     """
     kind = docs.schema[key].dataType.simpleString()
-    return repeated_spans(docs, key, text).groupBy("doc_id").agg(F.collect_set(F.struct("start", "end", "first_doc", "removed")).alias("found")
-        ).mapInPandas(_merged, f"doc_id {kind}, first_doc_id {kind}, n_repeats bigint, repeat_chars bigint, n_removed bigint, "
-                               "removed_chars bigint, repeats string, removals string")
+    found = repeated_spans(docs, key, text).groupBy("doc_id").agg(F.collect_set(F.struct("start", "end", "first_doc", "removed")).alias("found"))
+    return map_slices(found, _merged, f"doc_id {kind}, first_doc_id {kind}, n_repeats bigint, repeat_chars bigint, n_removed bigint, "
+                                      "removed_chars bigint, repeats string, removals string")
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

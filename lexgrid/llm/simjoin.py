@@ -46,7 +46,7 @@ SPARE, SPARE_SHARE = 2, 0.1  # S = SPARE + SPARE_SHARE * H
 GROUP_ROWS = 48             # members of a group, on average at most
 FAR = 10                    # as many times more in the second pass, where all groups of a home meet: fewer of them travel
 GROUP_TOKENS = 60_000       # tokens of a group, on average at most (but for single larger sets)
-PAIRS = 64                  # pairs of groups that a task hands to Python at a time
+PAIRS = 64                  # groups, or pairs of them, that a task hands to Python at a time
 _STEP = 0xD6E8FEB86659FD93
 
 
@@ -236,7 +236,7 @@ def _compared(seats: DataFrame, pairs: DataFrame, tokens_of: Callable[[DataFrame
     # a group is compared with itself where its sets meet; only groups that others are compared with travel on, packed
     sets = tokens.groupBy("grp").agg(F.collect_list(F.struct("node", "tokens")).alias("sets")).join(roles, "grp")
     groups = written(map_slices(sets, _grouped(t), f"grp bigint, links array<struct<src:{node},dst:{node}>>, weight bigint, packed {_PACKED.format(node)}", 16),
-                     f"{name}-groups", tables)
+                     f"{name}-groups", tables, PAIRS)
     packed = groups.where("packed IS NOT NULL")
     # the lighter group of a pair travels to the other: one that many light ones meet stays where it is
     weigh = lambda g, w: packed.select(F.col("grp").alias(g), F.col("weight").alias(w))
