@@ -130,62 +130,91 @@ _UNITS = ("part int, doc_id {0}, version bigint, hashes array<bigint>, starts ar
           "paragraphs array<struct<node:binary,size:int,start:int,end:int,bands:array<bigint>>>")
 
 
-def _units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        rows, keys, raws, size = [], [], [], 0
-        for key, text in zip(zip(f["doc_id"], f["version"]), f["text"]):
-            raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
+def _units(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for rows in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+        raws, first, size = [], 0, 0
+        for i, text in enumerate(rows.column(rows.schema.get_field_index("text")).to_pylist()):
+            raw = text.encode("utf-8", "surrogatepass")
             if raws and size + len(raw) > CHUNK:
-                rows += _units_of(keys, raws)
-                keys, raws, size = [], [], 0
-            keys.append(key)
+                yield from _units_of(rows.slice(first, len(raws)), raws, out)
+                raws, first, size = [], i, 0
             raws.append(raw)
             size += len(raw) + 1
-        rows += _units_of(keys, raws)
-        yield pd.DataFrame(rows, columns=["part", "doc_id", "version", "hashes", "starts", "lengths", "paragraphs"])
+        yield from _units_of(rows.slice(first, len(raws)), raws, out)
 
 
-def _units_of(keys: list, raws: list[bytes]) -> list[tuple]:
-    """Units of some texts, worked out together."""
+def _joined(raws: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts put together: the whole, the hash, first byte and end byte of its words, and the first byte of each text (and the end)."""
     text = b"\n".join(raws)
-    words, s, e = hash_words(text)
+    return text, *hash_words(text), np.r_[0, np.cumsum([len(r) + 1 for r in raws])]
+
+
+def _units_of(rows: pa.RecordBatch, raws: list[bytes], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Units of some texts, worked out together."""
+    text, words, s, e, first_byte = _joined(raws)
     if len(words) < SHINGLE:
-        return []
+        return
     buf = np.frombuffer(text, np.uint8)
-    first_byte = np.r_[0, np.cumsum([len(r) + 1 for r in raws])]
     first_word = np.searchsorted(s, first_byte)
-    ends, doc = np.repeat(first_word[1:], np.diff(first_word)), np.repeat(np.arange(len(keys)), np.diff(first_word))
+    ends, doc = np.repeat(first_word[1:], np.diff(first_word)), np.repeat(np.arange(len(raws)), np.diff(first_word))
     point = np.cumsum((buf & 0xC0) != 0x80, dtype=np.int32)      # code points up to and with each byte
     base = np.repeat(np.r_[0, point][np.minimum(first_byte[:-1], len(buf))], np.diff(first_word)).astype(np.int32)
     first, last = point[s] - 1 - base, point[e - 1] - base
+
+    def part(number: int, count: np.ndarray, **lists: pa.Array) -> pa.RecordBatch:
+        # a row for each text that has any; the elements of a text follow one another
+        some = np.flatnonzero(count)
+        cuts = pa.array(np.r_[0, np.cumsum(count[some])], pa.int32())
+        own = rows.take(pa.array(some))
+        fixed = {"part": pa.array(np.full(len(some), number), pa.int32()), **{n: own.column(own.schema.get_field_index(n)).cast(out.field(n).type) for n in ("doc_id", "version")}}
+        return pa.RecordBatch.from_arrays([fixed[f.name] if f.name in fixed else pa.ListArray.from_arrays(cuts, lists[f.name], type=f.type)
+                                           if f.name in lists else pa.nulls(len(some), f.type) for f in out], schema=out)
+
     at = window_places(words, ends)
-    hashes, cuts = window_hashes(words, at).view(np.int64), np.searchsorted(at, first_word)
+    yield part(WINDOWS, np.diff(np.searchsorted(at, first_word)), hashes=pa.array(window_hashes(words, at).view(np.int64)),
+               starts=pa.array(first[at]), lengths=pa.array(last[at + WINDOW - 1] - first[at]))
     begins, stops = _paragraphs(np.flatnonzero(buf == 10), s, doc)
-    bands = band_keys(signatures(shingles(words, SHINGLE), begins, stops - SHINGLE + 1)).view(np.int64) if len(begins) else ()
-    paragraphs: list[list[dict]] = [[] for _ in keys]
-    for a, b, k, d in zip(begins.tolist(), stops.tolist(), bands, doc[begins].tolist()):
-        n = b - a
-        paragraphs[d].append({"node": hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest(), "size": n, "start": int(first[a]),
-                              "end": int(last[b - 1]), "bands": k if n - SHINGLE + 1 > ALIKE else k[:1]})
-    out = [(WINDOWS, *key, hashes[x:y], first[at[x:y]], last[at[x:y] + WINDOW - 1] - first[at[x:y]], None)
-           for key, x, y in zip(keys, cuts[:-1], cuts[1:]) if x < y]
-    for key, own in zip(keys, paragraphs):
-        if own:
-            out.append((PLACES, *key, None, None, None, [{**p, "size": None, "bands": None} for p in own]))
-            out.append((BANDED, *key, None, None, None, own))
-    return out
+    if not len(begins):
+        return
+    order = np.argsort(doc[begins], kind="stable")
+    begins, stops = begins[order], stops[order]
+    keys = band_keys(signatures(shingles(words, SHINGLE), begins, stops - SHINGLE + 1)).view(np.int64)
+    raw = memoryview(words.tobytes())
+    nodes = pa.array([hashlib.blake2b(raw[8 * a:8 * b], digest_size=16).digest() for a, b in zip(begins.tolist(), stops.tolist())], pa.binary())
+    wide = np.where(stops - begins - SHINGLE + 1 > ALIKE, BANDS, 1)
+    kind = out.field("paragraphs").type.value_type
+    bands = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(wide)], pa.int32()), pa.array(keys[np.arange(BANDS) < wide[:, None]]),
+                                     type=kind.field("bands").type)
+    count = np.bincount(doc[begins], minlength=len(raws))
+    for number, size, own in ((PLACES, pa.nulls(len(nodes), pa.int32()), pa.nulls(len(nodes), bands.type)),
+                              (BANDED, pa.array((stops - begins).astype(np.int32)), bands)):
+        yield part(number, count, paragraphs=pa.StructArray.from_arrays(
+            [nodes, size, pa.array(first[begins]), pa.array(last[stops - 1]), own], fields=list(kind)))
 
 
 def _paragraph_tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
-        rows = []
+        rows, some, size = [], [], 0
         for text, wanted in zip(f["text"], f["wanted"]):
             for w in wanted:
-                words, _, _ = hash_words(text[w["start"]:w["end"]].encode("utf-8", "surrogatepass"))
-                rows.append((w["node"], w["grp"], np.unique(shingles(words, SHINGLE)).tobytes()))
+                raw = text[w["start"]:w["end"]].encode("utf-8", "surrogatepass")
+                if some and size + len(raw) > CHUNK:
+                    rows += _tokens_of(some)
+                    some, size = [], 0
+                some.append((w["node"], w["grp"], raw))
+                size += len(raw) + 1
+        if some:
+            rows += _tokens_of(some)
         yield pd.DataFrame(rows, columns=["node", "grp", "tokens"])
 
 
+def _tokens_of(some: list[tuple]) -> list[tuple]:
+    """Token sets of some paragraphs (``SHINGLE`` words or more each), hashed together."""
+    _, words, s, _, first_byte = _joined([raw for *_, raw in some])
+    tokens, cuts = shingles(words, SHINGLE), np.searchsorted(s, first_byte).tolist()
+    return [(node, grp, np.unique(tokens[a:b - SHINGLE + 1]).tobytes()) for (node, grp, _), a, b in zip(some, cuts, cuts[1:])]
+
+
 def _clusters(found: DataFrame, by: str) -> DataFrame:
     """Clusters of occurrences that touch more than one document, with the occurrence that stays."""
     return found.groupBy(by).agg(F.min(F.struct("doc_id", "start", "end")).alias("kept"), F.max("doc_id").alias("last")).where(
@@ -197,7 +226,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     rows = rows.withColumn("version", F.xxhash64("text"))     # rows may repeat an id with other texts
-    units = map_slices(rows, _units, _UNITS.format(kind))
+    units = map_batches(rows, _units, _UNITS.format(kind))
     path = scratch_path(docs.sparkSession, "units")
     write(units, path, "part")
     part = lambda n: docs.sparkSession.read.schema(units.schema).parquet(path).where(F.col("part") == n)
@@ -230,7 +259,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             F.collect_list(F.struct("node", "grp", "start", "end")).alias("wanted")), "wanted")
         texts = maybe_in(rows, "version", wanted, "version").dropDuplicates(["doc_id", "version"])
         return map_slices(texts.join(wanted, ["doc_id", "version"]).select("text", "wanted"), _paragraph_tokens,
-                          "node binary, grp bigint, tokens binary", 32)
+                          "node binary, grp bigint, tokens binary")
 
     linked = components(linked_forest(keys, tokens_of, SIMILAR, [f"{path}/part={BANDED}"]))
     # a paragraph of one document without a link is a cluster of that document alone
@@ -244,16 +273,31 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         (F.col("doc_id") != F.col("first_doc")) | (F.col("start") >= F.col("first_end"))).alias("removed"))
 
 
-def _merged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        rows = []
-        for key, found in zip(f["doc_id"], f["found"]):
-            every = merge([(x["start"], x["end"]) for x in found])
-            gone = merge([(x["start"], x["end"]) for x in found if x["removed"]])
-            rows.append((key, min(x["first_doc"] for x in found), len(every), sum(b - a for a, b in every), len(gone),
-                         sum(b - a for a, b in gone), ",".join(f"{a}:{b}" for a, b in every), ",".join(f"{a}:{b}" for a, b in gone)))
-        yield pd.DataFrame(rows, columns=["doc_id", "first_doc_id", "n_repeats", "repeat_chars", "n_removed", "removed_chars",
-                                          "repeats", "removals"])
+def _merged(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        key, first, found = (b.column(b.schema.get_field_index(n)) for n in ("doc_id", "first_doc_id", "found"))
+        row, code = np.repeat(np.arange(b.num_rows), found.value_lengths().to_numpy()), found.flatten().to_numpy()
+        gone = code < 0
+        place = np.where(gone, ~code, code)
+        every = _merge(row, place, b.num_rows)
+        removed = _merge(row[gone], place[gone], b.num_rows)
+        yield pa.RecordBatch.from_arrays([key.cast(out.field(0).type), first.cast(out.field(1).type), *(pa.array(x, out.field(n).type) for n, x in zip(
+            out.names[2:], (*every[:2], *removed[:2], every[2], removed[2])))], schema=out)
+
+
+def _merge(row: np.ndarray, place: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """``merge`` for the spans of ``n`` rows at once (``start << 32 | end``): their number, characters and text by row."""
+    order = np.lexsort((place, row))
+    row, place = row[order], place[order]
+    a, b = place >> 32, place & 0xFFFFFFFF
+    reach = np.maximum.accumulate((row << 32) | b)
+    new = np.r_[True, (row[1:] << 32 | a[1:]) > reach[:-1]][:len(row)]
+    at = np.flatnonzero(new)
+    row, a, b = row[at], a[at], reach[np.r_[at[1:], len(new)][:len(at)] - 1] & 0xFFFFFFFF
+    cuts = np.searchsorted(row, np.arange(n + 1))
+    spans = [f"{x}:{y}" for x, y in zip(a.tolist(), b.tolist())]
+    chars = np.r_[0, np.cumsum(b - a)]
+    return np.diff(cuts), chars[cuts[1:]] - chars[cuts[:-1]], [",".join(spans[x:y]) for x, y in zip(cuts.tolist(), cuts[1:].tolist())]
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -274,9 +318,12 @@ def repeat_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     and ``removals``: merged spans ``start:end``, all and the removed ones.
     """
     kind = docs.schema[key].dataType.simpleString()
-    found = repeated_spans(docs, key, text).groupBy("doc_id").agg(F.collect_set(F.struct("start", "end", "first_doc", "removed")).alias("found"))
-    return map_slices(found, _merged, f"doc_id {kind}, first_doc_id {kind}, n_repeats bigint, repeat_chars bigint, n_removed bigint, "
-                                      "removed_chars bigint, repeats string, removals string")
+    # a span in one number: sets of numbers are gathered and moved at a part of the cost of sets of structs. Removed ones are inverted
+    span = F.shiftleft(F.col("start").cast("bigint"), 32).bitwiseOR(F.col("end").cast("bigint"))
+    found = repeated_spans(docs, key, text).groupBy("doc_id").agg(
+        F.min("first_doc").alias("first_doc_id"), F.collect_set(F.when(F.col("removed"), F.bitwise_not(span)).otherwise(span)).alias("found"))
+    return map_batches(found, _merged, f"doc_id {kind}, first_doc_id {kind}, n_repeats bigint, repeat_chars bigint, n_removed bigint, "
+                                       "removed_chars bigint, repeats string, removals string")
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

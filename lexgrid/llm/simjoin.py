@@ -35,11 +35,11 @@ from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgrid.llm.common import map_slices, maybe_in, mix, remove, written
+from lexgrid.llm.common import map_batches, maybe_in, mix, remove, written
 from lexgrid.llm.graph import components
 
 SPARE, SPARE_SHARE = 2, 0.1  # S = SPARE + SPARE_SHARE * H
@@ -99,11 +99,24 @@ def _overlap(tokens: np.ndarray, union: np.ndarray, cuts: np.ndarray) -> np.ndar
     return hit[cuts[1:]] - hit[cuts[:-1]]
 
 
+def _linked(a: np.ndarray, b: np.ndarray, t: Fraction) -> bool:
+    if min(len(a), len(b)) < t * max(len(a), len(b)):
+        return False
+    common = int(_overlap(a, b, np.array([0, len(a)]))[0])
+    return common * t.denominator >= t.numerator * (len(a) + len(b) - common)
+
+
 def _links(a: list[np.ndarray], b: list[np.ndarray] | None, t: Fraction) -> tuple[list[tuple[int, int]], int]:
     """Links between the sets of two groups (or inside one): a spanning forest and the number of links."""
     inside = b is None
     b = a if inside else b
     num, den = t.numerator, t.denominator
+    # most groups hold a set or two: they need no unions and bounds
+    if inside and len(a) < 3:
+        linked = len(a) == 2 and _linked(a[0], a[1], t)
+        return ([(0, 1)], 1) if linked else ([], 0)
+    if not inside and len(a) == len(b) == 1:
+        return ([(0, 0)], 1) if _linked(a[0], b[0], t) else ([], 0)
     na, nb = np.array([len(x) for x in a]), np.array([len(x) for x in b])
 
     def survivors(own: list[np.ndarray], n: np.ndarray, other: list[np.ndarray], m: np.ndarray) -> np.ndarray:
@@ -235,7 +248,7 @@ def _compared(seats: DataFrame, pairs: DataFrame, tokens_of: Callable[[DataFrame
     node = tokens.schema["node"].dataType.simpleString()
     # a group is compared with itself where its sets meet; only groups that others are compared with travel on, packed
     sets = tokens.groupBy("grp").agg(F.collect_list(F.struct("node", "tokens")).alias("sets")).join(roles, "grp")
-    groups = written(map_slices(sets, _grouped(t), f"grp bigint, links array<struct<src:{node},dst:{node}>>, weight bigint, packed {_PACKED.format(node)}", 16),
+    groups = written(map_batches(sets, _grouped(t), f"grp bigint, links array<struct<src:{node},dst:{node}>>, weight bigint, packed {_PACKED.format(node)}"),
                      f"{name}-groups", tables, PAIRS)
     packed = groups.where("packed IS NOT NULL")
     # the lighter group of a pair travels to the other: one that many light ones meet stays where it is
@@ -244,7 +257,7 @@ def _compared(seats: DataFrame, pairs: DataFrame, tokens_of: Callable[[DataFrame
     towards = written(weighed.select(F.expr("IF(w1 <= w2, g1, g2)").alias("g1"), F.expr("IF(w1 <= w2, g2, g1)").alias("g2")), f"{name}-ways", tables)
     both = towards.join(packed.select(F.col("grp").alias("g1"), F.col("packed").alias("s1")), "g1").join(
         packed.select(F.col("grp").alias("g2"), F.col("packed").alias("s2")), "g2").select("g2", "s1", "s2")
-    across = map_slices(both, _compare(t), f"src {node}, dst {node}", 16)
+    across = map_batches(both, _compare(t), f"src {node}, dst {node}")
     inside = groups.select(F.explode("links").alias("l")).select("l.src", "l.dst")
     links = written(across.unionByName(inside), f"{name}-links", batch=PAIRS)
     remove(pairs.sparkSession, tables)
@@ -256,7 +269,7 @@ _PACKED = "struct<nodes:array<{0}>,tokens:binary,sizes:binary,places:binary>"
 
 
 def _pack(nodes: list, sets: list[np.ndarray]) -> dict:
-    every, places = np.unique(np.concatenate(sets), return_inverse=True)
+    every, places = np.unique(np.concatenate(sets), return_inverse=True) if len(sets) > 1 else (sets[0], np.arange(len(sets[0])))
     return {"nodes": nodes, "tokens": every.tobytes(), "sizes": np.array([len(x) for x in sets], np.int32).tobytes(),
             "places": places.astype(_place(len(every))).tobytes()}
 
@@ -265,36 +278,46 @@ def _place(n: int) -> type:
     return np.uint16 if n <= 1 << 16 else np.uint32
 
 
-def _unpack(packed: dict) -> tuple[list, list[np.ndarray]]:
-    every = np.frombuffer(packed["tokens"], np.uint64)
-    tokens = every[np.frombuffer(packed["places"], _place(len(every)))]
-    return list(packed["nodes"]), np.split(tokens, np.cumsum(np.frombuffer(packed["sizes"], np.int32))[:-1])
+def _unpack(packed: pa.StructScalar) -> tuple[list, list[np.ndarray]]:
+    every = _numbers(packed["tokens"], np.uint64)
+    tokens = every[_numbers(packed["places"], _place(len(every)))]
+    sizes = _numbers(packed["sizes"], np.int32)
+    return packed["nodes"].as_py(), np.split(tokens, np.cumsum(sizes)[:-1]) if len(sizes) > 1 else [tokens]
+
+
+def _numbers(value: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), kind)
 
 
 def _grouped(t: Fraction):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for grp, found, own, others in zip(f["grp"], f["sets"], f["own"], f["others"]):
-                nodes, sets = [r["node"] for r in found], [np.frombuffer(r["tokens"], np.uint64) for r in found]
-                links = [{"src": nodes[i], "dst": nodes[j]} for i, j in _links(sets, None, t)[0]] if own else []
-                packed = _pack(nodes, sets) if others else None
-                rows.append((grp, links, len(packed["tokens"]) + len(packed["places"]) if others else 0, packed))
-            yield pd.DataFrame(rows, columns=["grp", "links", "weight", "packed"])
+    def run(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for rows in (b.slice(at, 16) for b in batches for at in range(0, b.num_rows, 16)):
+            grp, found, own, others = (rows.column(rows.schema.get_field_index(n)) for n in ("grp", "sets", "own", "others"))
+            members = found.flatten()
+            every, tokens = members.field("node").to_pylist(), [_numbers(x, np.uint64) for x in members.field("tokens")]
+            links, weights, packs, at = [], [], [], 0
+            for n, alone, travels in zip(found.value_lengths().to_pylist(), own.to_pylist(), others.to_pylist()):
+                nodes, sets = every[at:at + n], tokens[at:at + n]
+                at += n
+                links.append([{"src": nodes[i], "dst": nodes[j]} for i, j in _links(sets, None, t)[0]] if alone else [])
+                packs.append(_pack(nodes, sets) if travels else None)
+                weights.append(len(packs[-1]["tokens"]) + len(packs[-1]["places"]) if travels else 0)
+            yield pa.RecordBatch.from_arrays([grp.cast(out.field(0).type), *(pa.array(x, out.field(n).type) for n, x in (
+                ("links", links), ("weight", weights), ("packed", packs)))], schema=out)
     return run
 
 
 def _compare(t: Fraction):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
         at, other, b = None, [], []
-        for f in frames:
-            out = []
-            for g2, s1, s2 in zip(f["g2"], f["s1"], f["s2"]):
-                if g2 != at:        # pairs of one group come one after the other
-                    at, (other, b) = g2, _unpack(s2)
+        for rows in batches:
+            found = []
+            for g2, s1, s2 in zip(*(rows.column(rows.schema.get_field_index(n)) for n in ("g2", "s1", "s2"))):
+                if g2.as_py() != at:        # pairs of one group come one after the other
+                    at, (other, b) = g2.as_py(), _unpack(s2)
                 ids, a = _unpack(s1)
-                out += [(ids[i], other[j]) for i, j in _links(a, b, t)[0]]
-            yield pd.DataFrame(out, columns=["src", "dst"])
+                found += [(ids[i], other[j]) for i, j in _links(a, b, t)[0]]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], out.field(k).type) for k in (0, 1)], schema=out)
     return run
 
 

@@ -7,11 +7,12 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lexgrid.llm import jaccard_join, simjoin, topk_mtree
+from lexgrid.llm import common, jaccard_join, paragraph_dedup, simjoin, topk_mtree
 from lexgrid.llm.common import hash_many, hash_words, maybe_in, shingles, without_keys, written
 from lexgrid.llm.graph import components
 from lexgrid.llm.jaccard_join import jaccard_components, one_per_component
@@ -201,6 +202,56 @@ def test_key_filters(spark):
     assert without_keys(df, "id", keys.limit(0), "id").count() == 300
 
 
+def test_key_filter_is_its_hash(spark):
+    """A row passes if, and only if, its slot is that of a key (a null has one too); the filter's words are read where they lie."""
+    keys = spark.range(0, 6000, 3).select(F.concat(F.lit("k"), "id").alias("key"))
+    df = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"), F.lit(1).alias("n")).unionByName(
+        spark.createDataFrame([(None, 1)], "key string, n int"))
+    # few slots, in one page: every bit of its words is met
+    small = 4096
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(common, "FILTER_BITS", small)
+        found = maybe_in(df, "key", keys, "key")
+        plan = found._jdf.queryExecution().toString()
+        got = {r.key for r in found.collect()}
+        slot = F.pmod(F.xxhash64("key"), F.lit(small))
+        slots = {r[0] for r in keys.select(slot).collect()}
+        want = {r.key for r in df.select("key", slot.alias("s")).collect() if r.s in slots}
+    assert got == want and 6000 < len(want) < 20_000
+    assert "getbit" in plan and "pow(" not in plan.lower()
+
+
+def test_links_of_few_sets():
+    """Groups of a set or two, and pairs of such groups, against the formula."""
+    rng = np.random.default_rng(8)
+    t = Fraction(4, 5)
+    met = 0
+    for _ in range(400):
+        base = np.sort(rng.integers(0, 2**63, int(rng.integers(1, 30)), dtype=np.uint64))
+        a, b = (np.unique(np.r_[base[rng.random(len(base)) < 0.95], rng.integers(0, 2**63, int(rng.integers(0, 3)), dtype=np.uint64), base[:1]])
+                for _ in range(2))
+        same = len(np.intersect1d(a, b))
+        linked = Fraction(same, len(a) + len(b) - same) >= t
+        met += linked
+        assert simjoin._links([a, b], None, t) == (([(0, 1)], 1) if linked else ([], 0))
+        assert simjoin._links([a], [b], t) == (([(0, 0)], 1) if linked else ([], 0))
+        assert simjoin._links([a], None, t) == ([], 0)
+    assert 50 < met < 350
+
+
+def test_lone_sets_need_no_union(monkeypatch):
+    def union(*_, **__):
+        raise AssertionError("a union was built")
+    sets = [np.arange(5, 40, dtype=np.uint64), np.arange(5, 41, dtype=np.uint64)]
+    monkeypatch.setattr(simjoin.np, "unique", union)
+    assert simjoin._links(sets[:1], None, Fraction(4, 5)) == ([], 0)
+    assert simjoin._links(sets[:1], sets[1:], Fraction(4, 5)) == ([(0, 0)], 1)
+    packed = simjoin._pack(["x"], sets[:1])
+    kind = pa.struct([("nodes", pa.list_(pa.string())), *((n, pa.binary()) for n in ("tokens", "sizes", "places"))])
+    nodes, back = simjoin._unpack(pa.scalar(packed, kind))
+    assert nodes == ["x"] and len(back) == 1 and np.array_equal(back[0], sets[0])
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(110)] + [(300, i) for i in range(301, 380)] + [(i, i + 1) for i in range(500, 540)]
@@ -333,6 +384,35 @@ def test_merge():
     assert merge([(5, 9), (0, 3), (3, 4), (8, 12)]) == [(0, 4), (5, 12)]
 
 
+def test_merge_of_many_rows():
+    rng = np.random.default_rng(4)
+    rows = [[(a, a + int(rng.integers(1, 9))) for a in rng.integers(0, 60, int(n)).tolist()] for n in rng.integers(0, 12, 200)]
+    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    place = np.array([a << 32 | b for r in rows for a, b in r], np.int64)
+    for some in (slice(None), slice(0, 0)):
+        own = rows if some == slice(None) else [[] for _ in rows]
+        count, chars, texts = paragraph_dedup._merge(row[some], place[some], len(rows))
+        want = [merge(r) for r in own]
+        assert count.tolist() == [len(w) for w in want] and chars.tolist() == [sum(b - a for a, b in w) for w in want]
+        assert texts == [",".join(f"{a}:{b}" for a, b in w) for w in want]
+
+
+def test_paragraph_tokens_are_hashed_together(monkeypatch):
+    """Paragraphs of many texts share the calls that hash words; their sets are those of each alone."""
+    rng, calls = random.Random(2), []
+    words_of = hash_words
+    monkeypatch.setattr(paragraph_dedup, "hash_words", lambda *a: calls.append(1) or words_of(*a))
+    texts = [" ".join(rng.choice(["Ä", "é x", "word", "Other", "日本", "\ttab"]) + str(rng.randrange(50)) for _ in range(rng.randrange(8, 40))) for _ in range(50)]
+    wanted = [[{"node": b"%d.%d" % (i, j), "grp": j, "start": 0, "end": end} for j, end in enumerate((len(t), len(t) - 3))] for i, t in enumerate(texts)]
+    frames = paragraph_dedup._paragraph_tokens(iter([pd.DataFrame({"text": texts, "wanted": wanted})]))
+    got = {r.node: (r.grp, r.tokens) for f in frames for r in f.itertuples()}
+    assert len(got) == 100 and len(calls) < 5
+    for t, own in zip(texts, wanted):
+        for w in own:
+            alone = np.unique(shingles(words_of(t[:w["end"]].encode())[0], 5))
+            assert got[w["node"]] == (w["grp"], alone.tobytes())
+
+
 def brute_top(rows, k):
     ok = [(i, v) for i, v in rows if i is not None and v is not None and len(v) == 3 and all(x is not None and np.isfinite(x) for x in v)]
     whole = [(i, [int(np.floor(1024 * float(x))) for x in v]) for i, v in ok]
