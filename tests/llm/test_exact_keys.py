@@ -1,5 +1,6 @@
 """Keys and other columns come back as they were given, whatever stands beside them; odd vectors; long conversations."""
 
+import functools
 import random
 import time
 
@@ -126,6 +127,56 @@ def test_no_length_hides_a_rewrite():
         assert out == once(turns[:n]) and got == rewrites and [out[a:b] for a, b in spans] == [t for _, t in turns[:n]]
 
 
+def test_built_in_template_is_rendered_by_prefixes():
+    """Nothing stands beside the template that spares op4 the prefixes: each is rendered whole, twice, and a rewrite is seen."""
+    turns = [("user" if i % 2 else "assistant", f"turn {i % 7} \\ </s> \xa4 {chr(0x1f600) if i > 20 else ''}") for i in range(60)]
+    given = []
+
+    @functools.wraps(chat.inst_template)
+    def seen(some):
+        given.append(list(some))
+        return chat.inst_template(some)
+
+    out, spans, rewrites = chat.locate(turns, seen)
+    assert (out, rewrites) == (plain_inst(turns), 0) and [chat.unescape(out[a:b]) for a, b in spans] == [t for _, t in turns]
+    for k in range(60):
+        assert turns[:k + 1] in given and any(g[:-1] == turns[:k] and g[-1][0] == turns[k][0] and g[-1] != turns[k] for g in given if len(g) == k + 1)
+
+    @functools.wraps(chat.inst_template)
+    def once(some):
+        return ("#" if len(some) == 50 else "") + chat.inst_template(some)
+
+    out, spans, rewrites = chat.locate(turns, once)
+    assert (out, rewrites) == (plain_inst(turns), 2) and [chat.unescape(out[a:b]) for a, b in spans] == [t for _, t in turns]
+
+
+def plain_inst(turns):
+    return "".join(f"<s>[INST] {chat.escape(r)} [/INST]{chat.escape(t)}</s>" for r, t in turns)
+
+
+def test_built_in_template_depends_on_its_turns_alone():
+    rng = random.Random(8)
+    turns = []
+    for _ in range(4000):
+        step = rng.randrange(6)
+        if step < 3:
+            turns = [*turns, (rng.choice("ab"), rng.choice(["", "x", "</s>", "\xa4\xa4", "\\"]))]
+        elif step == 3:
+            turns = turns[:rng.randrange(len(turns) + 1)]
+        elif turns:
+            turns = list(turns)
+            turns[rng.choice([-1, rng.randrange(len(turns))])] = ("c", str(step))
+        assert chat.inst_template(rng.choice([list, tuple])(turns)) == plain_inst(turns)
+
+
+@pytest.mark.parametrize("texts", [["\xa4", "a\xa4", "\xa4\xa4b", "", "\xa4" * 5], ["\ue000", "x\xa4", "\xa4", "\ue000\ue000"]])
+def test_probes_beside_their_like(texts):
+    """Texts without markup around them that hold or end in the probe's character."""
+    turns = [("user", t) for t in texts]
+    out, spans, rewrites = chat.locate(turns, lambda some: "".join(t for _, t in some))
+    assert rewrites == 0 and [out[a:b] for a, b in spans] == texts
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 40, 150])
 def test_reach_is_the_templates_word(n):
     plain = lambda turns: "".join(("same " if i and turns[i - 1][0] == r else "other ") + t + ";" for i, (r, t) in enumerate(turns))
